@@ -319,11 +319,11 @@ def _(spark, sf):
 
 @query(
     "split_features_label",
-    """SELECT event_id, tmp, hum, NULL::DOUBLE AS "CO2" FROM readings UNION ALL SELECT NULL, NULL, NULL, "CO2" FROM readings""",
+    """SELECT vis, tmp, hum, NULL::DOUBLE AS "CO2" FROM readings UNION ALL SELECT NULL, NULL, NULL, "CO2" FROM readings""",
     ("readings",),
 )
 def _(spark, sf):
-    x, y = cleaning.split_features_label(views.readings(spark, sf).select("event_id", "tmp", "hum", "CO2"), "CO2")
+    x, y = cleaning.split_features_label(views.readings(spark, sf).select("vis", "tmp", "hum", "CO2"), "CO2")
     return x.unionByName(y, allowMissingColumns=True)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomtide.session import use_utc
@@ -43,5 +43,6 @@ def r6(*columns: str) -> str:
     return ", ".join(f'round("{c}", 6) AS "{c}"' for c in columns)
 
 
-def long(column: Column) -> Column:
-    return column.cast("bigint")
+def as_times(df: DataFrame, *columns: str) -> DataFrame:
+    """Dates as midnight timestamps, which both engines hand over alike."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})

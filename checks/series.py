@@ -12,7 +12,7 @@ from roomtide.schema import LECTURE_SLOTS, WEATHER_MEASURES, WEEKDAYS
 from roomtide.sources.weather import clean_weather
 
 from . import views
-from .registry import query, r6, rounded
+from .registry import as_times, query, rounded
 
 # Interval form of the nearest match: half-way marks between neighbouring weather rows, ties to the earlier.
 SPANS = """clean AS (SELECT * FROM weather WHERE wpgt IS NOT NULL),
@@ -45,7 +45,7 @@ def _(spark, sf):
 
 # Readings of one kind matched with the last (next) reading of another kind in the same room.
 _LEFT = "SELECT event_id, date_time, room_number FROM rooms WHERE vis > 4"
-_RIGHT = 'SELECT room_number, date_time AS seen_at, event_id AS seen_id, "CO2" FROM rooms WHERE vis <= 4'
+_RIGHT = 'SELECT room_number, date_time AS seen_at, CAST(event_id AS DOUBLE) AS seen_id, "CO2" FROM rooms WHERE vis <= 4'
 
 
 @query(
@@ -75,7 +75,7 @@ def _asof_sides(spark, sf):
     df = views.rooms(spark, sf)
     left = df.filter("vis > 4").select("event_id", "date_time", "room_number")
     right = df.filter("vis <= 4").select(
-        "room_number", F.col("date_time").alias("seen_at"), F.col("event_id").alias("seen_id"), "CO2"
+        "room_number", F.col("date_time").alias("seen_at"), F.col("event_id").cast("double").alias("seen_id"), "CO2"
     )
     return left, right
 
@@ -249,14 +249,14 @@ def _(spark, sf):
     return timeseries.calendar_anti(views.rooms(spark, sf), "1d")
 
 
-@query("daily_counts_dense", f"WITH {_DAYS} SELECT CAST(bin AS DATE) AS date, coalesce(n, 0) AS n FROM dense", ("rooms",))
+@query("daily_counts_dense", f"WITH {_DAYS} SELECT bin AS date, coalesce(n, 0) AS n FROM dense", ("rooms",))
 def _(spark, sf):
-    return timeseries.daily_counts_dense(views.rooms(spark, sf))
+    return as_times(timeseries.daily_counts_dense(views.rooms(spark, sf)), "date")
 
 
-@query("daily_presence", f"WITH {_DAYS} SELECT CAST(bin AS DATE) AS date, CAST(n IS NOT NULL AS INTEGER) AS present FROM dense", ("rooms",))
+@query("daily_presence", f"WITH {_DAYS} SELECT bin AS date, CAST(n IS NOT NULL AS INTEGER) AS present FROM dense", ("rooms",))
 def _(spark, sf):
-    return timeseries.daily_presence(views.rooms(spark, sf))
+    return as_times(timeseries.daily_presence(views.rooms(spark, sf)), "date")
 
 
 _WEEK = ", ".join(f"({i}, '{d}')" for i, d in enumerate(WEEKDAYS))
@@ -277,12 +277,13 @@ _SLOT = "CASE " + " ".join(f"WHEN h >= {a} AND h < {b} THEN {i}" for i, (a, b) i
 
 @query(
     "tag_lecture_slot",
-    f"""SELECT event_id, date_time, {_SLOT} AS lecture_slot
+    f"""SELECT event_id, date_time, CAST({_SLOT} AS DOUBLE) AS lecture_slot
     FROM (SELECT *, CAST(epoch_us(date_time) % 86400000000 AS DOUBLE) / 3600000000 AS h FROM readings)""",
     ("readings",),
 )
 def _(spark, sf):
-    return timeseries.tag_lecture_slot(views.readings(spark, sf).select("event_id", "date_time"))
+    tagged = timeseries.tag_lecture_slot(views.readings(spark, sf).select("event_id", "date_time"))
+    return tagged.withColumn("lecture_slot", F.col("lecture_slot").cast("double"))
 
 
 def _lag_sql(within: str) -> str:
@@ -354,14 +355,14 @@ def _(spark, sf):
 
 @query(
     "floor_time",
-    """SELECT event_id, CAST(date_time AS DATE) AS date, CAST(date_trunc('day', date_time) AS TIMESTAMP) AS day,
+    """SELECT event_id, CAST(CAST(date_time AS DATE) AS TIMESTAMP) AS date, CAST(date_trunc('day', date_time) AS TIMESTAMP) AS day,
       CAST(date_trunc('hour', date_time) AS TIMESTAMP) AS hour FROM readings""",
     ("readings",),
 )
 def _(spark, sf):
     return views.readings(spark, sf).select(
         "event_id",
-        F.to_date("date_time").alias("date"),
+        F.to_date("date_time").cast("timestamp_ntz").alias("date"),
         calendar.floor_time("date_time", "1d").alias("day"),
         calendar.floor_time("date_time", "1h").alias("hour"),
     )

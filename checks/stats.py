@@ -12,7 +12,7 @@ from roomtide.sources.dumps import union_by_name
 
 from . import views
 from .clean import _BOUNDS, _in, cascade_sql
-from .registry import query, rounded
+from .registry import as_times, query, rounded
 from .series import _DAYS
 
 CHOSEN = ["all", "m000", "m006"]
@@ -37,14 +37,14 @@ def _(spark, sf):
     return dashboard.hourly_profile_for_day(views.rooms(spark, sf), "2024-01-07", CHOSEN, ["CO2", "tmp"])
 
 
-@query("daily_means", _profile_sql("CAST(date_time AS DATE)", "date"), ("rooms",))
+@query("daily_means", _profile_sql("date_trunc('day', date_time)", "date"), ("rooms",))
 def _(spark, sf):
-    return dashboard.daily_means(views.rooms(spark, sf), CHOSEN, ["CO2", "tmp"])
+    return as_times(dashboard.daily_means(views.rooms(spark, sf), CHOSEN, ["CO2", "tmp"]), "date")
 
 
-@query("daily_counts", _profile_sql("CAST(date_time AS DATE)", "date", values="count(*) AS n"), ("rooms",))
+@query("daily_counts", _profile_sql("date_trunc('day', date_time)", "date", values="count(*) AS n"), ("rooms",))
 def _(spark, sf):
-    return dashboard.daily_counts(views.rooms(spark, sf), CHOSEN)
+    return as_times(dashboard.daily_counts(views.rooms(spark, sf), CHOSEN), "date")
 
 
 @query(
@@ -74,13 +74,13 @@ def _(spark, sf):
 
 @query(
     "winsorized_daily_counts",
-    f"""WITH {_DAYS}, daily AS (SELECT CAST(bin AS DATE) AS date, coalesce(n, 0) AS n FROM dense),
+    f"""WITH {_DAYS}, daily AS (SELECT bin AS date, coalesce(n, 0) AS n FROM dense),
     b AS ({_BOUNDS.format(c="n", t="daily")}), top AS (SELECT max(n) AS v FROM daily, b WHERE {_in("n")})
     SELECT date, CASE WHEN {_in("n")} THEN n ELSE v END AS n FROM daily, b, top""",
     ("rooms",),
 )
 def _(spark, sf):
-    return outliers.iqr_replace(daily_counts_dense(views.rooms(spark, sf)), "n", "max")
+    return as_times(outliers.iqr_replace(daily_counts_dense(views.rooms(spark, sf)), "n", "max"), "date")
 
 
 @query(
@@ -216,9 +216,9 @@ def _(spark, sf):
     return dashboard.distinct_rooms(views.rooms(spark, sf))
 
 
-@query("date_range", "SELECT CAST(min(date_time) AS DATE) AS first_date, CAST(max(date_time) AS DATE) AS last_date FROM readings", ("readings",))
+@query("date_range", "SELECT date_trunc('day', min(date_time)) AS first_date, date_trunc('day', max(date_time)) AS last_date FROM readings", ("readings",))
 def _(spark, sf):
-    return dashboard.date_range(views.readings(spark, sf))
+    return as_times(dashboard.date_range(views.readings(spark, sf)), "first_date", "last_date")
 
 
 @query("sort_time", "SELECT date_time, room_number, event_id FROM rooms ORDER BY date_time, room_number", ("rooms",))

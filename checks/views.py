@@ -155,6 +155,8 @@ def with_views(sql: str, *names: str) -> str:
                 wanted.append(n)
     ctes = ", ".join(f"{n} AS ({VIEWS_SQL[n].strip()})" for n in wanted)
     sql = sql.strip()
+    if not wanted:
+        return sql
     if sql[:5].upper() == "WITH ":
         return f"WITH {ctes}, {sql[5:]}"
     return f"WITH {ctes} {sql}"

@@ -130,11 +130,18 @@ def predictions_with_actuals(fitted: SupervisedFrames, models: Sequence[Model],
     ).drop("targets")
 
 
-def train_variants(frames: Mapping[str, DataFrame], label: str, horizons: int = 1, **options) -> dict[str, tuple]:
+def train_variants(
+    frames: Mapping[str, DataFrame],
+    label: str,
+    horizons: int = 1,
+    categories: Sequence[str] = CATEGORIES,
+    estimator: Estimator | None = None,
+    **options,
+) -> dict[str, tuple[SupervisedFrames, list[Model]]]:
     """Fit the same forecast on each feature set; a set without ``season`` does not encode it."""
     fitted = {}
     for name, df in frames.items():
-        categories = [c for c in options.get("categories", CATEGORIES) if c in df.columns]
-        frame = supervised_frames(df, label, **{**options, "categories": categories, "horizons": horizons})
-        fitted[name] = (frame, forecast_train(frame, options.get("estimator")))
+        present = [c for c in categories if c in df.columns]
+        frame = supervised_frames(df, label, present, horizons=horizons, **options)
+        fitted[name] = (frame, forecast_train(frame, estimator))
     return fitted

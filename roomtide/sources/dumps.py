@@ -32,11 +32,11 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 def _parse(lines: DataFrame, layout: str, delimiter: str, types: Mapping[str, T.DataType]) -> DataFrame:
     names = [n.strip().strip('"') for n in layout.split(delimiter)]
-    raw = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    raw = ", ".join(f"`{n}` string" for n in names)
     # A quoted field may hold the delimiter, so quoted text is taken out before fields are counted.
     fields = F.size(F.split(F.regexp_replace("value", '"[^"]*"', ""), delimiter))
     parsed = lines.filter(fields <= len(names)).select(
-        F.from_csv("value", raw.simpleString().removeprefix("struct<").removesuffix(">"), {"sep": delimiter, "mode": "PERMISSIVE"}).alias("r")
+        F.from_csv("value", raw, {"sep": delimiter, "mode": "PERMISSIVE"}).alias("r")
     )
     return parsed.select(
         *[F.col(f"r.`{n}`").try_cast(types[n]).alias(n) if n in types else F.col(f"r.`{n}`").alias(n) for n in names]
