@@ -64,14 +64,16 @@ def dedup_key(
 ) -> DataFrame:
     """Keep the first row of each key.
 
-    An aggregate, not a window: copies of one key collapse before the shuffle, so a key
-    that holds a large share of the rows never gathers in one task.
+    The first row is the smallest by ``tiebreak``, then by the other columns; without a
+    tiebreak by all other columns in name order. An aggregate, not a window: copies of one
+    key collapse before the shuffle, so a key that holds a large share of the rows never
+    gathers in one task.
     """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
     ties = list(tiebreak) if tiebreak is not None else sorted(rest)
-    kept = F.min_by(F.struct(*rest), F.struct(*ties)).alias("_kept")
+    kept = F.min(F.struct(*ties, *[c for c in rest if c not in ties])).alias("_kept")
     return df.groupBy(*keys).agg(kept).select(*[c if c in keys else F.col(f"_kept.{c}").alias(c) for c in df.columns])
 
 

@@ -73,7 +73,8 @@ class RowOrder:
         if self.buckets == 1 or not self.total:
             return []
         sample = keys if wanted >= self.total else keys.sample(wanted / self.total, seed=17)
-        rows = [list(r.key) for r in sample.orderBy("key").collect()]
+        # Missing values come first, as in the ascending order of the windows.
+        rows = sorted([list(r.key) for r in sample.collect()], key=lambda k: [(v is not None, v) for v in k])
         cuts = [rows[i * len(rows) // self.buckets] for i in range(1, self.buckets) if rows]
         return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
 
@@ -83,18 +84,17 @@ class RowOrder:
             return F.lit(0)
         text = json.dumps([{f"k{i}": v for i, v in enumerate(b)} for b in self._bounds])
         bounds = F.from_json(F.lit(text), f"array<struct<{self._kind}>>")
-        steps = math.ceil(math.log2(len(self._bounds) + 1))
-
-        def halve(state: Column, _: Column) -> Column:
-            low, high = state["low"], state["high"]
-            middle = F.floor((low + high) / 2).cast("int")
-            right = (low < high) & (F.get(bounds, middle) <= self._key)
-            return F.when(
-                right, F.struct((middle + 1).alias("low"), high.alias("high"))
-            ).otherwise(F.struct(low.alias("low"), F.least(middle, high).alias("high")))
-
-        start = F.struct(F.lit(0).alias("low"), F.lit(len(self._bounds)).alias("high"))
-        return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda s: s["low"])
+        top = 1 << (len(self._bounds).bit_length() - 1)
+        strides = F.array(*[F.lit(top >> i) for i in range(top.bit_length())])
+
+        def search(key: Column) -> Column:
+            def advance(passed: Column, stride: Column) -> Column:
+                return F.when(F.get(bounds, passed + stride - 1) <= key, passed + stride).otherwise(passed)
+
+            return F.aggregate(strides, F.lit(0), advance)
+
+        # As an array element the key is put together once per row, not once per step.
+        return F.get(F.transform(F.array(self._key), search), 0)
 
     def attach(self, df: DataFrame) -> DataFrame:
         return df.withColumn(BUCKET, self._bucket())

@@ -71,17 +71,25 @@ def iqr_filter_cascade(df: DataFrame, columns: Sequence[str], scale: bool = True
     With ``scale`` each column is also mapped to [0, 1] over the rows left at its own step.
     The bounds and scales are plain literals, so the result is one filtered scan.
     """
-    scales = {}
+    left, inside = df, F.lit(True)
+    steps: dict[str, Column] = {}
     for c in columns:
-        df = iqr_filter(df, c)
-        if scale:
-            scales[c] = df.agg(F.min(c), F.max(c)).first()
+        bounds = iqr_bounds(left, [c])[c]
+        inside = inside & bounds.inside(c) if bounds else F.lit(False)
+        left, steps[c] = df.filter(inside), inside
+    if not scale:
+        return left
+    ends = df.agg(
+        *[F.min(F.when(kept, F.col(c))).alias(f"a{i}") for i, (c, kept) in enumerate(steps.items())],
+        *[F.max(F.when(kept, F.col(c))).alias(f"b{i}") for i, (c, kept) in enumerate(steps.items())],
+    ).first()
     scaled = {}
-    for c, (low, high) in scales.items():
+    for i, c in enumerate(columns):
+        low, high = ends[f"a{i}"], ends[f"b{i}"]
         if low is not None:
-            span = high - low
+            span = float(high - low)
             scaled[c] = (F.col(c) - F.lit(low)) / F.lit(span) if span else F.when(F.col(c).isNotNull(), F.lit(0.0))
-    return df.withColumns(scaled) if scaled else df
+    return left.withColumns(scaled)
 
 
 def outlier_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -2,7 +2,8 @@
 
 ``percentile`` keeps every distinct value of a column in one task, which fails on large
 continuous columns. Here mergeable sketches narrow each wanted rank to a bracket, exact
-counts confirm the bracket, and only the few values inside it are looked at.
+counts confirm the bracket, and only the few values inside it are looked at. A table that
+the first pass counts as small goes to ``percentile`` after all.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +20,7 @@ from pyspark.sql import functions as F
 GRID = 500
 ACCURACY = 20_000
 GATHER_ROWS = 2_000
+SMALL_ROWS = 1_000_000
 
 
 @dataclass
@@ -58,7 +62,7 @@ def _cell(grid: list[float], below: int, inside: int, b: _Bracket) -> tuple[floa
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], small_rows: int = SMALL_ROWS
 ) -> dict[str, list[float | None]]:
     """Quantiles of each column over its non-null values; ``None`` for an empty column."""
     columns = list(dict.fromkeys(columns))
@@ -66,6 +70,11 @@ def exact_quantiles(
         *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
         *[_grid_of(c).alias(f"g{i}") for i, c in enumerate(columns)],
     ).first()
+    if max(first[f"n{i}"] for i in range(len(columns))) <= small_rows:
+        wanted = F.array(*[F.lit(p) for p in probabilities])
+        row = df.agg(*[F.percentile(c, wanted).alias(f"q{i}") for i, c in enumerate(columns)]).first()
+        return {c: list(row[f"q{i}"] or [None] * len(probabilities)) for i, c in enumerate(columns)}
+
     brackets: dict[tuple[str, float], _Bracket] = {}
     for i, c in enumerate(columns):
         n = first[f"n{i}"]
@@ -140,8 +149,10 @@ def _gather(df: DataFrame, brackets: list[_Bracket]) -> dict[int, list[tuple[flo
             for i, b in enumerate(brackets)
         ]
     )
+    hit = reduce(or_, [b.condition for b in brackets])
     rows = (
-        df.select(F.explode(F.array_compact(hits)).alias("hit"))
+        df.filter(hit)
+        .select(F.explode(F.array_compact(hits)).alias("hit"))
         .groupBy("hit.target", "hit.value")
         .count()
         .collect()

@@ -17,6 +17,7 @@ from ..functions.calendar import (
     micros,
 )
 from ..schema import LECTURE_SLOTS, ROOM, TIME, WEEKDAYS, numeric_columns
+from ..session import materialize
 from .cleaning import drop_incomplete_rows
 from .ordered import RowOrder
 
@@ -53,17 +54,10 @@ def _with_bin(df: DataFrame, step: int, time: str, by: Sequence[str], origin: st
     ).drop("_origin")
 
 
-def bin_grid(df: DataFrame, every: str, time: str = TIME, by: Sequence[str] = (), origin: str = "start_day") -> DataFrame:
-    """Every bin between the first and the last reading of each series.
-
-    Bins are spread out in chunks, so one long series is generated by many tasks.
-    """
-    step = duration_micros(every)
+def _spread(ends: DataFrame, step: int, by: Sequence[str]) -> DataFrame:
+    """Every bin from ``_first`` to ``_last``, in chunks, so that many tasks generate one long series."""
     chunk = step * CHUNK_BINS
-    if DAY % step == 0:
-        origin = "epoch"
-    ends = _range_of(df, step, time, by, origin)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(ends.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = ends.select(
         *by, "_last", F.explode(F.sequence("_first", "_last", F.lit(chunk))).alias("_chunk")
     ).repartition(parts, *by, "_chunk")
@@ -71,6 +65,12 @@ def bin_grid(df: DataFrame, every: str, time: str = TIME, by: Sequence[str] = ()
     return chunks.select(*by, F.explode(F.sequence(F.col("_chunk"), last, F.lit(step))).alias("_bin"))
 
 
+def bin_grid(df: DataFrame, every: str, time: str = TIME, by: Sequence[str] = (), origin: str = "start_day") -> DataFrame:
+    """Every bin between the first and the last reading of each series, as ``_bin`` in microseconds."""
+    step = duration_micros(every)
+    return _spread(_range_of(df, step, time, by, "epoch" if DAY % step == 0 else origin), step, by)
+
+
 def resample(
     df: DataFrame,
     every: str,
@@ -78,21 +78,27 @@ def resample(
     time: str = TIME,
     by: Sequence[str] = (),
     origin: str = "start_day",
-    keep_empty: bool = True,
+    cut_lineage: bool = False,
 ) -> DataFrame:
-    """Aggregate per series and fixed time bin (left-closed, left-labelled); empty bins stay as rows."""
+    """Aggregate per series and fixed time bin (left-closed, left-labelled); empty bins stay as rows.
+
+    The range of each series comes from a second, two-column pass over ``df``. Where ``df``
+    is costly to compute, ``cut_lineage`` writes the far smaller bins once and takes the
+    range from them.
+    """
     step = duration_micros(every)
     binned = _with_bin(df, step, time, by, origin).groupBy(*by, "_bin").agg(*aggregates)
-    if keep_empty:
-        grid = bin_grid(df, every, time, by, origin).select(
-            *[F.col(k).alias(f"_g_{k}") for k in by], F.col("_bin").alias("_g_bin")
-        )
-        match = [F.col("_bin") == F.col("_g_bin")] + [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in by]
-        values = [c for c in binned.columns if c not in by and c != "_bin"]
-        binned = grid.join(binned, match, "left").select(
-            *[F.col(f"_g_{k}").alias(k) for k in by], F.col("_g_bin").alias("_bin"), *values
-        )
-    return binned.withColumn(time, from_micros(F.col("_bin"))).drop("_bin")
+    values = [c for c in binned.columns if c not in by and c != "_bin"]
+    if cut_lineage:
+        binned = materialize(binned, "bins")
+        ends = binned.groupBy(*by).agg(F.min("_bin").alias("_first"), F.max("_bin").alias("_last"))
+    else:
+        ends = _range_of(df, step, time, by, "epoch" if DAY % step == 0 else origin)
+    grid = _spread(ends, step, by).select(*[F.col(k).alias(f"_g_{k}") for k in by], F.col("_bin").alias("_g_bin"))
+    match = [F.col("_bin") == F.col("_g_bin")] + [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in by]
+    return grid.join(binned, match, "left").select(
+        *[F.col(f"_g_{k}").alias(k) for k in by], from_micros(F.col("_g_bin")).alias(time), *values
+    )
 
 
 def resample_mean(
@@ -144,6 +150,7 @@ def resample_roll(
     time: str = TIME,
     room: str = ROOM,
     tiebreak: Sequence[str] = (),
+    cut_lineage: bool = False,
 ) -> DataFrame:
     """Per room: bin means, rolled over time, rejoined with the first other value of each bin.
 
@@ -157,7 +164,7 @@ def resample_roll(
     aggregates = [F.avg(c).alias(c) for c in numbers] + [
         F.min_by(F.col(c), F.when(F.col(c).isNotNull(), first)).alias(c) for c in others
     ]
-    binned = resample(df, every, aggregates, time, [room])
+    binned = resample(df, every, aggregates, time, [room], cut_lineage=cut_lineage)
     rolled = rolling_time_mean(binned, window, every, numbers, time, [room])
     return drop_incomplete_rows(rolled).select(*df.columns)
 

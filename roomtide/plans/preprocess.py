@@ -63,10 +63,11 @@ def preprocess(
     df = convert_types(drop_incomplete_rows(df), time)
     if outliers:
         df = remove_outliers_forest(df, contamination, seed=seed)
-    df = asof_nearest(df, clean_weather(weather), time).drop("date", "prcp")
     df = drop_features(dedup_key(extract_room(df), [time, ROOM]))
     df = remove_invalid_values(df, within, label, time)
-    df = materialize(resample_roll(df, window, every, roll, time), "rolled")
+    # Weather depends on the time alone and no filter looks at it: joined here, the tables above stay narrow.
+    df = asof_nearest(df, clean_weather(weather), time, left_order=[ROOM]).drop("date", "prcp")
+    df = materialize(resample_roll(df, window, every, roll, time, cut_lineage=True), "rolled")
     df = replace_inf(room_diff(df, RowOrder(df, [time], [ROOM]), label))
     df = calendar_features(df, time).withColumn("VOC_CO2_ratio", voc_co2_ratio())
     df = materialize(df, "features")
