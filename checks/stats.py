@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from roomtide.operators import explore, outliers, views as dashboard
-from roomtide.operators.timeseries import daily_counts_dense
+from roomtide.operators.timeseries import winsorized_daily_counts
 from roomtide.plans.preprocess import sort_time
 from roomtide.schema import MEASURES
 from roomtide.sources.dumps import union_by_name
@@ -80,7 +80,7 @@ def _(spark, sf):
     ("rooms",),
 )
 def _(spark, sf):
-    return as_times(outliers.iqr_replace(daily_counts_dense(views.rooms(spark, sf)), "n", "max"), "date")
+    return as_times(winsorized_daily_counts(views.rooms(spark, sf)), "date")
 
 
 @query(

@@ -174,6 +174,9 @@ def fill_na(
     changes = [c for c in columns if "_diff" in c]
     df = df.fillna(0, changes) if changes else df
     rest = [c for c in columns if c not in changes and c not in order.keys]
+    if rest:
+        gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"g{i}") for i, c in enumerate(rest)]).first()
+        rest = [c for i, c in enumerate(rest) if gaps[f"g{i}"]]
     if not rest:
         return df
     df = order.attach(df)

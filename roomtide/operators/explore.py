@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import MEASURES, ROOM, numeric_columns
+from ..session import materialize
 from .encoding import minmax_scale
 from .ordered import RowOrder
 from .outliers import iqr_filter_cascade, iqr_replace
@@ -70,7 +71,8 @@ def rotate_tail(df: DataFrame, order_by: str, tail: int = 5) -> DataFrame:
 
 def room_heatmap(df: DataFrame, columns: Sequence[str] = MEASURES, room: str = ROOM, tail: int = 5) -> DataFrame:
     """Room means with outlying rooms replaced by the mean, scaled to [0, 1], as (measure, room, position, value)."""
-    means = room_means(df, columns, room)
+    # One row per room: written once, so that the statistics below do not scan the readings again.
+    means = materialize(room_means(df, columns, room), "room-means")
     means = minmax_scale(iqr_replace(means, columns, "mean"), columns)
     return rotate_tail(means, room, tail).unpivot([room, "position"], list(columns), "measure", "value")
 
@@ -78,7 +80,7 @@ def room_heatmap(df: DataFrame, columns: Sequence[str] = MEASURES, room: str = R
 def room_heatmap_matrix(df: DataFrame, columns: Sequence[str] = MEASURES, room: str = ROOM, tail: int = 5) -> DataFrame:
     """The heatmap as one row per measure and one column per room, in display order."""
     long = room_heatmap(df, columns, room, tail)
-    rooms = df.select(room).distinct().orderBy(room).limit(MAX_PIVOT_ROOMS + 1).collect()
+    rooms = long.select(room).distinct().orderBy(room).limit(MAX_PIVOT_ROOMS + 1).collect()
     if len(rooms) > MAX_PIVOT_ROOMS:
         raise ValueError(f"more than {MAX_PIVOT_ROOMS} rooms; use room_heatmap, the long form")
     names = [r[0] for r in rooms]

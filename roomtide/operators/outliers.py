@@ -26,9 +26,11 @@ class Bounds(NamedTuple):
         return (F.col(column) < F.lit(self.low)) | (F.col(column) > F.lit(self.high))
 
 
-def iqr_bounds(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> dict[str, Bounds | None]:
+def iqr_bounds(
+    df: DataFrame, columns: Sequence[str], reach: float = 1.5, rows: int | None = None
+) -> dict[str, Bounds | None]:
     bounds: dict[str, Bounds | None] = {}
-    for c, (q1, q3) in exact_quantiles(df, columns, [0.25, 0.75]).items():
+    for c, (q1, q3) in exact_quantiles(df, columns, [0.25, 0.75], rows=rows).items():
         bounds[c] = None if q1 is None else Bounds(q1 - reach * (q3 - q1), q3 + reach * (q3 - q1), q1, q3)
     return bounds
 
@@ -71,10 +73,10 @@ def iqr_filter_cascade(df: DataFrame, columns: Sequence[str], scale: bool = True
     With ``scale`` each column is also mapped to [0, 1] over the rows left at its own step.
     The bounds and scales are plain literals, so the result is one filtered scan.
     """
-    left, inside = df, F.lit(True)
+    left, inside, rows = df, F.lit(True), df.count()
     steps: dict[str, Column] = {}
     for c in columns:
-        bounds = iqr_bounds(left, [c])[c]
+        bounds = iqr_bounds(left, [c], rows=rows)[c]
         inside = inside & bounds.inside(c) if bounds else F.lit(False)
         left, steps[c] = df.filter(inside), inside
     if not scale:

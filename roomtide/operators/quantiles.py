@@ -2,8 +2,8 @@
 
 ``percentile`` keeps every distinct value of a column in one task, which fails on large
 continuous columns. Here mergeable sketches narrow each wanted rank to a bracket, exact
-counts confirm the bracket, and only the few values inside it are looked at. A table that
-the first pass counts as small goes to ``percentile`` after all.
+counts confirm the bracket, and only the few values inside it are looked at. A table
+counted as small goes to ``percentile`` after all.
 """
 
 from __future__ import annotations
@@ -62,19 +62,26 @@ def _cell(grid: list[float], below: int, inside: int, b: _Bracket) -> tuple[floa
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], small_rows: int = SMALL_ROWS
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    small_rows: int = SMALL_ROWS,
+    rows: int | None = None,
 ) -> dict[str, list[float | None]]:
-    """Quantiles of each column over its non-null values; ``None`` for an empty column."""
+    """Quantiles of each column over its non-null values; ``None`` for an empty column.
+
+    ``rows`` is a known upper bound on the row count and spares the count.
+    """
     columns = list(dict.fromkeys(columns))
-    first = df.agg(
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[_grid_of(c).alias(f"g{i}") for i, c in enumerate(columns)],
-    ).first()
-    if max(first[f"n{i}"] for i in range(len(columns))) <= small_rows:
+    if (df.count() if rows is None else rows) <= small_rows:
         wanted = F.array(*[F.lit(p) for p in probabilities])
         row = df.agg(*[F.percentile(c, wanted).alias(f"q{i}") for i, c in enumerate(columns)]).first()
         return {c: list(row[f"q{i}"] or [None] * len(probabilities)) for i, c in enumerate(columns)}
 
+    first = df.agg(
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[_grid_of(c).alias(f"g{i}") for i, c in enumerate(columns)],
+    ).first()
     brackets: dict[tuple[str, float], _Bracket] = {}
     for i, c in enumerate(columns):
         n = first[f"n{i}"]

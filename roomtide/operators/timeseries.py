@@ -20,6 +20,7 @@ from ..schema import LECTURE_SLOTS, ROOM, TIME, WEEKDAYS, numeric_columns
 from ..session import materialize
 from .cleaning import drop_incomplete_rows
 from .ordered import RowOrder
+from .outliers import iqr_replace
 
 CHUNK_BINS = 4096
 
@@ -217,9 +218,9 @@ def calendar_anti(df: DataFrame, every: str = "1d", time: str = TIME) -> DataFra
     return grid.join(seen, "_bin", "left_anti").select(from_micros(F.col("_bin")).alias(time))
 
 
-def daily_counts_dense(df: DataFrame, time: str = TIME) -> DataFrame:
+def daily_counts_dense(df: DataFrame, time: str = TIME, cut_lineage: bool = False) -> DataFrame:
     """Rows per day, 0 on days without a reading."""
-    counted = resample(df, "1d", [F.count(F.lit(1)).alias("n")], time, (), origin="epoch")
+    counted = resample(df, "1d", [F.count(F.lit(1)).alias("n")], time, (), "epoch", cut_lineage)
     return counted.select(F.to_date(time).alias("date"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -253,3 +254,8 @@ def room_diff(
     df = order.shift(order.attach(df), {f"_prev{i}": (c, 1) for i, c in enumerate(columns)})
     df = df.withColumns({f"{c}_diff": F.col(c) - F.col(f"_prev{i}") for i, c in enumerate(columns)})
     return order.detach(df.drop(*[f"_prev{i}" for i in range(len(columns))]))
+
+
+def winsorized_daily_counts(df: DataFrame, time: str = TIME) -> DataFrame:
+    """Rows per day, outlying days replaced by the largest count that is none."""
+    return iqr_replace(daily_counts_dense(df, time, cut_lineage=True), "n", "max")
