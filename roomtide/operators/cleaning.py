@@ -9,15 +9,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import DAY, UNIT_MICROS, micros
+from ..functions.text import quoted
 from ..schema import RADIO_COLUMNS, ROOM, TIME, WEATHER_MEASURES, ZERO_CHECKED
 from ..session import materialize
 from .ordered import RowOrder
 
 
+def _replaced(df: DataFrame, values: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{values[c]} AS {quoted(c)}" if c in values else quoted(c) for c in df.columns])
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Spark aggregates skip NULL but propagate NaN, so NaN is turned into NULL on ingest."""
     floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None)) for c in floats})
+    return _replaced(df, {c: f"nanvl({quoted(c)}, NULL)" for c in floats})
 
 
 def drop_incomplete_rows(df: DataFrame, max_null_fraction: float | None = None) -> DataFrame:
@@ -175,7 +180,7 @@ def fill_na(
     df = df.fillna(0, changes) if changes else df
     rest = [c for c in columns if c not in changes and c not in order.keys]
     if rest:
-        gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"g{i}") for i, c in enumerate(rest)]).first()
+        gaps = df.agg(*[F.expr(f"count_if({quoted(c)} IS NULL) AS g{i}") for i, c in enumerate(rest)]).first()
         rest = [c for i, c in enumerate(rest) if gaps[f"g{i}"]]
     if not rest:
         return df
@@ -193,10 +198,7 @@ def fill_na(
 
 def replace_inf(df: DataFrame) -> DataFrame:
     floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    infinite = F.lit(float("inf"))
-    return df.withColumns(
-        {c: F.when(F.abs(F.col(c)) == infinite, F.lit(0.0)).otherwise(F.col(c)) for c in floats}
-    )
+    return _replaced(df, {c: f"CASE WHEN abs({quoted(c)}) = double('inf') THEN 0D ELSE {quoted(c)} END" for c in floats})
 
 
 def select_variants(df: DataFrame) -> dict[str, DataFrame]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import number, quoted
 from ..schema import numeric_columns
 
 MAX_CATEGORIES = 10_000
@@ -37,11 +38,10 @@ class OneHot:
     def transform(self, df: DataFrame) -> DataFrame:
         """Replace the features by their 0/1 columns; an unknown value is all zeros."""
         kept = [c for c in df.columns if c not in self.categories]
-        encoded = [
-            F.coalesce(F.col(f) == F.lit(v), F.lit(False)).cast("int").alias(f"__{f}_{v}")
-            for f, values in self.categories.items()
-            for v in values
-        ]
+        encoded = []
+        for f, values in self.categories.items():
+            source = F.col(f)
+            encoded += [F.coalesce(source == v, F.lit(False)).cast("int").alias(f"__{f}_{v}") for v in values]
         return df.select(*kept, *encoded)
 
 
@@ -68,7 +68,7 @@ def binary_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[
 
 
 def _other_values(column: str):
-    return F.count_if(F.coalesce(~F.col(column).isin(0, 1), F.lit(True)))
+    return F.expr(f"count_if(coalesce({quoted(column)} NOT IN (0, 1), true))")
 
 
 @dataclass(frozen=True)
@@ -87,8 +87,8 @@ class StandardScaler:
         columns = list(columns) if columns is not None else numeric_columns(df.schema)
         row = df.agg(
             *[_other_values(c).alias(f"o{i}") for i, c in enumerate(columns)],
-            *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-            *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)],
+            *[F.expr(f"avg({quoted(c)}) AS m{i}") for i, c in enumerate(columns)],
+            *[F.expr(f"stddev_pop({quoted(c)}) AS s{i}") for i, c in enumerate(columns)],
         ).first()
         kept = [(c, row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(columns) if row[f"o{i}"] and row[f"m{i}"] is not None]
         return StandardScaler(*[tuple(k[j] for k in kept) for j in range(3)])
@@ -96,10 +96,10 @@ class StandardScaler:
     def transform(self, df: DataFrame) -> DataFrame:
         """Unscaled columns first, then the scaled ones in fitted order; missing becomes 0."""
         scaled = [
-            F.coalesce((F.col(c) - F.lit(m)) / F.lit(s or 1.0), F.lit(0.0)).alias(c)
+            f"coalesce(({quoted(c)} - {number(m)}) / {number(s or 1.0)}, 0D) AS {quoted(c)}"
             for c, m, s in zip(self.features, self.means, self.deviations, strict=True)
         ]
-        return df.select(*[c for c in df.columns if c not in self.features], *scaled)
+        return df.selectExpr(*[quoted(c) for c in df.columns if c not in self.features], *scaled)
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
         rows = [

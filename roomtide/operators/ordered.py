@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import quoted
+
 BUCKET = "_bucket"
 MAX_BUCKETS = 32_768
 ROWS_PER_BUCKET = 2_000_000
@@ -130,32 +132,32 @@ class RowOrder:
             if not offsets:
                 continue
             sources = list(dict.fromkeys(c for c, o in wanted.values() if o and (o > 0) == back))
-            row = F.struct(
-                *[F.col(c).alias(f"w{i}") for i, c in enumerate(self.within)],
-                *[F.col(c).alias(f"v{i}") for i, c in enumerate(sources)],
-            )
+            fields = [(c, f"w{i}") for i, c in enumerate(self.within)] + [(c, f"v{i}") for i, c in enumerate(sources)]
+            row = F.expr("named_struct(" + ", ".join(f"'{n}', {quoted(c)}" for c, n in fields) + ")")
             carry = self._edge_rows(df, row, offsets[-1], back)
             width = offsets[-1] ** 2 * (len(sources) + len(self.within))
             here = Window.partitionBy(BUCKET).orderBy(*self._sorted(back))
             df = df.withColumns(
                 {"_n": F.row_number().over(here), **{f"_near{o}": F.lag(row, o).over(here) for o in offsets}}
             ).join(self._carried(carry, width), BUCKET, "left")
-            neighbours = {}
-            for o in offsets:
-                outside = F.get("carry", F.size("carry") - 1 - (o - F.col("_n")))["row"]
-                neighbours[f"_near{o}"] = F.when(F.col("_n") > o, F.col(f"_near{o}")).otherwise(outside)
-            df = df.withColumns(neighbours)
-            added = {}
-            for name, (source, o) in wanted.items():
-                if not o or (o > 0) != back:
-                    continue
-                near = F.col(f"_near{abs(o)}")
-                same = F.lit(True)
-                for i, c in enumerate(self.within):
-                    same = same & near[f"w{i}"].eqNullSafe(F.col(c))
-                added[name] = F.when(same, near[f"v{sources.index(source)}"])
-            df = df.withColumns(added).drop("_n", "carry", *neighbours)
-        return df.withColumns({n: F.col(c) for n, (c, o) in wanted.items() if o == 0})
+            kept = [quoted(c) for c in df.columns if c not in ("_n", "carry") and not c.startswith("_near")]
+            near = [
+                f"CASE WHEN _n > {o} THEN _near{o} ELSE get(carry, size(carry) - 1 - ({o} - _n)).row END AS _near{o}"
+                for o in offsets
+            ]
+            # A neighbour counts only if it belongs to the same series.
+            same = {
+                o: " AND ".join(["true", *[f"_near{o}.w{i} <=> {quoted(c)}" for i, c in enumerate(self.within)]])
+                for o in offsets
+            }
+            added = [
+                f"CASE WHEN {same[abs(o)]} THEN _near{abs(o)}.v{sources.index(c)} END AS {quoted(name)}"
+                for name, (c, o) in wanted.items()
+                if o and (o > 0) == back
+            ]
+            df = df.selectExpr(*kept, *near).selectExpr(*kept, *added)
+        here = [f"{quoted(c)} AS {quoted(n)}" for n, (c, o) in wanted.items() if o == 0]
+        return df.selectExpr("*", *here) if here else df
 
     def fill(self, df: DataFrame, wanted: Mapping[str, str], forward: bool = True) -> DataFrame:
         """Add columns ``new: column``: the value here or else the nearest earlier (later) non-null one."""

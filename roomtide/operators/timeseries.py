@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import (
@@ -16,6 +16,7 @@ from ..functions.calendar import (
     hour_fraction,
     micros,
 )
+from ..functions.text import quoted
 from ..schema import LECTURE_SLOTS, ROOM, TIME, WEEKDAYS, numeric_columns
 from ..session import materialize
 from .cleaning import drop_incomplete_rows
@@ -136,11 +137,19 @@ def rolling_time_mean(
     reach = at + F.lit(width - 1)
     latest = ((reach - F.pmod(reach, F.lit(stretch))) / F.lit(stretch)).cast("bigint")
     spread = df.withColumns({"_at": at, "_own": own}).withColumn("_stretch", F.explode(F.sequence(own, latest)))
-    frame = Window.partitionBy(*by, "_stretch").orderBy("_at").rangeBetween(-(width - 1), 0)
-    means = {c: F.avg(c).over(frame) for c in columns}
-    if min_count > 1:
-        means = {c: F.when(F.count(c).over(frame) >= min_count, m) for c, m in means.items()}
-    return spread.withColumns(means).filter("_own = _stretch").drop("_at", "_own", "_stretch")
+    series = ", ".join([*map(quoted, by), "_stretch"])
+    frame = f"(PARTITION BY {series} ORDER BY _at RANGE BETWEEN {width - 1} PRECEDING AND CURRENT ROW)"
+    means = {}
+    for c in columns:
+        mean = f"avg({quoted(c)}) OVER {frame}"
+        if min_count > 1:
+            mean = f"CASE WHEN count({quoted(c)}) OVER {frame} >= {min_count} THEN {mean} END"
+        means[c] = f"{mean} AS {quoted(c)}"
+    return (
+        spread.selectExpr("_own", "_stretch", *[means.get(c, quoted(c)) for c in df.columns])
+        .filter("_own = _stretch")
+        .drop("_own", "_stretch")
+    )
 
 
 def resample_roll(
@@ -162,7 +171,7 @@ def resample_roll(
     numbers = [c for c in numeric_columns(df.schema) if c != room]
     others = [c for c in df.columns if c not in numbers and c not in (room, time)]
     first = F.struct(time, *tiebreak)
-    aggregates = [F.avg(c).alias(c) for c in numbers] + [
+    aggregates = [F.expr(f"avg({quoted(c)}) AS {quoted(c)}") for c in numbers] + [
         F.min_by(F.col(c), F.when(F.col(c).isNotNull(), first)).alias(c) for c in others
     ]
     binned = resample(df, every, aggregates, time, [room], cut_lineage=cut_lineage)
@@ -252,8 +261,8 @@ def room_diff(
     """Change of every number but the label against the previous row of its series, as ``*_diff``."""
     columns = [c for c in columns or numeric_columns(df.schema) if c != label and c not in order.keys]
     df = order.shift(order.attach(df), {f"_prev{i}": (c, 1) for i, c in enumerate(columns)})
-    df = df.withColumns({f"{c}_diff": F.col(c) - F.col(f"_prev{i}") for i, c in enumerate(columns)})
-    return order.detach(df.drop(*[f"_prev{i}" for i in range(len(columns))]))
+    diffs = [f"{quoted(c)} - _prev{i} AS {quoted(c + '_diff')}" for i, c in enumerate(columns)]
+    return order.detach(df.selectExpr("*", *diffs).drop(*[f"_prev{i}" for i in range(len(columns))]))
 
 
 def winsorized_daily_counts(df: DataFrame, time: str = TIME) -> DataFrame:

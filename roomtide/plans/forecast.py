@@ -72,7 +72,7 @@ def supervised_frames(
 
     pre_scaler = None
     if not skip_scale:
-        pre_scaler = StandardScaler.fit(df.filter("split = 'train'").select(*columns))
+        pre_scaler = StandardScaler.fit(df.filter("split = 'train'"), [c for c in columns if c not in encoder.columns])
         df = pre_scaler.transform(df)
         columns = [c for c in df.columns if c not in (time, key, "split", label)]
     columns = [*columns, label]
@@ -81,8 +81,10 @@ def supervised_frames(
     order = RowOrder(df, [time, key], series)
     framed = lag_frame(df, order, columns, label, input_steps, horizons, keep=(time, key, "split"))
     framed = materialize(framed.withColumnRenamed(key, room), "framed")
-    lagged = [n for n in lag_names(columns, input_steps)]
-    scaler = StandardScaler.fit(framed.filter("split = 'train'").select(*lagged))
+    lagged = lag_names(columns, input_steps)
+    # Encoded categories are 0 or 1 by construction and stay unscaled.
+    flags = set(lag_names(encoder.columns, input_steps))
+    scaler = StandardScaler.fit(framed.filter("split = 'train'"), [c for c in lagged if c not in flags])
     inputs = [c for c in lagged if c not in scaler.features] + list(scaler.features)
     return SupervisedFrames(
         scaler.transform(framed), encoder, scaler, pre_scaler, tuple(columns), tuple(inputs), label, horizons
@@ -103,7 +105,8 @@ def inference_vectors(df: DataFrame, fitted: SupervisedFrames, time: str = TIME,
 def forecast_train(fitted: SupervisedFrames, estimator: Estimator | None = None) -> list[Model]:
     """One regressor per horizon on the training part."""
     train = fitted.vectors("train").withColumn("features", array_to_vector("features"))
-    estimator = estimator or LinearRegression(regParam=0.1, solver="l-bfgs", maxIter=50)
+    # With few features the default solver needs one pass over the data (normal equations).
+    estimator = estimator or LinearRegression(regParam=0.1)
     return [
         estimator.fit(train.withColumn("label", F.get("targets", F.lit(i)).cast("double")))
         for i in range(fitted.horizons)
