@@ -161,7 +161,7 @@ def _frozen_sql(source: str, zero: str) -> str:
     QUALIFY NOT coalesce("CO2" > 20000 AND "VOC" = lag("VOC") OVER {w} AND "BLE" = lag("BLE") OVER {w} AND tmp = lag(tmp) OVER {w}, false)"""
 
 
-# The reference order: a zero filter and a frozen check for each of the four measures in turn.
+# Spelled out in full: a zero filter and a frozen check for each of the four measures in turn.
 _FOUR_PASSES = f"""WITH p1 AS ({_frozen_sql("readings_spiky", '"CO2" <> 0')}), p2 AS ({_frozen_sql("p1", '"VOC" <> 0')}),
   p3 AS ({_frozen_sql("p2", "tmp <> 0")}), p4 AS ({_frozen_sql("p3", "hum <> 0")}) SELECT * FROM p4"""
 

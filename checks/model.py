@@ -367,7 +367,7 @@ def _write_dumps(spark, sf) -> str:
     """The readings as dump files: preamble, header, rows (some short), one overlong line each."""
     path = new_path(spark, "dumps")
     df = views.readings(spark, sf).withColumns(
-        {"day": F.to_date("date_time"), "date_time": F.date_format("date_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")}
+        {"month": F.date_format("date_time", "yyyy-MM"), "date_time": F.date_format("date_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")}
     )
     # Building n sends no WIFI column, so its files have another header.
     columns = {True: [c for c in _DUMP_COLUMNS if c != "WIFI"], False: _DUMP_COLUMNS}
@@ -378,10 +378,10 @@ def _write_dumps(spark, sf) -> str:
         short = F.concat_ws(";", *fields[:-1])
         return F.when(F.col("event_id") % 50 == 0, short).otherwise(F.concat_ws(";", short, fields[-1]))
 
-    rows = df.select("device_id", "day", F.lit(2).alias("at"), F.when(in_n, text(columns[True])).otherwise(text(columns[False])).alias("value"))
-    heads = df.select("device_id", "day").distinct().select(
+    rows = df.select("device_id", "month", F.lit(2).alias("at"), F.when(in_n, text(columns[True])).otherwise(text(columns[False])).alias("value"))
+    heads = df.select("device_id", "month").distinct().select(
         "device_id",
-        "day",
+        "month",
         F.explode(
             F.array(
                 F.struct(F.lit(0).alias("at"), F.lit("sensor export").alias("value")),
@@ -389,9 +389,9 @@ def _write_dumps(spark, sf) -> str:
                 F.struct(F.lit(3).alias("at"), F.lit(";".join(["broken"] * 20)).alias("value")),
             )
         ).alias("h"),
-    ).select("device_id", "day", "h.at", "h.value")
-    lines = rows.unionByName(heads).repartition("device_id", "day").sortWithinPartitions("device_id", "day", "at")
-    lines.select("device_id", "day", "value").write.partitionBy("device_id", "day").text(path)
+    ).select("device_id", "month", "h.at", "h.value")
+    lines = rows.unionByName(heads).repartition("device_id", "month").sortWithinPartitions("device_id", "month", "at")
+    lines.select("device_id", "month", "value").write.partitionBy("device_id", "month").text(path)
     return path
 
 

@@ -14,7 +14,7 @@ READINGS_SPARK = """
 SELECT event_id,
   CASE WHEN user_id % 8 < 6 THEN ts
        ELSE ts + make_dt_interval((datediff(ts, DATE'2024-01-01') div 2) * 4) END AS date_time,
-  concat('hka-co2-', CASE WHEN user_id % 8 = 5 THEN 'n' ELSE 'm' END, lpad(CAST(user_id % 8 AS STRING), 3, '0')) AS device_id,
+  concat('lab-co2-', CASE WHEN user_id % 8 = 5 THEN 'n' ELSE 'm' END, lpad(CAST(user_id % 8 AS STRING), 3, '0')) AS device_id,
   CAST(400 + floor(value * 20) AS DOUBLE) AS CO2,
   CAST(CASE WHEN event_id % 97 = 0 THEN 0 ELSE 450 + (event_id * 37) % 600 END AS DOUBLE) AS VOC,
   5 + CAST((event_id * 13) % 400 AS DOUBLE) / 8 AS tmp,
@@ -31,7 +31,7 @@ READINGS_SQL = """
 SELECT event_id,
   CASE WHEN user_id % 8 < 6 THEN ts
        ELSE ts + to_days(CAST((date_diff('day', TIMESTAMP '2024-01-01', ts) // 2) * 4 AS INTEGER)) END AS date_time,
-  concat('hka-co2-', CASE WHEN user_id % 8 = 5 THEN 'n' ELSE 'm' END, lpad(CAST(user_id % 8 AS VARCHAR), 3, '0')) AS device_id,
+  concat('lab-co2-', CASE WHEN user_id % 8 = 5 THEN 'n' ELSE 'm' END, lpad(CAST(user_id % 8 AS VARCHAR), 3, '0')) AS device_id,
   CAST(400 + floor(value * 20) AS DOUBLE) AS CO2,
   CAST(CASE WHEN event_id % 97 = 0 THEN 0 ELSE 450 + (event_id * 37) % 600 END AS DOUBLE) AS VOC,
   5 + CAST((event_id * 13) % 400 AS DOUBLE) / 8 AS tmp,

@@ -12,6 +12,7 @@ from ..schema import TIME
 from .ordered import RowOrder
 
 BROADCAST_ROWS = 500_000
+ROWS_PER_CELL = 64
 
 
 def asof_nearest(
@@ -26,15 +27,25 @@ def asof_nearest(
     """Each left row takes the right row closest in time; a tie goes to the earlier one.
 
     A right table of checked size becomes midpoint intervals, cut into time cells and
-    broadcast for an equi-join on the cell: the left table is not shuffled. A larger
-    right table goes through :func:`asof_join`, which needs ``left_order`` (columns that
-    order left rows of the same time).
+    broadcast for an equi-join on the cell: the left table is not shuffled. A right table
+    that is larger, or crowds many rows into one cell, goes through :func:`asof_join`, which
+    needs ``left_order`` (columns that order left rows of the same time).
     """
     right = right.filter(F.col(right_on).isNotNull())
     size = right.agg(
         F.count(F.lit(1)).alias("rows"), F.min(micros(right_on)).alias("low"), F.max(micros(right_on)).alias("high")
     ).first()
-    if size.rows > broadcast_rows:
+    low, high = size.low or 0, size.high or 0
+    cell = max(UNIT_MICROS["s"], (high - low) // max(size.rows, 1))
+
+    def cell_of(value):
+        return (floor_micros(value, cell) / F.lit(cell)).cast("bigint")
+
+    fits = size.rows <= broadcast_rows
+    if fits:
+        times = right.select(cell_of(micros(right_on)).alias("cell"), right_on).groupBy("cell").agg(F.count_distinct(right_on).alias("n"))
+        fits = (times.agg(F.max("n").alias("n")).first().n or 0) <= ROWS_PER_CELL
+    if not fits:
         return asof_join(left, right, left_on, right_on, "nearest", left_order=left_order, right_order=tiebreak)
 
     values = [c for c in right.columns if c != right_on]
@@ -45,13 +56,7 @@ def asof_nearest(
     spans = one_per_time.withColumn("_at", micros(right_on)).withColumns(
         {"_from": F.lag("_at").over(by_time) + F.col("_at"), "_to": F.lead("_at").over(by_time) + F.col("_at")}
     )
-    low, high = size.low or 0, size.high or 0
-    cell = max(UNIT_MICROS["s"], (high - low) // max(size.rows, 1))
     first_cell, last_cell = low // cell, high // cell
-
-    def cell_of(value):
-        return (floor_micros(value, cell) / F.lit(cell)).cast("bigint")
-
     begin = F.coalesce(cell_of(F.floor(F.col("_from") / 2)), F.lit(first_cell))
     end = F.coalesce(cell_of(F.floor(F.col("_to") / 2)), F.lit(last_cell))
     spans = spans.withColumn("_cell", F.explode(F.sequence(begin, end)))

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from .quantiles import exact_quantiles
 
-FILL_OPTIONS = ["None", "max", "min", "mean"]
-
 
 class Bounds(NamedTuple):
     low: float
@@ -47,14 +45,16 @@ def iqr_replace(df: DataFrame, columns: str | Sequence[str], fill: str) -> DataF
     The columns do not affect one another, so they share the aggregation passes.
     """
     how = fill.lower()
-    if how not in ("max", "min", "mean"):
-        raise ValueError(f"Invalid value for 'fill'. Possible options are: {', '.join(FILL_OPTIONS)}")
+    aggregates = {"max": F.max, "min": F.min, "mean": F.avg}
+    if how not in aggregates:
+        raise ValueError(f"outliers can be replaced by {', '.join(aggregates)}, not by {fill!r}")
     columns = [columns] if isinstance(columns, str) else list(columns)
     bounds = {c: b for c, b in iqr_bounds(df, columns).items() if b}
     if not bounds:
         return df
-    aggregate = {"max": F.max, "min": F.min, "mean": F.avg}[how]
-    values = df.agg(*[aggregate(F.when(b.inside(c), F.col(c))).alias(f"f{i}") for i, (c, b) in enumerate(bounds.items())]).first()
+    values = df.agg(
+        *[aggregates[how](F.when(b.inside(c), F.col(c))).alias(f"f{i}") for i, (c, b) in enumerate(bounds.items())]
+    ).first()
     return df.withColumns(
         {
             c: F.when(b.outside(c), F.lit(values[f"f{i}"])).otherwise(F.col(c))

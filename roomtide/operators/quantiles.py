@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 GRID = 500
 ACCURACY = 20_000
 GATHER_ROWS = 2_000
-SMALL_ROWS = 1_000_000
+SMALL_ROWS = 200_000
 
 
 @dataclass

@@ -6,14 +6,15 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import READING_TYPES, READINGS
+from ..functions.text import quoted
 from ..operators.cleaning import nan_to_null
+from ..schema import READING_TYPES, READINGS
 
-MAX_LAYOUTS = 1_000
+MAX_LAYOUTS = 100
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
@@ -30,17 +31,23 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _parse(lines: DataFrame, layout: str, delimiter: str, types: Mapping[str, T.DataType]) -> DataFrame:
-    names = [n.strip().strip('"') for n in layout.split(delimiter)]
-    raw = ", ".join(f"`{n}` string" for n in names)
-    # A quoted field may hold the delimiter, so quoted text is taken out before fields are counted.
-    fields = F.size(F.split(F.regexp_replace("value", '"[^"]*"', ""), delimiter))
-    parsed = lines.filter(fields <= len(names)).select(
-        F.from_csv("value", raw, {"sep": delimiter, "mode": "PERMISSIVE"}).alias("r")
-    )
-    return parsed.select(
-        *[F.col(f"r.`{n}`").try_cast(types[n]).alias(n) if n in types else F.col(f"r.`{n}`").alias(n) for n in names]
-    )
+def _fields(layout: str, delimiter: str) -> list[str]:
+    return [n.strip().strip('"') for n in layout.split(delimiter)]
+
+
+def _parsed(layout: str, delimiter: str, columns: Mapping[str, T.DataType]) -> Column:
+    """One line of this layout as a struct of all columns."""
+    names = _fields(layout, delimiter)
+    raw = ", ".join(f"{quoted(n)} string" for n in names)
+    line = F.from_csv("value", raw, {"sep": delimiter, "mode": "PERMISSIVE"})
+
+    def cast(row: Column) -> Column:
+        return F.struct(
+            *[(row[n].try_cast(kind) if n in names else F.lit(None).cast(kind)).alias(n) for n, kind in columns.items()]
+        )
+
+    # As an array element the line is parsed once, not once per column.
+    return F.get(F.transform(F.array(line), cast), 0)
 
 
 def scan_dat(
@@ -54,7 +61,7 @@ def scan_dat(
     """Read every file below ``path``; lines with too many fields are skipped, short ones padded.
 
     ``layouts`` gives the header lines in use and spares the pass that finds them. Files of
-    different layouts are united by column name.
+    different layouts are united by column name, in one scan.
     """
     lines = _lines(spark, path)
     header = F.col("value").rlike(f'(^|{delimiter}) *"?{time}"? *({delimiter}|$)')
@@ -65,14 +72,26 @@ def scan_dat(
         layouts = sorted(r.value for r in found)
     if not layouts:
         return spark.createDataFrame([], READINGS)
+    columns = {n: types.get(n, T.StringType()) for layout in layouts for n in _fields(layout, delimiter)}
     data = lines.filter((F.trim("value") != "") & F.contains("value", F.lit(delimiter)) & ~header)
     if len(layouts) == 1:
-        return nan_to_null(_parse(data, layouts[0], delimiter, types))
-    headed = lines.filter(header).select(F.col("_metadata.file_path").alias("_file"), F.col("value").alias("_layout"))
-    headed = headed.groupBy("_file").agg(F.min("_layout").alias("_layout"))
-    data = data.withColumn("_file", F.col("_metadata.file_path")).join(headed, "_file")
-    parts = [_parse(data.filter(F.col("_layout") == layout), layout, delimiter, types) for layout in layouts]
-    return nan_to_null(union_by_name(parts))
+        row, allowed = _parsed(layouts[0], delimiter, columns), F.lit(len(_fields(layouts[0], delimiter)))
+    else:
+        # Most files share one layout, so only the files with another one are looked up.
+        headed = lines.filter(header).select(F.col("_metadata.file_path").alias("_file"), F.col("value").alias("_layout"))
+        headed = headed.groupBy("_file").agg(F.min("_layout").alias("_layout"))
+        usual = headed.groupBy("_layout").count().orderBy(F.desc("count"), "_layout").first()._layout
+        others = headed.filter(F.col("_layout") != usual)
+        data = data.withColumn("_file", F.col("_metadata.file_path")).join(others, "_file", "left")
+        row, allowed = _parsed(usual, delimiter, columns), F.lit(len(_fields(usual, delimiter)))
+        for layout in layouts:
+            if layout != usual:
+                here = F.col("_layout") == layout
+                row = F.when(here, _parsed(layout, delimiter, columns)).otherwise(row)
+                allowed = F.when(here, len(_fields(layout, delimiter))).otherwise(allowed)
+    # A quoted field may hold the delimiter, so quoted text is taken out before fields are counted.
+    count = F.size(F.split(F.regexp_replace("value", '"[^"]*"', ""), delimiter))
+    return nan_to_null(data.filter(count <= allowed).select(row.alias("r")).select("r.*"))
 
 
 def scan_with_fallback(spark: SparkSession, extracted: str, original: str, **options) -> DataFrame:

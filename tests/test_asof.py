@@ -63,3 +63,19 @@ def test_equals_pandas(spark, direction, by, tolerance):
     a = got.select("l", "u", "r").toPandas().sort_values("l").reset_index(drop=True)
     b = expected[["l", "u", "r"]].sort_values("l").reset_index(drop=True)
     pd.testing.assert_frame_equal(a, b, check_dtype=False)
+
+
+def test_crowded_right_table_is_not_broadcast(spark):
+    left, right = sides(spark)
+    crowd = spark.range(200).select(
+        (F.col("id") + 1000).alias("r"), F.expr("timestampadd(MILLISECOND, CAST(id AS INT), TIMESTAMP_NTZ'2024-01-01 03:00:00')").alias("u")
+    )
+    right = right.drop("k").unionByName(crowd).withColumnRenamed("u", "date")
+    right = right.unionByName(spark.sql("SELECT 5000L AS r, TIMESTAMP_NTZ'2030-01-01' AS date"))
+    got = asof_nearest(left, right, "t", tiebreak=["r"], left_order=["l"])
+    assert "_cell" not in got._jdf.queryExecution().toString()
+    expected = pd.merge_asof(
+        left.toPandas().sort_values(["t", "l"]), right.toPandas().sort_values(["date", "r"]), left_on="t", right_on="date", direction="nearest"
+    )
+    a = got.select("l", "date").toPandas().sort_values("l").reset_index(drop=True)
+    pd.testing.assert_frame_equal(a, expected[["l", "date"]].sort_values("l").reset_index(drop=True), check_dtype=False)

@@ -13,7 +13,7 @@ HEADER = "date_time;device_id;tmp;CO2"
 
 
 def test_preamble_short_and_long_lines(spark, tmp_path):
-    write(tmp_path / "a", "one.dat", f"export\n{HEADER}\n2024-01-01 00:00:00;hka-co2-m001;20.5;400\n2024-01-01 00:01:00;hka-co2-m001\n1;2;3;4;5;6\n\n")
+    write(tmp_path / "a", "one.dat", f"export\n{HEADER}\n2024-01-01 00:00:00;lab-co2-m001;20.5;400\n2024-01-01 00:01:00;lab-co2-m001\n1;2;3;4;5;6\n\n")
     write(tmp_path / "b" / "deep", "two.dat", f'export\n{HEADER}\n2024-01-02 00:00:00;"odd;name";NaN;x\n')
     rows = {r.date_time: r for r in dumps.scan_dat(spark, str(tmp_path)).collect()}
     assert set(rows) == {"2024-01-01 00:00:00", "2024-01-01 00:01:00", "2024-01-02 00:00:00"}
