@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 GRID = 500
 ACCURACY = 20_000
 GATHER_ROWS = 2_000
-SMALL_ROWS = 200_000
+SMALL_CELLS = 2_000_000
 
 
 @dataclass
@@ -65,7 +65,7 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    small_rows: int = SMALL_ROWS,
+    small_cells: int = SMALL_CELLS,
     rows: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Quantiles of each column over its non-null values; ``None`` for an empty column.
@@ -73,7 +73,7 @@ def exact_quantiles(
     ``rows`` is a known upper bound on the row count and spares the count.
     """
     columns = list(dict.fromkeys(columns))
-    if (df.count() if rows is None else rows) <= small_rows:
+    if (df.count() if rows is None else rows) * len(columns) <= small_cells:
         wanted = F.array(*[F.lit(p) for p in probabilities])
         row = df.agg(*[F.percentile(c, wanted).alias(f"q{i}") for i, c in enumerate(columns)]).first()
         return {c: list(row[f"q{i}"] or [None] * len(probabilities)) for i, c in enumerate(columns)}

@@ -19,7 +19,7 @@ def test_selection_equals_numpy(spark, rows, gather, monkeypatch):
         F.lit(2.5).alias("constant"),
         F.lit(None).cast("double").alias("empty"),
     )
-    got = exact_quantiles(df, df.columns, PROBABILITIES, small_rows=0)
+    got = exact_quantiles(df, df.columns, PROBABILITIES, small_cells=-1)
     small = exact_quantiles(df, df.columns, PROBABILITIES)
     frame = df.toPandas().astype(float)
     for c in df.columns:
@@ -34,4 +34,4 @@ def test_selection_equals_numpy(spark, rows, gather, monkeypatch):
 
 def test_linear_interpolation(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,)], "x double")
-    assert exact_quantiles(df, ["x"], [0.25], small_rows=0) == {"x": [1.75]}
+    assert exact_quantiles(df, ["x"], [0.25], small_cells=-1) == {"x": [1.75]}
