@@ -11,7 +11,7 @@ from ..functions.calendar import UNIT_MICROS, duration_micros, floor_micros, mic
 from ..schema import TIME
 from .ordered import RowOrder
 
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 200_000
 ROWS_PER_CELL = 64
 
 
