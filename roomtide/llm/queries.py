@@ -4,23 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from . import chat, mixing, sharding
+from ..session import materialize, new_path
+from . import chat, language, mixing, sharding, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 SHARDS = 8
+#: Remainders of the documents that are held out when a model is fitted.
+TOP_K, QUERY_EVERY = 10, 100
+LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 5, 0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(folds: int) -> Column:
+    """Remainder of the CRC-32 of the document's id written as text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         QUERIES[name] = run
@@ -105,3 +113,55 @@ def op8_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         args={"hard": hard},
     )
     return chat.digests(chat.format_conversations(turns.unionByName(added)))
+
+
+@query("op10_ppm_language")
+def op10_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learnt from the rows outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold(LANGUAGE_FOLDS) == LANGUAGE_HELD_OUT)
+    model = language.fit(docs, ~F.col("held_out"))
+    found = language.identify(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
+
+
+TOP_SQL = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+
+@query("op6_nra_top_k", TOP_SQL)
+def op6_nra_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best inner products of every hundredth vector among all others."""
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors.filter(F.col("vec_id") % QUERY_EVERY == 0), vectors, TOP_K)
+
+
+WARC_SQL = """
+WITH pages AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), marked AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_page FROM pages
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
+FROM marked
+"""
+
+
+@query("op9_warc_revisits", WARC_SQL)
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records, repeats as revisits, and read back."""
+    path = new_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
