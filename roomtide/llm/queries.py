@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, new_path
-from . import chat, language, mixing, sharding, topk, warc
+from . import chat, language, mixing, sharding, simhash, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -165,3 +165,9 @@ def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query("op2_simhash_components")
+def op2_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and the component of near copies that it belongs to."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
