@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, new_path
-from . import chat, language, mixing, sharding, simhash, topk, warc
+from . import chat, language, mixing, quality, sharding, simhash, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -171,3 +171,11 @@ def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and the component of near copies that it belongs to."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op5_boosted_quality")
+def op5_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics, base rules and verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, trees).drop("text")
