@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, new_path
-from . import chat, language, mixing, quality, sharding, simhash, topk, warc
+from . import chat, language, mixing, packing, quality, sharding, simhash, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 SHARDS = 8
+PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Remainders of the documents that are held out when a model is fitted.
 TOP_K, QUERY_EVERY = 10, 100
 LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 5, 0
@@ -179,3 +181,11 @@ def op5_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     trees = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.judge(docs, trees).drop("text")
+
+
+@query("op7_bounded_packing")
+def op7_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every piece of every document lies in the packed sequences."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), PACKING_TOKENIZER)
+    crc = F.crc32("ids").alias("ids_crc32")
+    return pieces.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
