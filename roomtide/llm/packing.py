@@ -148,6 +148,8 @@ def pack(
                     words += own
                     words.append(b" ")
                     counts.append(len(own) + 1)
+                if known.full():
+                    known.reset()
                 numbers = known.numbers(words)
                 ids = known.ids(numbers)
                 ends = np.cumsum(np.add.reduceat(known.lengths[numbers], np.cumsum(counts) - counts))

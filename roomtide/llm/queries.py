@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, new_path
-from . import chat, language, mixing, packing, quality, sharding, simhash, topk, warc
+from . import chat, language, lm, mixing, packing, quality, sharding, simhash, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,6 +18,8 @@ ORACLES: dict[str, str] = {}
 SHARDS = 8
 PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Remainders of the documents that are held out when a model is fitted.
+SUBWORDS = lm.Subwords(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, end_id=50_256)
+SCORING_FOLDS, SCORING_HELD_OUT = 7, 2
 TOP_K, QUERY_EVERY = 10, 100
 LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 5, 0
 
@@ -189,3 +191,13 @@ def op7_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), PACKING_TOKENIZER)
     crc = F.crc32("ids").alias("ids_crc32")
     return pieces.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
+
+
+@query("op1_attention_scores")
+def op1_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document under the attention model and the base model."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(fold(SCORING_FOLDS) == SCORING_HELD_OUT, F.lit(False))
+    model, words = lm.fit(docs, ~held_out, SUBWORDS)
+    scored = lm.score(docs, model, words)
+    return scored.select("doc_id", held_out.alias("held_out"), *[c for c in scored.columns if c != "doc_id"])

@@ -1,7 +1,8 @@
 """Subword ids of many texts at once, with every distinct word encoded once per worker.
 
 Texts are cut at ASCII white space, which the tokenizers used here never join across, so the ids of a text are those
-of its words in order. A worker remembers the ids of the words it has met, up to a limit, and starts afresh beyond it.
+of its words in order. A worker remembers the ids of the words it has met; whoever uses
+them resets them once they are ``full``.
 """
 
 from __future__ import annotations
@@ -20,24 +21,30 @@ class WordIds:
 
     def __init__(self, encode: Callable[[list[bytes]], Sequence[Sequence[int]]], marks: dict[bytes, list[int]], limit: int = REMEMBERED):
         self.encode, self.marks, self.limit = encode, marks, limit
-        self._reset()
+        self.resets = 0
+        self.reset()
 
-    def _reset(self) -> None:
+    def full(self) -> bool:
+        return len(self.index) > self.limit
+
+    def reset(self) -> None:
+        """Forget all words; their numbers start anew."""
+        self.resets += 1
         self.index: dict[bytes, int] = {}
+        self.words: list[bytes] = []
         self.starts, self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
         self._add(list(self.marks), list(self.marks.values()))
 
     def _add(self, words: list[bytes], ids: Sequence[Sequence[int]]) -> None:
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         starts = len(self.flat) + np.cumsum(lengths) - lengths
+        self.words += words
         self.index.update(zip(words, range(len(self.index), len(self.index) + len(words)), strict=True))
         self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
         self.flat = np.concatenate([self.flat, np.array([i for w in ids for i in w], np.int32)])
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """Number of every word; words not met before are encoded together."""
-        if len(self.index) > self.limit:
-            self._reset()
         found = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(found < 0)
         if len(missing):
