@@ -16,6 +16,8 @@ result. Other columns are not read.
 from __future__ import annotations
 
 import os
+import string
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
@@ -35,6 +37,11 @@ FAN_IN = 8
 END_ID = 2
 #: Text bytes that are tokenised together.
 BATCH_BYTES = 1 << 22
+#: Marks that the tokenizer parts from letters before them; the apostrophe may join.
+MARKS = string.punctuation.replace("'", "").encode()
+#: Byte-level tokenizers spell a byte that does not print as a letter from 256 on, in order.
+_PRINTING = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTING)}
 #: Bits of a sequence number below the task number, and below the round number.
 TASK_SHIFT, ROUND_SHIFT = 32, 56
 
@@ -45,9 +52,35 @@ def word_ids(tokenizer: str) -> WordIds:
     from tokenizers import Tokenizer
 
     encoder = Tokenizer.from_file(tokenizer)
+    merges = encoder.model
+    marks: dict[bytes, list[int]] = {b"": []}
+
+    def merged(word: bytes) -> list[int] | None:
+        """Ids by the merges alone, for small letters with any marks behind, which the tokenizer's own
+        normalisation would pass on as they are and its splitting would part; None for anything else."""
+        letters = word.rstrip(MARKS)
+        mark = word[len(letters) :]
+        if mark not in marks:
+            if b"<|" in mark or len(marks) > 10_000:
+                return None
+            marks[mark] = encoder.encode(mark.decode(), add_special_tokens=False).ids
+        if letters.isascii():
+            if not (letters.isalpha() and letters.islower()):
+                return None
+            spelled = letters.decode()
+        else:
+            text = letters.decode()
+            if not text.isalpha() or text != text.lower() or not unicodedata.is_normalized("NFC", text):
+                return None
+            spelled = letters.decode("latin-1").translate(BYTE_LETTERS)
+        return [t.id for t in merges.tokenize(spelled)] + marks[mark]
 
     def encode(words: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in encoder.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        found = [merged(w) for w in words]
+        others = [i for i, ids in enumerate(found) if ids is None]
+        for i, whole in zip(others, encoder.encode_batch_fast([words[i].decode() for i in others], add_special_tokens=False), strict=True):
+            found[i] = whole.ids
+        return found
 
     # White space is never a word, so the end of a document can go by it.
     return WordIds(encode, {b" ": [END_ID]})
