@@ -201,3 +201,11 @@ def op1_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, words = lm.fit(docs, ~held_out, SUBWORDS)
     scored = lm.score(docs, model, words)
     return scored.select("doc_id", held_out.alias("held_out"), *[c for c in scored.columns if c != "doc_id"])
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed sequences that the corpus pipeline makes of all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
