@@ -349,6 +349,15 @@ def _(spark, sf):
     return order.index(order.attach(df)).select("event_id", F.col("row_index").cast("bigint").alias("row_index"))
 
 
+@query("forest_repeatable", "SELECT 0 AS differing")
+def _(spark, sf):
+    """Rows that only one of two partitionings keeps, with a pool far smaller than the table."""
+    df = views.readings(spark, sf)
+    kept = [remove_outliers_forest(part, trees=4, sample=64, seed=3).select("event_id") for part in (df, df.repartition(5))]
+    both = kept[0].exceptAll(kept[1]).unionAll(kept[1].exceptAll(kept[0]))
+    return both.agg(F.count(F.lit(1)).cast("int").alias("differing"))
+
+
 @query("forest_outliers")
 def _(spark, sf):
     return remove_outliers_forest(views.readings(spark, sf))

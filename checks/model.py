@@ -28,6 +28,20 @@ def _(spark, sf):
     return encoding.OneHot.fit(df, ["room_number"]).transform(df)
 
 
+@query(
+    "one_hot_sparse",
+    """WITH days AS (SELECT DISTINCT CAST(vis AS DOUBLE) AS v FROM rooms), names AS (SELECT DISTINCT room_number AS r FROM rooms),
+    a AS (SELECT r, row_number() OVER (ORDER BY r) - 1 AS p FROM names),
+    b AS (SELECT v, row_number() OVER (ORDER BY v) - 1 + (SELECT count(*) FROM names) AS p FROM days WHERE v IS NOT NULL)
+    SELECT event_id, a.p AS room_position, b.p AS vis_position FROM rooms JOIN a ON r = room_number LEFT JOIN b ON v = vis""",
+    ("rooms",),
+)
+def _(spark, sf):
+    df = encoding.one_hot_sparse(views.rooms(spark, sf).select("event_id", "room_number", "vis"), ["room_number", "vis"])
+    at = [F.get("encoded", F.lit(i)).cast("bigint") for i in range(2)]
+    return df.select("event_id", at[0].alias("room_position"), at[1].alias("vis_position"))
+
+
 @query(
     "one_hot_unknown",
     """SELECT event_id, CAST(room_number = 'n005' AS INTEGER) AS "__room_number_n005" FROM rooms""",
@@ -229,6 +243,24 @@ def _(spark, sf):
     )
 
 
+@query(
+    "assemble_vectors_fitting",
+    f"""WITH {_framed_sql("", 1)}, v AS (SELECT split, date_time, room_number, "CO2(t)" AS target, [{', '.join(f'({e})::DOUBLE' for e in _VECTOR)}] AS x
+      FROM framed, fit WHERE split <> 'test')
+    SELECT split, date_time, room_number, target, i AS position, round(x[i + 1]::FLOAT::DOUBLE, 4) AS value FROM v, range({len(_VECTOR)}) r(i)""",
+    ("rooms",),
+)
+def _(spark, sf):
+    frames = forecast.supervised_frames(_hourly(spark, sf), "CO2", ["dayofweek", "room_number"])
+    parts = [frames.vectors(part).withColumn("split", F.lit(part)) for part in ("train", "val")]
+    exploded = parts[0].unionByName(parts[1]).select(
+        "split", "date_time", "room_number", F.get("targets", F.lit(0)).cast("double").alias("target"), F.posexplode("features").alias("p", "value")
+    )
+    return exploded.select(
+        "split", "date_time", "room_number", "target", F.col("p").cast("bigint").alias("position"), F.round(F.col("value").cast("double"), 4).alias("value")
+    )
+
+
 @query(
     "assemble_inference_vectors",
     f"""WITH {_framed_sql("", 1)}, hot AS (SELECT *, {_DAYS_HOT}, {_ONE_HOT} FROM hourly),

@@ -40,7 +40,33 @@ def _(spark, sf):
 def _(spark, sf):
     df = views.readings(spark, sf).select("event_id", "date_time")
     right = clean_weather(views.weather(spark, sf)).select("date", "tavg", "pres")
-    return asof_nearest(df, right, left_order=["event_id"], broadcast_rows=0)
+    return asof_nearest(df, right, left_order=["event_id"], broadcast_bytes=0)
+
+
+# Weather moved to the Monday before: several rows at one time.
+_WEEKLY = "SELECT date_trunc('week', date) AS date, tavg, pres FROM weather WHERE wpgt IS NOT NULL"
+
+
+@query(
+    "asof_nearest_duplicates",
+    f"""WITH w AS ({_WEEKLY}), d AS (SELECT DISTINCT date FROM w),
+    spans AS (SELECT date, lag(date) OVER (ORDER BY date) AS before, lead(date) OVER (ORDER BY date) AS after FROM d),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY date ORDER BY tavg, pres) AS first_place,
+      row_number() OVER (PARTITION BY date ORDER BY tavg DESC, pres DESC) AS last_place FROM w)
+    SELECT path, event_id, date_time, spans.date, tavg, pres FROM readings JOIN spans ON {NEAREST}
+    JOIN ranked ON ranked.date = spans.date AND CASE WHEN date_time >= spans.date THEN last_place = 1 ELSE first_place = 1 END,
+    (VALUES ('broadcast'), ('ordered')) p(path)""",
+    ("readings", "weather"),
+)
+def _(spark, sf):
+    df = views.readings(spark, sf).select("event_id", "date_time")
+    right = clean_weather(views.weather(spark, sf)).select("date", "tavg", "pres")
+    right = right.withColumn("date", F.date_trunc("week", "date").cast("timestamp_ntz"))
+    ways = [
+        asof_nearest(df, right, tiebreak=["tavg", "pres"], left_order=["event_id"], broadcast_bytes=most).withColumn("path", F.lit(path))
+        for path, most in (("broadcast", 1 << 30), ("ordered", 0))
+    ]
+    return as_times(ways[0].unionByName(ways[1]), "date")
 
 
 # Readings of one kind matched with the last (next) reading of another kind in the same room.

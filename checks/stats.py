@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from roomtide.operators import explore, outliers, views as dashboard
+from roomtide.operators.quantiles import exact_quantiles
 from roomtide.operators.timeseries import winsorized_daily_counts
 from roomtide.plans.preprocess import sort_time
 from roomtide.schema import MEASURES
@@ -24,6 +25,15 @@ def _profile_sql(key: str, name: str, source: str = "rooms", values: str = 'avg(
 
 
 @query("hourly_profile", _profile_sql("CAST(hour(date_time) AS INTEGER)", "hour"), ("rooms",))
+def _(spark, sf):
+    return dashboard.hourly_profile(views.rooms(spark, sf), CHOSEN, dashboard.select_measures(["CO2", "tmp", "hum"]))
+
+
+@query(
+    "hourly_profile_three",
+    _profile_sql("CAST(hour(date_time) AS INTEGER)", "hour", values='avg("CO2") AS "CO2", avg(tmp) AS tmp, avg(hum) AS hum'),
+    ("rooms",),
+)
 def _(spark, sf):
     return dashboard.hourly_profile(views.rooms(spark, sf), CHOSEN, ["CO2", "tmp", "hum"])
 
@@ -56,6 +66,16 @@ def _(spark, sf):
     return dashboard.select_rooms(views.rooms(spark, sf).select("event_id", "room_number"), ["m001", "n005"])
 
 
+@query(
+    "select_rooms_all",
+    """SELECT event_id, room_number, 'all' AS scope FROM rooms
+    UNION ALL SELECT event_id, room_number, room_number AS scope FROM rooms WHERE room_number = 'm001'""",
+    ("rooms",),
+)
+def _(spark, sf):
+    return dashboard.select_rooms(views.rooms(spark, sf).select("event_id", "room_number"), ["all", "m001"])
+
+
 @query("select_date", "SELECT event_id, date_time FROM readings WHERE CAST(date_time AS DATE) = DATE '2024-01-13'", ("readings",))
 def _(spark, sf):
     df = views.readings(spark, sf).select("event_id", "date_time")
@@ -64,7 +84,7 @@ def _(spark, sf):
 
 @query("select_measures", "SELECT CAST(hour(date_time) AS INTEGER) AS hour, 'all' AS scope, avg(vis) AS vis, avg(hum) AS hum FROM rooms GROUP BY ALL", ("rooms",))
 def _(spark, sf):
-    return dashboard.hourly_profile(views.rooms(spark, sf), measures=["vis", "hum", "CO2"])
+    return dashboard.hourly_profile(views.rooms(spark, sf), measures=dashboard.select_measures(["vis", "hum", "CO2"]))
 
 
 @query("counts_by_room", "SELECT room_number, count(*) AS n FROM rooms GROUP BY ALL", ("rooms",))
@@ -130,6 +150,25 @@ def _(spark, sf):
     return rounded(explore.describe(views.lines(spark, sf)), "mean", "std")
 
 
+@query(
+    "quantiles_nan",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS measure, {p} AS probability, quantile_cont("{c}", {p}) FILTER (WHERE event_id % 5 <> 0) AS value FROM readings"""
+        for c in ("CO2", "tmp")
+        for p in (0.25, 0.5, 0.999)
+    ),
+    ("readings",),
+)
+def _(spark, sf):
+    gone = F.col("event_id") % 5 == 0
+    df = views.readings(spark, sf).select(
+        *[F.when(gone, F.lit(float("nan"))).otherwise(F.col(c).cast("double")).alias(c) for c in ("CO2", "tmp")]
+    )
+    found = exact_quantiles(df, ["CO2", "tmp"], [0.25, 0.5, 0.999])
+    rows = [(c, p, v) for c, values in found.items() for p, v in zip([0.25, 0.5, 0.999], values, strict=True)]
+    return spark.createDataFrame(rows, "measure string, probability double, value double")
+
+
 _TYPES = {
     "event_id": "bigint", "date_time": "timestamp_ntz", "device_id": "string", "CO2": "double", "VOC": "double", "tmp": "double",
     "hum": "double", "vis": "double", "IR": "double", "BLE": "double", "WIFI": "double", "snr": "string",

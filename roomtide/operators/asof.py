@@ -11,8 +11,9 @@ from ..functions.calendar import UNIT_MICROS, duration_micros, floor_micros, mic
 from ..schema import TIME
 from .ordered import RowOrder
 
-BROADCAST_ROWS = 200_000
-ROWS_PER_CELL = 64
+#: Largest right table, as JSON text, that is broadcast, and the most times in one of its cells.
+BROADCAST_BYTES = 32 << 20
+TIMES_PER_CELL = 64
 
 
 def asof_nearest(
@@ -22,18 +23,24 @@ def asof_nearest(
     right_on: str = "date",
     tiebreak: Sequence[str] = (),
     left_order: Sequence[str] = (),
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Each left row takes the right row closest in time; a tie goes to the earlier one.
 
+    Of several right rows at one time, in the order of ``tiebreak`` (of all columns without one), a left row
+    at that time or after it takes the last, a left row before it the first.
+
     A right table of checked size becomes midpoint intervals, cut into time cells and
     broadcast for an equi-join on the cell: the left table is not shuffled. A right table
-    that is larger, or crowds many rows into one cell, goes through :func:`asof_join`, which
-    needs ``left_order`` (columns that order left rows of the same time).
+    that is larger, or crowds many times into one cell, goes through :func:`asof_join`, which
+    needs ``left_order`` (columns that order left rows of the same time). Both give the same rows.
     """
     right = right.filter(F.col(right_on).isNotNull())
     size = right.agg(
-        F.count(F.lit(1)).alias("rows"), F.min(micros(right_on)).alias("low"), F.max(micros(right_on)).alias("high")
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes"),
+        F.min(micros(right_on)).alias("low"),
+        F.max(micros(right_on)).alias("high"),
     ).first()
     low, high = size.low or 0, size.high or 0
     cell = max(UNIT_MICROS["s"], (high - low) // max(size.rows, 1))
@@ -41,17 +48,22 @@ def asof_nearest(
     def cell_of(value):
         return (floor_micros(value, cell) / F.lit(cell)).cast("bigint")
 
-    fits = size.rows <= broadcast_rows
+    fits = (size.bytes or 0) <= broadcast_bytes
     if fits:
         times = right.select(cell_of(micros(right_on)).alias("cell"), right_on).groupBy("cell").agg(F.count_distinct(right_on).alias("n"))
-        fits = (times.agg(F.max("n").alias("n")).first().n or 0) <= ROWS_PER_CELL
+        fits = (times.agg(F.max("n").alias("n")).first().n or 0) <= TIMES_PER_CELL
+    ties = list(tiebreak) or sorted(c for c in right.columns if c != right_on)
     if not fits:
-        return asof_join(left, right, left_on, right_on, "nearest", left_order=left_order, right_order=tiebreak)
+        return asof_join(left, right, left_on, right_on, "nearest", left_order=left_order, right_order=ties)
 
     values = [c for c in right.columns if c != right_on]
-    ties = list(tiebreak) or sorted(values)
-    one_per_time = right.groupBy(right_on).agg(F.max_by(F.struct(*values), F.struct(*ties)).alias("_row")) if values else right.distinct()
-    # The checked row count keeps this window over the right table small.
+    row, order = F.struct(*values), F.struct(*ties)
+    one_per_time = (
+        right.groupBy(right_on).agg(F.max_by(row, order).alias("_last"), F.min_by(row, order).alias("_first"))
+        if values
+        else right.distinct()
+    )
+    # The checked size keeps this window over the right table small.
     by_time = Window.orderBy("_at")
     spans = one_per_time.withColumn("_at", micros(right_on)).withColumns(
         {"_from": F.lag("_at").over(by_time) + F.col("_at"), "_to": F.lead("_at").over(by_time) + F.col("_at")}
@@ -75,7 +87,8 @@ def asof_nearest(
         & (F.col("_to").isNull() | (F.col("_at2") <= F.col("_to"))),
         "left",
     )
-    matched = [F.col(f"_row.{c}").alias(c) for c in values]
+    passed = F.col("_at2") >= 2 * F.col("_at")
+    matched = [F.when(passed, F.col(f"_last.{c}")).otherwise(F.col(f"_first.{c}")).alias(c) for c in values]
     return joined.select(*left.columns, right_on, *matched)
 
 

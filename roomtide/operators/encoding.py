@@ -11,24 +11,24 @@ from pyspark.sql import types as T
 
 from ..functions.text import number, quoted
 from ..schema import numeric_columns
-
-MAX_CATEGORIES = 10_000
+from .ordered import RowOrder
 
 
 @dataclass(frozen=True)
 class OneHot:
-    """Sorted categories per feature; each becomes a 0/1 column ``__<feature>_<value>``."""
+    """Sorted categories per feature; each becomes a 0/1 column ``__<feature>_<value>``.
+
+    The names of the columns are the categories, so the driver has to know them. For features with
+    very many categories :func:`one_hot_sparse` gives the positions of the ones instead.
+    """
 
     categories: dict[str, list]
 
     @staticmethod
-    def fit(df: DataFrame, features: Sequence[str], max_categories: int = MAX_CATEGORIES) -> OneHot:
+    def fit(df: DataFrame, features: Sequence[str]) -> OneHot:
         found = {}
         for f in features:
-            values = [r[0] for r in df.select(f).filter(F.col(f).isNotNull()).distinct().limit(max_categories + 1).collect()]
-            if len(values) > max_categories:
-                raise ValueError(f"{f} has more than {max_categories} categories; too many for one column each")
-            found[f] = sorted(values)
+            found[f] = sorted(r[0] for r in df.select(f).filter(F.col(f).isNotNull()).distinct().collect())
         return OneHot(found)
 
     @property
@@ -45,6 +45,25 @@ class OneHot:
         return df.select(*kept, *encoded)
 
 
+def one_hot_sparse(df: DataFrame, features: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
+    """Replace the features by ``encoded``: the sorted positions of the ones among all categories of all features.
+
+    The categories stay a table and are met in joins; the number of categories is not limited. Positions follow
+    the order of features, then values; an unknown or missing value has none.
+    """
+    base = df if fit_on is None else fit_on
+    offset, kept = 0, [c for c in df.columns if c not in features]
+    positions = []
+    for i, f in enumerate(features):
+        categories = base.select(F.col(f).alias(f"_v{i}")).filter(F.col(f"_v{i}").isNotNull()).distinct()
+        order = RowOrder(categories, [f"_v{i}"])
+        numbered = RowOrder.detach(order.index(order.attach(categories), f"_p{i}"))
+        df = df.join(numbered, F.col(f) == F.col(f"_v{i}"), "left").drop(f"_v{i}")
+        positions.append(F.col(f"_p{i}") + F.lit(offset))
+        offset += order.total
+    return df.select(*kept, F.array_compact(F.array(*positions)).alias("encoded"))
+
+
 def minmax_scale(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
     """Map each column to [0, 1]; a constant column becomes 0."""
     columns = [columns] if isinstance(columns, str) else list(columns)

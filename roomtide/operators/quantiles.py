@@ -2,8 +2,9 @@
 
 ``percentile`` keeps every distinct value of a column in one task, which fails on large
 continuous columns. Here mergeable sketches narrow each wanted rank to a bracket, exact
-counts confirm the bracket, and only the few values inside it are looked at. A table
-counted as small goes to ``percentile`` after all.
+counts confirm the bracket, and only the few values inside it are looked at. A bracket
+that a sketch cannot narrow, because a few values are very frequent, is halved. Tables of
+every size take this path; NaN counts as missing.
 """
 
 from __future__ import annotations
@@ -14,13 +15,12 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GRID = 500
 ACCURACY = 20_000
 GATHER_ROWS = 2_000
-SMALL_CELLS = 2_000_000
 
 
 @dataclass
@@ -35,6 +35,7 @@ class _Bracket:
     below: int = 0
     inside: int = 0
     margin: int = 1
+    found: tuple[float, float] | None = None
 
     @property
     def condition(self):
@@ -45,6 +46,36 @@ class _Bracket:
 _STEPS = ", ".join(f"{i / GRID}D" for i in range(GRID + 1))
 
 
+def _number(df: DataFrame, column: str) -> Column:
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value).alias(column)
+
+
+def _halve(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """Narrow each bracket to the half that holds its ranks, or find them on either side of the middle."""
+    middles = [b.low / 2 + b.high / 2 for b in brackets]
+    under = [(F.col(b.column) >= F.lit(b.low)) & (F.col(b.column) <= F.lit(m)) for b, m in zip(brackets, middles, strict=True)]
+    over = [(F.col(b.column) > F.lit(m)) & (F.col(b.column) <= F.lit(b.high)) for b, m in zip(brackets, middles, strict=True)]
+    row = df.agg(
+        *[F.count_if(u).alias(f"n{i}") for i, u in enumerate(under)],
+        *[F.max(F.when(u, F.col(b.column))).alias(f"l{i}") for i, (b, u) in enumerate(zip(brackets, under, strict=True))],
+        *[F.min(F.when(o, F.col(b.column))).alias(f"h{i}") for i, (b, o) in enumerate(zip(brackets, over, strict=True))],
+    ).first()
+    for i, b in enumerate(brackets):
+        if b.last < b.below + row[f"n{i}"]:
+            b.high = row[f"l{i}"]
+        elif b.first >= b.below + row[f"n{i}"]:
+            b.low = row[f"h{i}"]
+        else:
+            b.found = (row[f"l{i}"], row[f"h{i}"])
+
+
+def _finite(b: _Bracket, grid: list[float]) -> _Bracket:
+    """The bracket with the smallest and largest value inside it for open ends."""
+    b.low, b.high = max(b.low, grid[0]), min(b.high, grid[-1])
+    return b
+
+
 def _grid_of(column: str, condition=None):
     value = F.col(column).cast("double")
     if condition is not None:
@@ -62,22 +93,11 @@ def _cell(grid: list[float], below: int, inside: int, b: _Bracket) -> tuple[floa
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    small_cells: int = SMALL_CELLS,
-    rows: int | None = None,
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    """Quantiles of each column over its non-null values; ``None`` for an empty column.
-
-    ``rows`` is a known upper bound on the row count and spares the count.
-    """
+    """Quantiles of each column over its values that are neither null nor NaN; ``None`` where there are none."""
     columns = list(dict.fromkeys(columns))
-    if (df.count() if rows is None else rows) * len(columns) <= small_cells:
-        wanted = F.array(*[F.lit(p) for p in probabilities])
-        row = df.agg(*[F.percentile(c, wanted).alias(f"q{i}") for i, c in enumerate(columns)]).first()
-        return {c: list(row[f"q{i}"] or [None] * len(probabilities)) for i, c in enumerate(columns)}
-
+    df = df.select(*[_number(df, c) for c in columns])
     first = df.agg(
         *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
         *[_grid_of(c).alias(f"g{i}") for i, c in enumerate(columns)],
@@ -114,19 +134,19 @@ def exact_quantiles(
                 *[F.count_if(F.col(b.column) < F.lit(b.low)).alias(f"b{i}") for i, b in enumerate(refine)],
                 *[_grid_of(b.column, b.condition).alias(f"g{i}") for i, b in enumerate(refine)],
             ).first()
-            kept = []
+            stuck = []
             for i, b in enumerate(refine):
                 before = (b.low, b.high)
                 low, high = _cell(grids[f"g{i}"], grids[f"b{i}"], grids[f"n{i}"], b)
                 b.low, b.high = max(low, b.low), min(high, b.high)
-                if (b.low, b.high) != before:
-                    kept.append(b)
-                else:
-                    b.below, b.inside = grids[f"b{i}"], grids[f"n{i}"]
-            refine = kept
-        pending = refine
-
-    values = _gather(df, [b for b in brackets.values() if b.low < b.high])
+                b.below, b.inside = grids[f"b{i}"], grids[f"n{i}"]
+                if (b.low, b.high) == before:
+                    stuck.append(b)
+            if stuck:
+                _halve(df, [_finite(b, grids[f"g{refine.index(b)}"]) for b in stuck])
+        pending = [b for b in refine if b.found is None]
+
+    values = _gather(df, [b for b in brackets.values() if b.low < b.high and b.found is None])
     result: dict[str, list[float | None]] = {}
     for c in columns:
         result[c] = []
@@ -135,11 +155,13 @@ def exact_quantiles(
             if b is None:
                 result[c].append(None)
                 continue
-            if b.low == b.high:
-                result[c].append(float(b.low))
-                continue
-            counted = values[id(b)]
-            low, high = _at(counted, b.first - b.below), _at(counted, b.last - b.below)
+            if b.found is not None:
+                low, high = b.found
+            elif b.low == b.high:
+                low = high = float(b.low)
+            else:
+                counted = values[id(b)]
+                low, high = _at(counted, b.first - b.below), _at(counted, b.last - b.below)
             n = first[f"n{columns.index(c)}"]
             result[c].append(low + (high - low) * (p * (n - 1) - b.first))
     return result

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from ..schema import ROOM, TIME
 
 ALL_ROOMS = "all"
-MAX_MEASURES = 2
+SHOWN_MEASURES = 2
 
 
 def select_measures(measures: Sequence[str]) -> list[str]:
-    """At most the first two measures are shown."""
-    return list(measures)[:MAX_MEASURES]
+    """The dashboard's rule: its charts show at most the first two measures."""
+    return list(measures)[:SHOWN_MEASURES]
 
 
 def _scopes(rooms: Sequence[str], room: str) -> Column:
@@ -37,7 +37,6 @@ def select_rooms(df: DataFrame, rooms: Sequence[str], room: str = ROOM) -> DataF
 
 def _profile(df: DataFrame, key: Column, name: str, rooms: Sequence[str], measures: Sequence[str], room: str) -> DataFrame:
     """Means per key and series. Readings are summed once per (key, room); series are added up from that."""
-    measures = select_measures(measures)
     sums = _wanted(df, rooms, room).groupBy(key.alias(name), room).agg(
         *[F.sum(m).alias(f"_s{i}") for i, m in enumerate(measures)],
         *[F.count(m).alias(f"_n{i}") for i, m in enumerate(measures)],

@@ -96,8 +96,10 @@ def inference_vectors(df: DataFrame, fitted: SupervisedFrames, time: str = TIME,
     df = fitted.encoder.transform(df.withColumns({"_room": F.col(room)}))
     if fitted.pre_scaler is not None:
         df = fitted.pre_scaler.transform(df)
-    missing = [F.lit(0).alias(c) for c in fitted.columns if c not in df.columns]
-    df = inference_frame(df.select("*", *missing), fitted.columns, keep=(time, "_room"))
+    missing = [c for c in fitted.columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"inputs missing for inference: {', '.join(missing)}")
+    df = inference_frame(df, fitted.columns, keep=(time, "_room"))
     scaled = fitted.scaler.transform(df.withColumnRenamed("_room", room))
     return assemble_vectors(scaled, fitted.inputs, keep=(time, room))
 

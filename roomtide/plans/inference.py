@@ -23,7 +23,7 @@ def inference_pipeline(
 ) -> DataFrame:
     """Preprocess new readings (outliers stay by default) and shape them like the training inputs."""
     df = preprocess(readings, weather, window, every, outliers=outliers, label=fitted.label, **options)
-    if not is_forecast:
+    if not is_forecast and fitted.label not in fitted.columns:
         df = df.drop(fitted.label)
     return inference_vectors(df, fitted)
 

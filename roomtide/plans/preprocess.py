@@ -16,9 +16,11 @@ from ..operators.cleaning import (
     drop_features,
     drop_frozen_spikes,
     drop_incomplete_rows,
+    drop_null_time,
     extract_room,
     fill_na,
     fill_radio_counts,
+    nan_to_null,
     range_validity,
     replace_inf,
 )
@@ -59,8 +61,10 @@ def preprocess(
     ``within=['room_number']`` keeps both inside a room. Tables that several passes read
     are written to the shared folder once.
     """
-    df = fill_radio_counts(readings) if fill_counts else readings
-    df = convert_types(drop_incomplete_rows(df), time)
+    df = nan_to_null(readings)
+    df = fill_radio_counts(df) if fill_counts else df
+    # Rows whose time cannot be read have no place in any order.
+    df = drop_null_time(convert_types(drop_incomplete_rows(df), time), time)
     if outliers:
         df = remove_outliers_forest(df, contamination, seed=seed)
     df = drop_features(dedup_key(extract_room(df), [time, ROOM]))

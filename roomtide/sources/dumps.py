@@ -14,8 +14,6 @@ from ..functions.text import quoted
 from ..operators.cleaning import nan_to_null
 from ..schema import READING_TYPES, READINGS
 
-MAX_LAYOUTS = 100
-
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -66,10 +64,7 @@ def scan_dat(
     lines = _lines(spark, path)
     header = F.col("value").rlike(f'(^|{delimiter}) *"?{time}"? *({delimiter}|$)')
     if layouts is None:
-        found = lines.filter(header).select("value").distinct().limit(MAX_LAYOUTS + 1).collect()
-        if len(found) > MAX_LAYOUTS:
-            raise ValueError(f"more than {MAX_LAYOUTS} different header lines; pass the layouts in use")
-        layouts = sorted(r.value for r in found)
+        layouts = sorted(r.value for r in lines.filter(header).select("value").distinct().collect())
     if not layouts:
         return spark.createDataFrame([], READINGS)
     columns = {n: types.get(n, T.StringType()) for layout in layouts for n in _fields(layout, delimiter)}

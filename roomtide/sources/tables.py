@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..operators.cleaning import nan_to_null
 from ..schema import ROOM
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Read a table; NaN, which would spoil every mean, becomes NULL."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    return nan_to_null(reader.parquet(path))
 
 
 def sink_parquet(df: DataFrame, path: str, partition_by: str | None = ROOM, mode: str = "errorifexists") -> None:

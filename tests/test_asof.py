@@ -13,19 +13,19 @@ def weather(spark):
     return spark.createDataFrame([(DAY1, 1.0), (DAY2, 2.0)], "date timestamp_ntz, tavg double")
 
 
-@pytest.mark.parametrize("broadcast_rows", [100, 0])
-def test_noon_tie_goes_to_the_earlier_day(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [100_000, 0])
+def test_noon_tie_goes_to_the_earlier_day(spark, broadcast_bytes):
     times = [DAY1 + timedelta(hours=12, microseconds=m) for m in (-1, 0, 1)] + [DAY1 - timedelta(days=9), DAY2 + timedelta(days=9)]
     df = spark.createDataFrame([(t,) for t in times], "date_time timestamp_ntz")
-    got = asof_nearest(df, weather(spark), broadcast_rows=broadcast_rows).orderBy("date_time").collect()
+    got = asof_nearest(df, weather(spark), broadcast_bytes=broadcast_bytes).orderBy("date_time").collect()
     assert [r.tavg for r in got] == [1.0, 1.0, 1.0, 2.0, 2.0]
 
 
-@pytest.mark.parametrize("broadcast_rows", [100, 0])
-def test_left_rows_stay_without_weather_or_time(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [100_000, 0])
+def test_left_rows_stay_without_weather_or_time(spark, broadcast_bytes):
     df = spark.createDataFrame([(DAY1,), (None,)], "date_time timestamp_ntz")
-    assert asof_nearest(df, weather(spark).limit(0), broadcast_rows=broadcast_rows).count() == 2
-    got = asof_nearest(df, weather(spark), broadcast_rows=broadcast_rows).collect()
+    assert asof_nearest(df, weather(spark).limit(0), broadcast_bytes=broadcast_bytes).count() == 2
+    got = asof_nearest(df, weather(spark), broadcast_bytes=broadcast_bytes).collect()
     assert {r.date_time: r.tavg for r in got} == {DAY1: 1.0, None: None}
 
 

@@ -52,9 +52,10 @@ def test_minmax_constant_column(spark):
     assert [r.x for r in encoding.minmax_scale(df, "x").collect()] == [0.0, 0.0, None]
 
 
-def test_too_many_categories_is_an_error(spark):
-    with pytest.raises(ValueError, match="categories"):
-        encoding.OneHot.fit(spark.range(50), ["id"], max_categories=49)
+def test_many_categories_have_positions(spark):
+    df = spark.range(20_000).select("id", (F.col("id") % 12_000).alias("kind"), F.when(F.col("id") > 5, F.lit("x")).alias("name"))
+    got = {r.id: r.encoded for r in encoding.one_hot_sparse(df, ["kind", "name"]).collect()}
+    assert got[0] == [0] and got[5] == [5] and got[12_007] == [7, 12_000] and len(got) == 20_000
 
 
 @pytest.mark.parametrize(

@@ -19,19 +19,31 @@ def test_selection_equals_numpy(spark, rows, gather, monkeypatch):
         F.lit(2.5).alias("constant"),
         F.lit(None).cast("double").alias("empty"),
     )
-    got = exact_quantiles(df, df.columns, PROBABILITIES, small_cells=-1)
-    small = exact_quantiles(df, df.columns, PROBABILITIES)
+    got = exact_quantiles(df, df.columns, PROBABILITIES)
     frame = df.toPandas().astype(float)
     for c in df.columns:
         values = frame[c].dropna().to_numpy()
         if not len(values):
-            assert got[c] == [None] * len(PROBABILITIES) == small[c]
+            assert got[c] == [None] * len(PROBABILITIES)
             continue
         expected = np.quantile(values, PROBABILITIES)
         assert got[c] == pytest.approx(expected, rel=1e-12)
-        assert small[c] == pytest.approx(expected, rel=1e-12)
 
 
 def test_linear_interpolation(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,)], "x double")
-    assert exact_quantiles(df, ["x"], [0.25], small_cells=-1) == {"x": [1.75]}
+    assert exact_quantiles(df, ["x"], [0.25]) == {"x": [1.75]}
+
+
+@pytest.mark.parametrize("rows", [6, 4_000])
+def test_nan_is_missing_and_frequent_values_are_halved(spark, rows, monkeypatch):
+    monkeypatch.setattr(quantiles, "GATHER_ROWS", 2)
+    # Nine in ten values are one of two, the rest lie far out.
+    df = spark.range(rows).select(
+        F.when(F.col("id") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("id") % 11 + 0.5).alias("x"),
+        F.when(F.col("id") % 10 == 9, (F.col("id") * 1e9).cast("double")).otherwise((F.col("id") % 2).cast("double")).alias("y"),
+    )
+    frame = df.toPandas()
+    got = exact_quantiles(df, ["x", "y"], PROBABILITIES)
+    for c in ("x", "y"):
+        assert got[c] == pytest.approx(np.quantile(frame[c].dropna(), PROBABILITIES), rel=1e-12)
