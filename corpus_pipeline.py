@@ -15,6 +15,8 @@ An empty table passes through all stages as an empty table. Extra columns are ke
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,18 +29,25 @@ LEAST_CERTAIN = 0.35
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def _kept(docs: DataFrame, judged: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The rows that ``judged`` (given the rows and the name of the text) leaves, with the columns of ``docs``.
+
+    Columns go by number meanwhile, so that no name clashes with a verdict's.
+    """
+    numbered = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    left = judged(numbered, f"_{docs.columns.index('text')}")
+    return left.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.fit(docs, F.lit(True))
-    # The verdict goes beside the row, so that columns of any name stay as they are.
-    rows = docs.select(F.col("text"), F.struct("*").alias("_row"))
-    found = language.identify(rows, model)
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_CERTAIN)).select("_row.*")
+    certain = (F.col("lang_pred") != "und") & (F.col("score") >= LEAST_CERTAIN)
+    return _kept(docs, lambda rows, text: language.identify(rows, model, text).filter(certain))
 
 
 def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     trees = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rows = docs.select(F.col("text"), F.struct("*").alias("_row"))
-    return quality.judge(rows, trees).filter("kept").select("_row.*")
+    return _kept(docs, lambda rows, text: quality.judge(rows, trees, text).filter("kept"))
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

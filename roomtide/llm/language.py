@@ -29,8 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import small_batches
+
 #: Most bytes that the tables of all languages take together.
-TABLE_BYTES = 1 << 27
+TABLE_BYTES = 1 << 26
 MOST_SYMBOLS = 64
 ORDER = 3
 #: Texts are coded in stretches of at most so many bytes; a longer text goes on in the next.
@@ -127,6 +129,7 @@ def _training(docs: DataFrame, text: str, lang: str, where: Column) -> DataFrame
 
 def fit(docs: DataFrame, where: Column, text: str = "text", lang: str = "lang", table_bytes: int = TABLE_BYTES) -> ContextTrees:
     """Context trees of every language among the rows that ``where`` picks."""
+    small_batches(docs.sparkSession)
     rows = _training(docs, text, lang, where)
 
     def count_bytes(batches):
@@ -180,6 +183,7 @@ def fit(docs: DataFrame, where: Column, text: str = "text", lang: str = "lang",
 
 def identify(docs: DataFrame, model: ContextTrees, text: str = "text") -> DataFrame:
     """Add ``lang_pred``, ``score`` (0 to 1) and ``bits_per_byte`` under the best language; no shuffle."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     added = ("lang_pred", "score", "bits_per_byte")
     kept = [c for c in docs.columns if c not in added]

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
+from .batches import small_batches
 from .wordpieces import WordIds, batches_of
 
 WINDOW = 4096
@@ -36,7 +37,7 @@ LEAST_CUT = 64
 FAN_IN = 8
 END_ID = 2
 #: Text bytes that are tokenised together.
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 21
 #: Marks that the tokenizer parts from letters before them; the apostrophe may join.
 MARKS = string.punctuation.replace("'", "").encode()
 #: Byte-level tokenizers spell a byte that does not print as a letter from 256 on, in order.
@@ -166,6 +167,7 @@ def pack(
     least_cut: int = LEAST_CUT,
 ) -> DataFrame:
     """One row per piece: key, ``start``, ``length``, ``ids`` (little-endian 32-bit), ``doc_tokens``, ``sequence_id``, ``offset``."""
+    small_batches(docs.sparkSession)
     narrow = docs.select(key, text)
     schema, arrow = _schema(narrow.schema[0])
 

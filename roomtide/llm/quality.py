@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import small_batches
+
 #: Most labelled documents that the trees are grown on.
 SAMPLE = 20_000
 LEAST_WORDS = 20
@@ -204,6 +206,7 @@ def boost(
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of at most ``most`` labelled documents; the same ones on every run."""
+    small_batches(docs.sparkSession)
     known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("_id"), F.col(label).alias("_y"))
     # At most ``most`` rows of two numbers, so they may be broadcast.
     picked = known.groupBy("_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(most)
@@ -231,6 +234,7 @@ def fit(
 
 def judge(docs: DataFrame, trees: Trees | None, text: str = "text", least: float = 0.5) -> DataFrame:
     """Add the counts, ``base_failed``, ``probability`` and ``kept`` to every document; no shuffle."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(trees)
     kept = [c for c in docs.columns if c not in (*COUNTS, "base_failed", "probability", "kept")]
     schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema

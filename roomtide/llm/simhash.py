@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .batches import small_batches
 from .graph import components
 
 BITS = 64
@@ -71,6 +72,7 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """``key`` and ``fp`` (the 64 bits as a signed number) of every document; no shuffle."""
+    small_batches(docs.sparkSession)
     schema = docs.select(F.col(key)).schema.add("fp", "long")
 
     def hash_texts(batches):

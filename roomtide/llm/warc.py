@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .batches import small_batches
 
 LEAST_BYTES = 100
 RECORD_END = "\r\n\r\n"
@@ -224,6 +225,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                 if rows:
                     yield _batch(rows, names, types)
 
+    small_batches(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.filter("length > 0").select("content").mapInArrow(records, RECORDS)
 

@@ -13,7 +13,7 @@ from itertools import repeat
 import numpy as np
 
 #: Words remembered by a worker.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 
 class WordIds:
