@@ -194,6 +194,20 @@ def _(spark, sf):
     return rounded(timeseries.resample_roll(views.lines(spark, sf), "30d", "1d"), "quantity", "price")
 
 
+# A window of 4,320 bins.
+@query(
+    "resample_roll_minutes",
+    f"""WITH {dense_sql("rooms", "1 minute", 'avg("CO2") AS "CO2", avg(tmp) AS tmp')},
+    rolled AS (SELECT room_number, bin AS date_time, round(avg("CO2") OVER w, 6) AS "CO2", round(avg(tmp) OVER w, 6) AS tmp
+      FROM dense WINDOW w AS (PARTITION BY room_number ORDER BY bin RANGE BETWEEN INTERVAL '2 days 23:59:59.999999' PRECEDING AND CURRENT ROW))
+    SELECT * FROM rolled WHERE "CO2" IS NOT NULL AND tmp IS NOT NULL""",
+    ("rooms",),
+)
+def _(spark, sf):
+    df = views.rooms(spark, sf).select("date_time", "room_number", "CO2", "tmp")
+    return rounded(timeseries.resample_roll(df, "3d", "1min"), "CO2", "tmp")
+
+
 @query(
     "room_diff",
     """SELECT event_id, date_time, room_number, "CO2", tmp, vis, tmp - lag(tmp) OVER w AS tmp_diff, vis - lag(vis) OVER w AS vis_diff

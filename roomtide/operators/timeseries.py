@@ -126,30 +126,27 @@ def rolling_time_mean(
 ) -> DataFrame:
     """Mean over ``(t - window, t]`` of bins that are ``step`` apart; missing bins are skipped.
 
-    Each series is cut into stretches of time, and a bin is also given to the next stretch
-    if that one still looks back on it. A stretch holds one row per bin, so no task gets a
-    whole series however long it is.
+    Each series is cut into stretches as long as the window. A window then is the end of one stretch and the
+    beginning of the next: a running sum from the start of its own stretch, and one from the end of the stretch before,
+    whose bins are handed on, moved by the window. So a bin costs the same whatever the width, nothing is
+    subtracted, and no task gets a whole series.
     """
-    width, size = duration_micros(window), duration_micros(step)
-    stretch = max(width, size * CHUNK_BINS)
+    width = duration_micros(window)
     at = micros(time)
-    own = ((at - F.pmod(at, F.lit(stretch))) / F.lit(stretch)).cast("bigint")
-    reach = at + F.lit(width - 1)
-    latest = ((reach - F.pmod(reach, F.lit(stretch))) / F.lit(stretch)).cast("bigint")
-    spread = df.withColumns({"_at": at, "_own": own}).withColumn("_stretch", F.explode(F.sequence(own, latest)))
+    own = ((at - F.pmod(at, F.lit(width))) / F.lit(width)).cast("bigint")
+    here = F.struct(at.alias("_at"), own.alias("_stretch"), F.lit(False).alias("_moved"))
+    moved = F.struct((at + F.lit(width)).alias("_at"), (own + 1).alias("_stretch"), F.lit(True).alias("_moved"))
+    spread = df.filter(F.col(time).isNotNull()).withColumn("_place", F.explode(F.array(here, moved))).select(*df.columns, "_place.*")
     series = ", ".join([*map(quoted, by), "_stretch"])
-    frame = f"(PARTITION BY {series} ORDER BY _at RANGE BETWEEN {width - 1} PRECEDING AND CURRENT ROW)"
+    # At equal times the moved bin lies just outside the window, so the bin itself comes first.
+    frames = (f"(PARTITION BY {series} ORDER BY _at)", f"(PARTITION BY {series} ORDER BY _at DESC, _moved)")
     means = {}
     for c in columns:
-        mean = f"avg({quoted(c)}) OVER {frame}"
-        if min_count > 1:
-            mean = f"CASE WHEN count({quoted(c)}) OVER {frame} >= {min_count} THEN {mean} END"
-        means[c] = f"{mean} AS {quoted(c)}"
-    return (
-        spread.selectExpr("_own", "_stretch", *[means.get(c, quoted(c)) for c in df.columns])
-        .filter("_own = _stretch")
-        .drop("_own", "_stretch")
-    )
+        parts = [f"CASE WHEN {test} THEN {quoted(c)} END" for test in ("NOT _moved", "_moved")]
+        total = " + ".join(f"coalesce(sum(CAST({p} AS DOUBLE)) OVER {f}, 0)" for p, f in zip(parts, frames, strict=True))
+        count = " + ".join(f"count({p}) OVER {f}" for p, f in zip(parts, frames, strict=True))
+        means[c] = f"CASE WHEN {count} >= {max(min_count, 1)} THEN ({total}) / ({count}) END AS {quoted(c)}"
+    return spread.selectExpr("_moved", *[means.get(c, quoted(c)) for c in df.columns]).filter("NOT _moved").drop("_moved")
 
 
 def resample_roll(
