@@ -317,6 +317,20 @@ def _(spark, sf):
     return forecast.predictions_with_actuals(fitted, models)
 
 
+@query("forecast_saved", "SELECT 0 AS differing, true AS some")
+def _(spark, sf):
+    """Predictions that differ after the fitted state was written and read again."""
+    df = _hourly(spark, sf)
+    fitted = forecast.supervised_frames(df, "CO2", ["dayofweek", "room_number"], horizons=2, skip_scale=False)
+    models = forecast.forecast_train(fitted)
+    path = new_path(spark, "forecast")
+    forecast.save_forecast(path, spark, fitted, models)
+    ways = [forecast.forecast_predict(forecast.inference_vectors(df, f), m) for f, m in ((fitted, models), forecast.load_forecast(path, spark))]
+    differing = ways[0].exceptAll(ways[1]).unionAll(ways[1].exceptAll(ways[0]))
+    found = differing.agg(F.count(F.lit(1)).cast("int").alias("differing"))
+    return found.join(ways[0].agg((F.count(F.lit(1)) > 0).alias("some")))
+
+
 @query("forecast_new_readings")
 def _(spark, sf):
     readings, weather = _raw(spark, sf), views.weather(spark, sf)

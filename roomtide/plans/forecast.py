@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.ml import Estimator, Model
+from pyspark.ml.pipeline import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.encoding import OneHot, StandardScaler, assemble_vectors, sort_columns
@@ -25,7 +27,7 @@ CATEGORIES = ["season", "room_number", "dayofweek"]
 class SupervisedFrames:
     """Framed and scaled rows, labelled by ``split``, with the fitted state needed at inference."""
 
-    rows: DataFrame
+    rows: DataFrame | None
     encoder: OneHot
     scaler: StandardScaler
     pre_scaler: StandardScaler | None
@@ -105,8 +107,12 @@ def inference_vectors(df: DataFrame, fitted: SupervisedFrames, time: str = TIME,
 
 
 def forecast_train(fitted: SupervisedFrames, estimator: Estimator | None = None) -> list[Model]:
-    """One regressor per horizon on the training part."""
-    train = fitted.vectors("train").withColumn("features", array_to_vector("features"))
+    """One regressor per horizon on the training part.
+
+    The vectors are written once, so each horizon reads them instead of scaling the frame again.
+    """
+    vectors = materialize(fitted.vectors("train"), "training-vectors")
+    train = vectors.withColumn("features", array_to_vector("features"))
     # With few features the default solver needs one pass over the data (normal equations).
     estimator = estimator or LinearRegression(regParam=0.1)
     return [
@@ -150,3 +156,43 @@ def train_variants(
         frame = supervised_frames(df, label, present, horizons=horizons, **options)
         fitted[name] = (frame, forecast_train(frame, estimator))
     return fitted
+
+
+def save_forecast(path: str, spark: SparkSession, fitted: SupervisedFrames, models: Sequence[Model]) -> None:
+    """Write all that inference needs below ``path``: encoder, scalers, column order and one model per horizon.
+
+    Categories have to be text, numbers or booleans, as JSON keeps them.
+    """
+    state = {
+        "categories": {f: list(values) for f, values in fitted.encoder.categories.items()},
+        "columns": fitted.columns,
+        "inputs": fitted.inputs,
+        "label": fitted.label,
+        "horizons": fitted.horizons,
+        "scaler": asdict(fitted.scaler),
+        "pre_scaler": fitted.pre_scaler and asdict(fitted.pre_scaler),
+    }
+    spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1).write.parquet(f"{path}/state")
+    PipelineModel(list(models)).write().save(f"{path}/models")
+
+
+def load_forecast(path: str, spark: SparkSession) -> tuple[SupervisedFrames, list[Model]]:
+    """What :func:`save_forecast` wrote; the training rows are not part of it."""
+    state = json.loads(spark.read.parquet(f"{path}/state").first().state)
+
+    def scaler(saved: dict | None) -> StandardScaler | None:
+        return saved and StandardScaler(*[tuple(saved[k]) for k in ("features", "means", "deviations")])
+
+    fitted = SupervisedFrames(
+        None,
+        OneHot(state["categories"]),
+        scaler(state["scaler"]),
+        scaler(state["pre_scaler"]),
+        tuple(state["columns"]),
+        tuple(state["inputs"]),
+        state["label"],
+        state["horizons"],
+    )
+    return fitted, PipelineModel.load(f"{path}/models").stages
+
+

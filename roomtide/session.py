@@ -53,6 +53,19 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/roomtide/{label}-{uuid.uuid4().hex}"
 
 
+_WRITTEN: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process has written so far; results read from them must be written before."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    gone = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        gone += path.getFileSystem(conf).delete(path, True)
+    return gone
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write ``df`` to the shared folder and read it back.
 
@@ -62,4 +75,5 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -68,3 +68,15 @@ def test_profiles_sum_before_the_shuffle(spark, sf_dir):
     text = plan(dashboard.hourly_profile(views.rooms(spark, sf_dir), ["all", "m000"], ["CO2"]))
     assert "Expand" not in text
     assert text.rstrip().splitlines()[-1].lstrip(" +-:").startswith("FileScan")
+
+
+def test_release_deletes_intermediate_tables(spark):
+    import os
+
+    from roomtide.session import materialize, release
+
+    release(spark)
+    table = materialize(spark.range(5), "released")
+    folder = os.path.dirname(table.inputFiles()[0].removeprefix("file:"))
+    assert table.count() == 5 and os.path.isdir(folder)
+    assert release(spark) == 1 and not os.path.exists(folder) and release(spark) == 0
