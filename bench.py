@@ -17,6 +17,7 @@ from checks import QUERIES  # noqa: E402
 from roomtide.session import local_session  # noqa: E402
 
 HEADLINE = [
+    "scan_dat",
     "hourly_profile",
     "daily_means",
     "daily_counts_dense",
@@ -34,13 +35,16 @@ HEADLINE = [
     "drop_frozen_spikes",
     "fill_na",
     "asof_nearest_weather",
+    "asof_nearest_large",
     "asof_backward_by_room",
     "resample_mean",
     "resample_roll",
     "resample_roll_lines",
+    "resample_roll_minutes",
     "room_diff",
     "lag_frame",
     "calendar_features",
+    "supervised_frames",
     "one_hot",
     "standard_scale",
     "time_series_split_lines",
