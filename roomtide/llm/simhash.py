@@ -41,6 +41,8 @@ SEED = 42
 BLOCK = 512
 #: Cells of up to this many rows are compared row against row in one sweep.
 SMALL = 16
+#: Visits of cells that one task compares.
+TASK_ROWS = 1_000_000
 #: What a probe costs in comparisons.
 PROBE_COST = 2.0
 #: Hashes whose bits are counted together.
@@ -300,7 +302,9 @@ def links(fps: DataFrame, distance: int = DISTANCE, parts: int | None = None, bl
             s = slice(k, k + (1 << 18))
             yield pa.RecordBatch.from_pydict({"a": a[s].view(np.int64), "b": b[s].view(np.int64)})
 
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total * parts // 1_000_000)
+    # Where thresholds must exceed 0, a fingerprint probes the neighbours of about one part as well.
+    visits = parts + (BITS // parts if parts <= distance else 0)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total * visits // TASK_ROWS)
     found = rows.repartition(tasks, "part", "cell", "first", "second").mapInArrow(compare, "a long, b long")
     return found.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
