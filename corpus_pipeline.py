@@ -52,9 +52,14 @@ def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(docs)
-    first = materialize(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "first")
-    kept = docs.join(first.withColumnRenamed("doc_id", "_first"), F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    # A null id is a key like any other. Join and removal of repeated rows go by the same keys, so texts are shuffled once.
+    keys = [F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_key")]
+    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*keys).distinct()
+    numbered = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    own = F.col(f"_{docs.columns.index('doc_id')}")
+    keyed = numbered.select("*", own.isNull().alias("_none"), F.coalesce(own, F.lit(0)).alias("_key"))
+    kept = keyed.join(materialize(first, "first"), ["_none", "_key"], "left_semi").dropDuplicates(["_none", "_key"])
+    return kept.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
