@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 from .batches import small_batches
-from .wordpieces import WordIds, batches_of
+from .wordpieces import WordIds, batches_of, in_a_row
 
 WINDOW = 4096
 OPEN = 16
@@ -76,12 +76,12 @@ def word_ids(tokenizer: str) -> WordIds:
             spelled = letters.decode("latin-1").translate(BYTE_LETTERS)
         return [t.id for t in merges.tokenize(spelled)] + marks[mark]
 
-    def encode(words: list[bytes]) -> list[list[int]]:
+    def encode(words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         found = [merged(w) for w in words]
         others = [i for i, ids in enumerate(found) if ids is None]
         for i, whole in zip(others, encoder.encode_batch_fast([words[i].decode() for i in others], add_special_tokens=False), strict=True):
             found[i] = whole.ids
-        return found
+        return in_a_row(words, found)
 
     # White space is never a word, so the end of a document can go by it.
     return WordIds(encode, {b" ": [END_ID]})

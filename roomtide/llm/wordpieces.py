@@ -17,9 +17,12 @@ REMEMBERED = 300_000
 
 
 class WordIds:
-    """Ids of words as numpy arrays: word number, then ``starts`` and ``lengths`` in ``flat``."""
+    """Ids of words as numpy arrays: word number, then ``starts`` and ``lengths`` in ``flat``.
 
-    def __init__(self, encode: Callable[[list[bytes]], Sequence[Sequence[int]]], marks: dict[bytes, list[int]], limit: int = REMEMBERED):
+    ``encode`` gives the words in an order of its choice, all their ids in a row, and how many each word has.
+    """
+
+    def __init__(self, encode: Callable[[list[bytes]], tuple[list[bytes], np.ndarray, np.ndarray]], marks: dict[bytes, list[int]], limit: int = REMEMBERED):
         self.encode, self.marks, self.limit = encode, marks, limit
         self.resets = 0
         self.reset()
@@ -33,15 +36,14 @@ class WordIds:
         self.index: dict[bytes, int] = {}
         self.words: list[bytes] = []
         self.starts, self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self._add(list(self.marks), list(self.marks.values()))
+        self._add(*in_a_row(list(self.marks), list(self.marks.values())))
 
-    def _add(self, words: list[bytes], ids: Sequence[Sequence[int]]) -> None:
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+    def _add(self, words: list[bytes], flat: np.ndarray, lengths: np.ndarray) -> None:
         starts = len(self.flat) + np.cumsum(lengths) - lengths
         self.words += words
         self.index.update(zip(words, range(len(self.index), len(self.index) + len(words)), strict=True))
         self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, np.array([i for w in ids for i in w], np.int32)])
+        self.flat = np.concatenate([self.flat, flat])
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """Number of every word; words not met before are encoded together."""
@@ -49,8 +51,8 @@ class WordIds:
         missing = np.flatnonzero(found < 0)
         if len(missing):
             new = list(dict.fromkeys([words[i] for i in missing.tolist()]))
-            self._add(new, self.encode(new))
-            found[missing] = np.fromiter((self.index[words[i]] for i in missing.tolist()), np.int64, len(missing))
+            self._add(*self.encode(new))
+            found[missing] = np.fromiter(map(self.index.__getitem__, map(words.__getitem__, missing.tolist())), np.int64, len(missing))
         return found
 
     def ids(self, numbers: np.ndarray) -> np.ndarray:
@@ -61,6 +63,11 @@ class WordIds:
         return self.flat[at + np.repeat(self.starts[numbers] - ends + lengths, lengths)]
 
 
+def in_a_row(words: list[bytes], ids: Sequence[Sequence[int]]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Separate lists of ids in the form that :class:`WordIds` takes."""
+    return words, np.array([i for w in ids for i in w], np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+
 def batches_of(sizes: Sequence[int], most: int) -> list[range]:
     """Runs of neighbouring items whose sizes add up to about ``most``."""
     runs, start, total = [], 0, 0
