@@ -203,3 +203,11 @@ def test_scoring_edges(spark):
     empty, none = lm.fit(docs.limit(0), F.lit(True), SUBWORDS)
     assert lm.score(docs.limit(0), empty, none).count() == 0
     assert {r.n_known for r in lm.score(docs, empty, none).collect()} == {0}
+
+
+def test_every_training_text_takes_gradient_steps(spark, monkeypatch):
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text of word"), F.col("id") % 7).alias("text"))
+    seen = []
+    monkeypatch.setattr(lm, "train", lambda rows, model, *_: seen.append(rows.count()) or model)
+    lm.fit(docs, F.col("doc_id") % 3 > 0, SUBWORDS)
+    assert seen == [6000]
