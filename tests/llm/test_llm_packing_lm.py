@@ -211,3 +211,11 @@ def test_every_training_text_takes_gradient_steps(spark, monkeypatch):
     monkeypatch.setattr(lm, "train", lambda rows, model, *_: seen.append(rows.count()) or model)
     lm.fit(docs, F.col("doc_id") % 3 > 0, SUBWORDS)
     assert seen == [6000]
+
+
+def test_texts_of_one_key_are_dealt_apart(spark):
+    docs = spark.range(400).select(F.expr("nullif(id % 2, 0)").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    corpus = lm.fit(docs, F.lit(True), SUBWORDS)[0].shared
+    deals = lm._symbol_texts(docs, corpus, "doc_id", "text").select("deal")
+    assert deals.distinct().count() == 400
+    assert deals.select(F.pmod("deal", F.lit(lm.ROUNDS))).distinct().count() == lm.ROUNDS
