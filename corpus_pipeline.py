@@ -5,16 +5,18 @@ Every stage takes what its predecessor kept, as ``docs``, and all but the last r
 1. ``language``: learns the languages of the rows that have one; rejects texts of no language, and those
    that no language fits better than the others.
 2. ``quality``: learns from ``labels``; rejects what the base rules or the trees reject.
-3. ``near_duplicates``: keeps the document with the smallest id of every group of near copies.
+3. ``near_duplicates``: keeps the row with the smallest id (null ids last), then text hash, of every group of near copies.
 4. ``mixing``: repeats and drops documents to meet the sources' target weights, in the order of the curriculum.
 5. ``packing``: the pieces of all documents in windows of 4096 ids.
 
-Nulls: a null text has no language and goes in stage 1. Rows that repeat a document are copies of it, so one stays.
+Nulls: a null text has no language and goes in stage 1. Rows that repeat a text are copies of it, so one
+stays; different texts are different documents, also under one id or none.
 An empty table passes through all stages as an empty table. Extra columns are kept up to stage 4.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -51,14 +53,22 @@ def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(docs)
-    # A null id is a key like any other. Join and removal of repeated rows go by the same keys, so texts are shuffled once.
-    keys = [F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_key")]
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*keys).distinct()
-    numbered = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
-    own = F.col(f"_{docs.columns.index('doc_id')}")
-    keyed = numbered.select("*", own.isNull().alias("_none"), F.coalesce(own, F.lit(0)).alias("_key"))
-    kept = keyed.join(materialize(first, "first"), ["_none", "_key"], "left_semi").dropDuplicates(["_none", "_key"])
+    # Neither ids nor texts need be unique, so a row is known by its id, a null one last, and hashes of its text and columns.
+    # Join and removal of rows that agree in all go by the same keys, so texts are shuffled once.
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if not re.search("map<|variant", f.dataType.simpleString())]
+    parts = {
+        "none": F.col("doc_id").isNull(),
+        "id": F.coalesce("doc_id", F.lit(0)),
+        "text": F.xxhash64("text"),
+        "row": F.xxhash64(*hashed),
+    }
+    own = F.struct(*[c.alias(k) for k, c in parts.items()])
+    found = simhash.near_duplicates(docs.select(own.alias("own"), "text"), key="own")
+    keys = [f"_{k}" for k in parts]
+    first = found.filter("own = component_id").select(*[F.col(f"own.{k}").alias(f"_{k}") for k in parts]).distinct()
+    # Columns go by number beside the keys, so that no name clashes.
+    keyed = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)], *[c.alias(f"_{k}") for k, c in parts.items()])
+    kept = keyed.join(materialize(first, "first"), keys, "left_semi").dropDuplicates(keys)
     return kept.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 

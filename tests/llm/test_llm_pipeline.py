@@ -86,3 +86,14 @@ def test_edges(spark, sf_dir, tmp_path):
 
 def test_run(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def test_near_duplicates_without_unique_ids(spark, sf_dir):
+    texts = [" ".join(f"{c}word{i * i % 97}x{i}" for i in range(120)) for c in "abcde"]
+    a, b, c, d, e = texts
+    # Five texts; two null ids of their own texts, a null copy of a text with an id, and id 7 twice with different texts.
+    rows = [(None, a), (None, b), (None, a), (None, c), (9, c), (7, d), (7, e), (8, d), (7, d)]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for tasks in (1, 5):
+        kept = corpus_pipeline.remove_near_duplicates(spark, docs.repartition(tasks), sf_dir).collect()
+        assert sorted((r.text, r.doc_id or 0) for r in kept) == [(a, 0), (b, 0), (c, 9), (d, 7), (e, 7)]
