@@ -4,13 +4,13 @@ Every language has a context tree of orders 0 to 3 over its training bytes (A-Z
 seen in a context costs by its count there; otherwise the context pays an escape (one count for each
 distinct symbol seen) and the next shorter context codes the symbol, with the symbols already excluded. Below
 order 0 all 256 bytes are alike. The statistics are frozen, so the cost of a byte depends on the three
-bytes before it alone; trees are laid out as tables and whole texts are scored by table look-ups.
+bytes before it alone; the costs of what was seen are laid out in sorted tables and whole texts are scored by look-ups.
 
-The most frequent bytes are symbols of their own; the rest share one symbol, whose bytes are equally likely.
-How many symbols there are follows from the number of languages and ``TABLE_BYTES``, so a model's size is bounded.
+All 256 bytes are symbols of their own, whatever the number of languages. A model holds the runs of four bytes that
+occur in training, so its size follows from these.
 
 Counts cover the whole text of all training rows; they are summed in the tasks, then by Spark. What reaches
-the driver is bounded by the table size, not by the corpus.
+the driver is one number for each language and run of four bytes in use there.
 
 Nulls: a null or letterless text is ``und`` with score 0, as is every text when no row has a language.
 Ties between languages go to the smaller name. Repeated rows are scored alike. Only the named columns
@@ -19,22 +19,23 @@ are read; added columns replace columns of the same name.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .batches import small_batches
 
-#: Most bytes that the tables of all languages take together.
-TABLE_BYTES = 1 << 26
-MOST_SYMBOLS = 64
 ORDER = 3
+#: So many languages share a look-up; a block has a cost per language for every run that one of them has seen.
+BLOCK = 8
+#: Different runs of a language that a task counts before it hands them on.
+MOST_RUNS = 1 << 22
 #: Texts are coded in stretches of at most so many bytes; a longer text goes on in the next.
 STRETCH = 1 << 21
 #: The score is the posterior of the best language for a passage of so many bytes, coded at the text's mean cost.
@@ -63,61 +64,149 @@ def stretches(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
         yield flush()
 
 
-def keys_of(data: np.ndarray, starts: np.ndarray, symbols: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Table position of every byte with its context, and which of them are bytes of a text rather than context."""
-    s = symbols[data]
-    key = s[3:] + width * (s[2:-1] + width * (s[1:-2] + width * s[:-3]))
+def keys_of(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every byte with the three before it as one number, and which of them are bytes of a text rather than context."""
+    s = data.astype(np.uint32)
+    key = s[3:] | (s[2:-1] << 8) | (s[1:-2] << 16) | (s[:-3] << 24)
     own = np.ones(len(data), bool)
     for i in range(ORDER):
         own[starts + i] = False
     return key, own[ORDER:]
 
 
-def blend(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """Probabilities of one order from its counts and those of the order below (last axis: symbol)."""
-    seen = counts > 0
-    total, kinds = counts.sum(-1, keepdims=True), seen.sum(-1, keepdims=True)
-    left = np.where(seen, np.float32(0), lower).sum(-1, keepdims=True)
-    every = left <= 0
-    own = counts / np.maximum(np.where(every, total, total + kinds), 1)
-    scale = kinds / np.maximum(total + kinds, 1) / np.where(every, 1, left)
-    result = np.where(seen, own, lower * np.where(total == 0, 1, scale)).astype(np.float32)
-    return result
+def added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(n, first)
+
+
+def found_in(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the keys in a sorted table, and whether they are there."""
+    if not len(table):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return at, table[at] == keys
+
+
+@dataclass
+class Order:
+    """Bits of the runs seen at one order in a block of languages, and bits of the escapes from their contexts."""
+
+    keys: np.ndarray
+    bits: np.ndarray
+    contexts: np.ndarray
+    escapes: np.ndarray
+
+
+def shorter(keys: np.ndarray, order: int) -> np.ndarray:
+    """The last ``order + 1`` bytes."""
+    return keys & np.uint32((1 << 8 * (order + 1)) - 1)
+
+
+def bits_of(orders: list[Order], keys: np.ndarray, languages: int) -> np.ndarray:
+    """Bits of the last byte of every key in its context, by the orders given."""
+    if not orders:
+        return np.full((len(keys), languages), 8, np.float32)
+    own = orders[-1]
+    at, hit = found_in(own.keys, keys)
+    bits = own.bits[at] if len(own.keys) else np.empty((len(keys), languages), np.float32)
+    missed = np.flatnonzero(~hit)
+    if len(missed):
+        left = keys[missed]
+        bits[missed] = bits_of(orders[:-1], shorter(left, len(orders) - 2) if len(orders) > 1 else left, languages)
+        at, hit = found_in(own.contexts, left >> 8)
+        bits[missed[hit]] += own.escapes[at[hit]]
+    return bits
+
+
+def lay_out(counts: list[tuple[np.ndarray, np.ndarray]]) -> list[Order]:
+    """The orders of a block of languages from each one's sorted runs of four bytes and their counts."""
+    orders: list[Order] = []
+    below: list[tuple] = []
+    for order in range(ORDER + 1):
+        seen = [added(shorter(k, order), n.astype(np.int64)) for k, n in counts]
+        keys = np.unique(np.concatenate([k for k, _ in seen]))
+        contexts = np.unique(keys >> 8)
+        escapes = np.zeros((len(contexts), len(counts)), np.float32)
+        sums = []
+        for j, (k, n) in enumerate(seen):
+            first = np.flatnonzero(np.concatenate([[True], k[1:] >> 8 != k[:-1] >> 8])) if len(k) else np.zeros(0, int)
+            if not len(k):
+                sums.append((k, n, k, n, n))
+                continue
+            own = k[first] >> 8
+            total, kinds = np.add.reduceat(n, first), np.diff(np.append(first, len(k)))
+            sums.append((k, n, own, total, kinds))
+            # What the shorter context leaves to the bytes not seen here, in whole numbers up to the division.
+            if order == 0:
+                left = (256 - kinds) / 256
+            else:
+                k0, n0, own0, total0, kinds0 = below[j]
+                up = np.searchsorted(own0, shorter(own, order - 2) if order > 1 else own & 0)
+                taken = np.add.reduceat(n0[np.searchsorted(k0, shorter(k, order - 1))], first)
+                every = kinds0[up] == 256
+                left = (total0[up] - taken + np.where(every, 0, kinds0[up])) / (total0[up] + np.where(every, 0, kinds0[up]))
+            # Where all bytes are seen nothing escapes.
+            with np.errstate(divide="ignore"):
+                escape = np.where(kinds < 256, np.log2(left) - np.log2(kinds / (total + kinds)), 0)
+            escapes[np.searchsorted(contexts, own), j] = escape
+        bits = bits_of(orders, shorter(keys, order - 1) if order else keys, len(counts)) + escapes[np.searchsorted(contexts, keys >> 8)]
+        for j, (k, n, own, total, kinds) in enumerate(sums):
+            whole = np.repeat(np.where(kinds < 256, total + kinds, total), kinds)
+            bits[np.searchsorted(keys, k), j] = -np.log2(n / whole)
+        orders.append(Order(keys, bits, contexts, escapes))
+        below = sums
+    return orders
 
 
 @dataclass
 class ContextTrees:
-    """Frozen statistics: languages, the symbol of each byte, and per language the counts by table position."""
+    """Frozen statistics: languages, and per language the counts of the runs of four bytes that occur."""
 
     languages: list[str]
-    symbols: np.ndarray
-    width: int
     counts: list[tuple[np.ndarray, np.ndarray]]
 
+    @cached_property
+    def blocks(self) -> list[tuple[slice, list[Order]]]:
+        """Tables of ``BLOCK`` languages each."""
+        starts = range(0, len(self.languages), BLOCK)
+        return [(slice(i, min(i + BLOCK, len(self.languages))), lay_out(self.counts[i : i + BLOCK])) for i in starts]
+
+    @cached_property
+    def symbols(self) -> np.ndarray:
+        """A number for every byte in use; the others, which all cost alike, share the last."""
+        used = np.zeros(256, bool)
+        for keys, _ in self.counts:
+            used[keys & np.uint32(255)] = True
+        used[np.frombuffer(START, np.uint8)] = True
+        return np.where(used, np.cumsum(used) - 1, used.sum()).astype(np.int32)
+
+    @property
+    def width(self) -> int:
+        return int(self.symbols.max()) + 1
+
     @cached_property
     def table(self) -> np.ndarray:
-        """Bits of every (context, symbol) for all languages."""
-        a, own = self.width, np.bincount(self.symbols, minlength=self.width)
-        bits = np.empty((a**4, len(self.languages)), np.float32)
-        for k, (at, n) in enumerate(self.counts):
-            full = np.zeros(a**4, np.float32)
-            full[at] = n
-            full = full.reshape(a, a, a, a)
-            p = (own / 256).astype(np.float32)
-            for axes in ((0, 1, 2), (0, 1), (0,), ()):
-                p = blend(full.sum(axes) if axes else full, p)
-            # The bytes behind one symbol are equally likely.
-            bits[:, k] = (-np.log2(p) + np.log2(np.maximum(own, 1)).astype(np.float32)).ravel()
-        return bits
+        """Bits of every (context, symbol) for all languages, to look at models of few symbols; scoring does without."""
+        own = np.unique(self.symbols, return_index=True)[1].astype(np.uint32)
+        keys = np.zeros(1, np.uint32)
+        for _ in range(ORDER + 1):
+            keys = ((keys[:, None] << 8) | own).ravel()
+        return np.concatenate([bits_of(orders, keys, part.stop - part.start) for part, orders in self.blocks], 1)
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits that each language takes for each whole text."""
         result = np.zeros((len(texts), len(self.languages)))
         for data, starts, owners in stretches(texts):
-            key, own = keys_of(data, starts, self.symbols, self.width)
-            bits = self.table[key]
-            bits[~own] = 0
-            np.add.at(result, owners, np.add.reduceat(bits, np.minimum(starts, len(key) - 1), axis=0, dtype=np.float64))
+            key, own = keys_of(data, starts)
+            for part, orders in self.blocks:
+                bits = bits_of(orders, key, part.stop - part.start)
+                bits[~own] = 0
+                np.add.at(result[:, part], owners, np.add.reduceat(bits, np.minimum(starts, len(key) - 1), axis=0, dtype=np.float64))
         return result
 
 
@@ -127,58 +216,43 @@ def _training(docs: DataFrame, text: str, lang: str, where: Column) -> DataFrame
     )
 
 
-def fit(docs: DataFrame, where: Column, text: str = "text", lang: str = "lang", table_bytes: int = TABLE_BYTES) -> ContextTrees:
+def fit(docs: DataFrame, where: Column, text: str = "text", lang: str = "lang") -> ContextTrees:
     """Context trees of every language among the rows that ``where`` picks."""
     small_batches(docs.sparkSession)
-    rows = _training(docs, text, lang, where)
 
-    def count_bytes(batches):
-        totals: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for name, body in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                data = np.frombuffer(body.lower(), np.uint8)
-                totals[name] = totals.get(name, 0) + np.bincount(data, minlength=256)
-        for name, n in totals.items():
-            yield pa.RecordBatch.from_pydict({"lang": [name] * 256, "byte": np.arange(256), "n": n.astype(np.int64)})
-
-    # One row per language and byte value.
-    seen = rows.mapInArrow(count_bytes, "lang string, byte long, n long").groupBy("lang", "byte").agg(F.sum("n").alias("n"))
-    found = seen.collect()
-    languages = sorted({r.lang for r in found})
-    if not languages:
-        return ContextTrees([], np.zeros(256, np.int32), 1, [])
-    share = np.zeros(256)
-    totals = {name: max(1, sum(r.n for r in found if r.lang == name)) for name in languages}
-    for r in found:
-        share[r.byte] += r.n / totals[r.lang]
-    width = max(2, min(MOST_SYMBOLS, math.floor((table_bytes / 4 / len(languages)) ** 0.25)))
-    symbols = np.full(256, width - 1, np.int32)
-    symbols[np.argsort(-share, kind="stable")[: width - 1]] = np.arange(width - 1)
-
-    def count_contexts(batches):
-        totals: dict[str, np.ndarray] = {}
+    def rows_of(name, keys, n):
+        for i in range(0, max(1, len(keys)), 100_000):
+            part = slice(i, i + 100_000)
+            # A language of empty texts has a row without a run.
+            at = pa.array(keys[part].astype(np.int64)) if len(keys) else pa.nulls(1, pa.int64())
+            yield pa.RecordBatch.from_pydict({"lang": pa.repeat(name, len(at)), "at": at, "n": n[part] if len(keys) else [0]})
+
+    def count_runs(batches):
+        totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        none = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         for batch in batches:
             by_lang: dict[str, list[bytes]] = {}
             for name, body in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 by_lang.setdefault(name, []).append(body)
             for name, texts in by_lang.items():
-                total = totals.setdefault(name, np.zeros(width**4, np.int32))
+                totals.setdefault(name, none)
                 for data, starts, _ in stretches(texts):
-                    key, own = keys_of(data, starts, symbols, width)
-                    total += np.bincount(key[own], minlength=width**4).astype(np.int32)
-        for name, total in totals.items():
-            at = np.flatnonzero(total)
-            for i in range(0, len(at), 100_000):
-                part = at[i : i + 100_000]
-                yield pa.RecordBatch.from_pydict(
-                    {"lang": pa.repeat(name, len(part)), "at": part.astype(np.int32), "n": total[part].astype(np.int64)}
-                )
-
-    sums = rows.mapInArrow(count_contexts, "lang string, at int, n long").groupBy("lang", "at").agg(F.sum("n").alias("n"))
-    frame = sums.toArrow()
-    names = frame["lang"].to_numpy()
-    at, n = frame["at"].to_numpy(), frame["n"].to_numpy()
-    return ContextTrees(languages, symbols, width, [(at[names == k], n[names == k]) for k in languages])
+                    key, own = keys_of(data, starts)
+                    at, n = np.unique(key[own], return_counts=True)
+                    totals[name] = added(np.concatenate([totals[name][0], at]), np.concatenate([totals[name][1], n]))
+                    if len(totals[name][0]) > MOST_RUNS:
+                        yield from rows_of(name, *totals[name])
+                        totals[name] = none
+        for name, (keys, n) in totals.items():
+            yield from rows_of(name, keys, n)
+
+    counted = _training(docs, text, lang, where).mapInArrow(count_runs, "lang string, at long, n long")
+    frame = counted.groupBy("lang", "at").agg(F.sum("n").alias("n")).toArrow()
+    counts = []
+    for name in sorted(pc.unique(frame["lang"]).to_pylist()):
+        own = frame.filter(pc.and_(pc.equal(frame["lang"], name), pc.is_valid(frame["at"]))).sort_by("at")
+        counts.append((name, (own["at"].to_numpy().astype(np.uint32), own["n"].to_numpy())))
+    return ContextTrees([k for k, _ in counts], [c for _, c in counts])
 
 
 def identify(docs: DataFrame, model: ContextTrees, text: str = "text") -> DataFrame:

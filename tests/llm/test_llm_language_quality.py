@@ -46,6 +46,46 @@ def test_languages(texts):
     assert whole == pytest.approx(total * len(text) / len(part), rel=0.01)
 
 
+def brute_bits(body, context, byte):
+    """Bits of a byte after three, by counting in the training bytes."""
+    p = np.full(256, 1 / 256)
+    padded = language.START + body
+    for order in range(4):
+        own = context[3 - order :]
+        n = np.zeros(256)
+        for i in range(3, len(padded)):
+            n[padded[i]] += padded[i - order : i] == own
+        if n.sum():
+            kinds, left = (n > 0).sum(), p[n == 0].sum()
+            p = np.where(n > 0, n / (n.sum() + kinds), p * kinds / (n.sum() + kinds) / left)
+    return -np.log2(p[byte])
+
+
+def test_all_bytes_are_symbols_with_many_languages(spark):
+    rng = np.random.default_rng(5)
+    letters = [chr(c) for c in range(0x430, 0x450)] + [chr(c) for c in range(0x3B1, 0x3C9)] + [chr(c) for c in range(0x4E00, 0x4E40)]
+    words = [["".join(rng.choice(letters, 3)) for _ in range(15)] for _ in range(24)]
+    speak = lambda k, n: " ".join(rng.choice(words[k], n))
+    rows = [(k * 10 + i, speak(k, 60), f"l{k:02}") for k in range(24) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, F.lit(True))
+    texts = [speak(k, 30) for k in range(24)]
+    costs = model.code_lengths([t.encode() for t in texts])
+    assert costs.argmin(1).tolist() == list(range(24))
+    # More languages change nothing for those that were there.
+    few = language.fit(docs, F.col("lang") < "l03").code_lengths([t.encode() for t in texts])
+    assert costs[:, :3] == pytest.approx(few, rel=1e-6)
+
+
+def test_code_lengths_against_brute_force(spark):
+    text = "straße, да 漢字 " * 3 + "the weather"
+    model = language.fit(spark.createDataFrame([(text, "x"), ("zzz", "y")], "text string, lang string"), F.lit(True))
+    probe = "the да字\x01é straßen".encode()
+    padded = language.START + probe
+    expected = [sum(brute_bits(t.encode(), padded[i - 3 : i], padded[i]) for i in range(3, len(padded))) for t in (text, "zzz")]
+    assert model.code_lengths([probe])[0] == pytest.approx(expected, rel=1e-5)
+
+
 def test_no_languages(texts, spark):
     none = language.fit(texts.filter("lang IS NULL"), F.lit(True))
     assert {r.lang_pred for r in language.identify(texts, none).collect()} == {"und"}
