@@ -205,7 +205,10 @@ def boost(
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of at most ``most`` labelled documents; the same ones on every run."""
+    """Features and labels of at most ``most`` labelled documents; the same ones on every run.
+
+    A repeated id has one label and counts once, with the smallest of its rows' features.
+    """
     small_batches(docs.sparkSession)
     known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("_id"), F.col(label).alias("_y"))
     # At most ``most`` rows of two numbers, so they may be broadcast.
@@ -215,9 +218,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
     def measure(batches):
         for batch in batches:
             x = [statistics(t.as_py())[1] for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(2)], names=["x", "y"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64())), batch.column(2)], names=["id", "x", "y"])
 
-    frame = rows.select("_id", "_text", F.col("_y").cast("int")).mapInArrow(measure, "x array<double>, y int").toArrow()
+    measured = rows.select("_id", "_text", F.col("_y").cast("int")).mapInArrow(measure, f"id {rows.schema['_id'].dataType.simpleString()}, x array<double>, y int")
+    frame = measured.groupBy("id").agg(F.min(F.struct("x", "y")).alias("_least")).select("_least.x", "_least.y").toArrow()
     return np.array(frame["x"].to_pylist(), float).reshape(-1, len(FEATURES)), frame["y"].to_numpy().astype(float)
 
 

@@ -164,3 +164,12 @@ def test_verdicts(spark):
     assert only is None and sum(r.kept for r in quality.judge(docs, only).collect()) == 82
     assert quality.judge(docs.limit(0), trees).count() == 0
     assert quality.fit(docs.limit(0), labels) is None and quality.fit(docs, labels.limit(0)) is None
+
+
+def test_a_repeated_id_is_one_labelled_document(spark):
+    docs = spark.range(500).select(F.greatest(F.lit(0), F.col("id") - 490).alias("doc_id"), F.concat(F.lit("text of "), F.col("id") % 13).alias("text"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, quality int")
+    x, y = quality.labelled_sample(docs.repartition(4), labels, "doc_id", "text", "quality", 5)
+    assert len(x) == len(y) == 5
+    again = quality.labelled_sample(docs.coalesce(1), labels, "doc_id", "text", "quality", 5)
+    assert sorted(map(tuple, x)) == sorted(map(tuple, again[0]))
