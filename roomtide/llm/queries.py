@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, new_path
-from . import chat, language, lm, mixing, packing, quality, sharding, simhash, topk, warc
+from . import chat, language, lm, merkle, mixing, packing, quality, sharding, simhash, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -203,6 +203,89 @@ def op1_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), *[c for c in scored.columns if c != "doc_id"])
 
 
+#: The 26 letters that the contracts of operators 11 and 12 lower.
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: SQL for the CRC-32 of a list of bytes, and the table it needs as the CTE ``crc``.
+CRC_TABLE = """crc AS MATERIALIZED (
+    SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                ORDER BY i) AS t
+    FROM range(256) r(i)
+)"""
+
+
+def crc_sql(codes: str) -> str:
+    step = "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), {step}), 4294967295)"
+
+
+def _leaf_sql(text: str) -> str:
+    parts = ["doc_id", "source", "lang", "n_chars", text]
+    return "sha256(concat(" + ", ".join(f"coalesce(strlen({p}::VARCHAR)::VARCHAR || ':' || {p}::VARCHAR, '-')" for p in parts) + "))"
+
+
+MERKLE_SQL = f"""
+WITH RECURSIVE {CRC_TABLE}, hashed AS MATERIALIZED (
+    SELECT doc_id, coalesce('1' || source, '0') AS grp, {_leaf_sql("text")} AS leaf,
+           CASE WHEN {crc_sql("list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)")} % 5 = 0
+                THEN {_leaf_sql(f"translate(text, '{CAPITALS}', '{SMALL}')")} END AS tampered
+    FROM documents, crc
+), placed AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n
+    FROM hashed
+), nodes AS (
+    SELECT grp, 0 AS lvl, pos, leaf AS hash, n FROM placed
+    UNION ALL
+    SELECT grp, lvl + 1, pos // 16, sha256(string_agg(hash, '' ORDER BY pos)), (any_value(n) + 15) // 16
+    FROM nodes WHERE n > 1 GROUP BY grp, lvl, pos // 16
+), subroots AS MATERIALIZED (
+    SELECT grp, lvl AS height, hash, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops AS (
+    SELECT 0 AS lvl, pos, hash, n FROM subroots
+    UNION ALL
+    SELECT lvl + 1, pos // 16, sha256(string_agg(hash, '' ORDER BY pos)), (any_value(n) + 15) // 16
+    FROM tops WHERE n > 1 GROUP BY lvl, pos // 16
+), every_node AS MATERIALIZED (
+    SELECT grp, lvl, pos, hash FROM nodes WHERE n > 1
+    UNION ALL SELECT s.grp, s.height + t.lvl, t.pos, t.hash FROM subroots s, tops t WHERE t.n > 1
+), walk AS (
+    SELECT p.doc_id, p.grp, p.leaf, p.pos AS place, s.pos AS top_place, s.height, 0 AS lvl,
+           CASE WHEN s.height = 0 THEN s.pos ELSE p.pos END AS spot, '' AS siblings, coalesce(p.tampered, p.leaf) AS node
+    FROM placed p JOIN subroots s USING (grp)
+    UNION ALL
+    SELECT w.doc_id, w.grp, w.leaf, w.place, w.top_place, w.height, w.lvl + 1,
+           CASE WHEN w.lvl + 1 = w.height THEN w.top_place ELSE w.spot // 16 END,
+           any_value(w.siblings) || coalesce(string_agg(e.hash, '' ORDER BY e.pos) FILTER (e.pos <> w.spot), ''),
+           sha256(string_agg(CASE WHEN e.pos = w.spot THEN w.node ELSE e.hash END, '' ORDER BY e.pos))
+    FROM walk w JOIN every_node e ON e.grp = w.grp AND e.lvl = w.lvl AND e.pos // 16 = w.spot // 16
+    GROUP BY w.doc_id, w.grp, w.leaf, w.place, w.top_place, w.height, w.lvl, w.spot
+)
+SELECT w.doc_id, w.leaf, s.hash AS subroot, r.hash AS root, sha256(w.siblings) AS proof_sha256, w.node AS folded_root,
+       w.node = r.hash AS verified
+FROM walk w JOIN subroots s USING (grp), (SELECT hash, lvl FROM tops WHERE n = 1) r
+WHERE w.lvl = w.height + r.lvl
+"""
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and root of every document; a fifth of the texts, lower-cased, must fail to verify if that changes them."""
+    docs = table(spark, sf_dir, "documents")
+    lowered = {f: F.col(f) for f in merkle.FIELDS} | {"text": F.translate("text", CAPITALS, SMALL)}
+    tampered = F.when(fold(5) == 0, merkle.leaf_hash(lowered))
+    found = merkle.proofs(merkle.build(docs, carry={"tampered": tampered}))
+    found = found.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_hash(F.col("proof")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed sequences that the corpus pipeline makes of all documents."""
