@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, new_path
-from . import chat, language, lm, merkle, mixing, packing, quality, sharding, simhash, topk, warc
+from . import chat, language, lm, merkle, mixing, packing, pii, quality, sharding, simhash, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -286,6 +286,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op13_deobfuscated_pii")
+def op13_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, plain and disguised, at places in the text as written."""
+    return pii.find(table(spark, sf_dir, "documents")).drop("found")
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed sequences that the corpus pipeline makes of all documents."""
