@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, new_path
-from . import chat, language, lm, merkle, mixing, packing, pii, quality, sharding, simhash, topk, warc
+from . import chat, language, lm, merkle, mixing, packing, pii, quality, sharding, simhash, topk, variants, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -286,6 +286,66 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_slip(word: Column, every: int = 199) -> Column:
+    """The word, or one letter less where ``every`` divides the CRC-32 of ``<doc_id>:<word>``; the same hash picks the letter.
+
+    A null id counts as the empty string.
+    """
+    hashed = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), word).cast("binary"))
+    length = F.char_length(word)
+    at = (hashed % length).cast("int")
+    less = F.concat(F.substring(word, F.lit(1), at), F.substring(word, at + 2, length))
+    return F.when(hashed % every == 0, less).otherwise(word)
+
+
+_POINT = "unicode(x)::BIGINT"
+VARIANT_SQL = f"""
+WITH RECURSIVE {CRC_TABLE}, runs AS (
+    SELECT doc_id, translate(w, '{CAPITALS}', '{SMALL}') AS w
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]{{6,}}')) AS w FROM documents)
+), counted AS (
+    SELECT doc_id, w, count(*) AS n, coalesce(doc_id::VARCHAR, '') || ':' || w AS label FROM runs GROUP BY doc_id, w
+), hashed AS MATERIALIZED (
+    SELECT w, counted.n, {crc_sql(f"flatten(list_transform(string_split(label, ''), lambda x: CASE WHEN {_POINT} < 128 THEN [{_POINT}] ELSE [192 + ({_POINT} >> 6), 128 + ({_POINT} & 63)] END))")} AS h
+    FROM counted, crc
+), slipped AS (
+    SELECT CASE WHEN h % 199 = 0 THEN w[:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word, n FROM hashed
+), vocabulary AS MATERIALIZED (
+    SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), places AS MATERIALIZED (
+    SELECT word, n, i, w_less FROM (
+        SELECT word, n, unnest(range(length(word))) AS i FROM vocabulary
+    ), LATERAL (SELECT word[:i] || word[i + 2:] AS w_less)
+), pairs AS (
+    SELECT a.word, b.word AS near, b.n AS near_n
+    FROM places a JOIN places b ON a.i = b.i AND a.w_less = b.w_less AND a.word <> b.word AND length(a.word) = length(b.word)
+    UNION
+    SELECT a.word, b.word, b.n FROM places a JOIN vocabulary b ON a.w_less = b.word
+    UNION
+    SELECT b.word, a.word, a.n FROM places a JOIN vocabulary b ON a.w_less = b.word
+), best AS (
+    SELECT word, count(*) AS n_near, max(near_n) AS top, arg_min(near, (-near_n, near)) AS near FROM pairs GROUP BY word
+), forms AS MATERIALIZED (
+    SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 5 * v.n THEN near END AS form,
+           CASE WHEN top >= 5 * v.n THEN top END AS form_n
+    FROM vocabulary v LEFT JOIN best USING (word)
+), chains AS (
+    SELECT word, coalesce(form, word) AS root, form IS NOT NULL AS open FROM forms
+    UNION ALL
+    SELECT c.word, coalesce(f.form, c.root), f.form IS NOT NULL FROM chains c JOIN forms f ON f.word = c.root WHERE c.open
+)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, c.root FROM forms f JOIN chains c ON c.word = f.word AND NOT c.open
+"""
+
+
+@query("op12_spelling_variants", VARIANT_SQL)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, some with a letter dropped, each with its commoner neighbour and the end of that chain."""
+    docs = table(spark, sf_dir, "documents")
+    words = docs.select("doc_id", F.explode(variants.runs()).alias("run")).select(with_slip(F.col("run")).alias("word"))
+    return variants.group(variants.vocabulary(words))
+
+
 @query("op13_deobfuscated_pii")
 def op13_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document, plain and disguised, at places in the text as written."""
