@@ -55,10 +55,10 @@ SIGNS = {
     "+": "⁺﹢＋",
     "@": "﹫＠",
     "_": "＿",
-    " ": "               　",
+    " ": "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000",
 }
 #: Characters that print nothing: soft hyphen, zero-width characters and joiners, direction marks.
-INVISIBLE = "­͏؜᠎​‌‍‎‏⁠⁡⁢⁣⁤﻿"
+INVISIBLE = "\u00ad\u034f\u061c\u180e\u200b\u200c\u200d\u200e\u200f\u2060\u2061\u2062\u2063\u2064\ufeff"
 # Words for digits.
 DIGIT_WORDS = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8",

@@ -36,7 +36,7 @@ LEAST_COUNT = 5
 #: A form is at least this many times as frequent as its variant.
 RATIO = 5
 #: Letters of a word: A to Z in both cases and code points C0 to FF; only A to Z are lowered.
-LETTERS = "A-Za-zÀ-ÿ"
+LETTERS = "A-Za-z\u00C0-\u00FF"
 ALPHABET = np.array([*range(0x61, 0x7B), *range(0xC0, 0x100)], np.uint8)
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Most bytes of filters that are broadcast at a time.

@@ -104,11 +104,11 @@ def test_very_long_words(spark):
 
 
 def test_words_of_texts(spark):
-    draw = ["Straße", "straße", "ÉCOLES", "x1y2z3", "abcde", "don't wishing", "aaaaaa×÷", None, "", "word" * 50_000, "日本語 letters", "études"]
+    draw = ["Straße", "straße", "ÉCOLES", "x1y2z3", "abcde", "don't wishing", "aaaaaa×÷", None, "", "word" * 50_000, "日本語 letters", "e\u0301tudes"]
     docs = spark.createDataFrame([(i, t, "w") for i, t in enumerate(draw)], "doc_id long, text string, word string")
     words = docs.select("doc_id", F.explode(variants.runs()).alias("run"))
     got = sorted(r.run for r in words.collect())
-    assert got == sorted(["straße", "straße", "Écoles", "wishing", "aaaaaa×÷", "word" * 50_000, "letters", "études"])
+    assert got == sorted(["straße", "straße", "Écoles", "wishing", "aaaaaa×÷", "word" * 50_000, "letters"])
 
 
 def test_counts_slips_and_edges(spark):
