@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,6 +96,20 @@ def range_validity(
     return df.filter((F.col("hum") <= max_hum) & F.col("tmp").between(min_tmp, max_tmp))
 
 
+def risen_fast(
+    previous: Mapping[str, str], previous_time: str, rise: float, seconds: int, whole_delta: bool, time: str
+) -> Column:
+    """Whether any value rose by ``rise`` or more since the previous row (``column: column of its value before``)."""
+    step = micros(time) - micros(previous_time)
+    if not whole_delta:
+        step = F.pmod(step, F.lit(DAY))
+    quick = F.floor(step / F.lit(UNIT_MICROS["s"])) < seconds
+    risen = F.lit(False)
+    for c, before in previous.items():
+        risen = risen | ((F.col(c) - F.col(before)) >= rise)
+    return F.coalesce(risen & quick, F.lit(False))
+
+
 def drop_fast_rise(
     df: DataFrame,
     order: RowOrder,
@@ -116,14 +130,7 @@ def drop_fast_rise(
     df = order.shift(
         order.attach(df), {"_time": (time, 1), **{f"_prev{i}": (c, 1) for i, c in enumerate(present)}}
     )
-    step = micros(time) - micros("_time")
-    if not whole_delta:
-        step = F.pmod(step, F.lit(DAY))
-    quick = F.floor(step / F.lit(UNIT_MICROS["s"])) < seconds
-    risen = F.lit(False)
-    for i, c in enumerate(present):
-        risen = risen | ((F.col(c) - F.col(f"_prev{i}")) >= rise)
-    kept = df.filter(~F.coalesce(risen & quick, F.lit(False)))
+    kept = df.filter(~risen_fast({c: f"_prev{i}" for i, c in enumerate(present)}, "_time", rise, seconds, whole_delta, time))
     return order.detach(kept.drop("_time", *[f"_prev{i}" for i in range(len(present))]))
 
 

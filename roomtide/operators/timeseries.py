@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,34 +28,83 @@ from .outliers import iqr_replace
 CHUNK_BINS = 4096
 
 
-def _range_of(df: DataFrame, step: int, time: str, by: Sequence[str], origin: str) -> DataFrame:
-    """First and last bin of each series, and the origin its bins count from."""
+def _range_of(df: DataFrame, step: int, time: str, by: Sequence[str]) -> DataFrame:
+    """First and last bin of each series, counted from 1970."""
     ends = df.groupBy(*by).agg(F.min(micros(time)).alias("_min"), F.max(micros(time)).alias("_max"))
-    start = floor_micros(F.col("_min"), DAY) if origin == "start_day" else F.lit(0).cast("bigint")
-    ends = ends.filter(F.col("_min").isNotNull()).withColumn("_origin", start)
+    ends = ends.filter(F.col("_min").isNotNull())
+    return ends.select(*by, floor_micros(F.col("_min"), step).alias("_first"), floor_micros(F.col("_max"), step).alias("_last"))
 
-    def bin_of(value: str) -> Column:
-        return F.col("_origin") + floor_micros(F.col(value) - F.col("_origin"), step)
 
-    return ends.select(*by, "_origin", bin_of("_min").alias("_first"), bin_of("_max").alias("_last"))
+@dataclass(frozen=True)
+class Aggregate:
+    """An aggregate of a bin, in one step or in two: ``parts`` of a small bin add up to the value of a larger one."""
 
+    name: str
+    direct: Column
+    parts: dict[str, Column]
+    merged: Callable[[list[str]], Column]
+
+    def part_names(self) -> list[str]:
+        return [f"{self.name}#{p}" for p in self.parts]
+
+
+def mean_of(column: str) -> Aggregate:
+    def merged(parts: list[str]) -> Column:
+        total, count = (F.sum(F.col(quoted(p))) for p in parts)
+        return F.try_divide(total, count)
+
+    source = F.col(quoted(column))
+    return Aggregate(column, F.avg(source), {"sum": F.sum(source), "n": F.count(source)}, merged)
+
+
+def first_of(column: str, order: Sequence[str]) -> Aggregate:
+    """The first value that is not missing, by ``order``."""
+    source = F.col(quoted(column))
+    row = F.when(source.isNotNull(), F.struct(*[F.col(quoted(o)).alias(f"o{i}") for i, o in enumerate(order)], source.alias("value")))
+    return Aggregate(
+        column,
+        F.min_by(source, F.when(source.isNotNull(), F.struct(*[F.col(quoted(o)) for o in order]))),
+        {"first": F.min(row)},
+        lambda parts: F.min(F.col(quoted(parts[0])))["value"],
+    )
+
+
+def rows_of(name: str) -> Aggregate:
+    count = F.count(F.lit(1))
+    return Aggregate(name, count, {"n": count}, lambda parts: F.sum(F.col(quoted(parts[0]))))
+
+
+def common_step(step: int) -> int:
+    """Bins of this size start at midnight and fill a bin of ``step`` exactly, whatever day that counts from."""
+    return math.gcd(step, DAY)
+
+
+def small_bins(df: DataFrame, step: int, aggregates: Sequence[Aggregate], time: str, by: Sequence[str]) -> DataFrame:
+    """The parts of all aggregates per series and bin of the common step, as ``_bin`` in microseconds."""
+    binned = df.filter(F.col(time).isNotNull()).withColumn("_bin", floor_micros(micros(time), common_step(step)))
+    return binned.groupBy(*by, "_bin").agg(*[c.alias(n) for a in aggregates for n, c in zip(a.part_names(), a.parts.values(), strict=True)])
+
+
+def merged_bins(small: DataFrame, step: int, aggregates: Sequence[Aggregate], by: Sequence[str]) -> DataFrame:
+    """Bins of ``step`` that count from midnight of each series' first day, from :func:`small_bins`.
+
+    Only the small bins, one row for each, meet their series' first day; readings do not.
+    """
+    if step != common_step(step):
+        first = floor_micros(F.min("_bin"), DAY).alias("_origin")
+        if by:
+            origins = small.groupBy(*by).agg(first).select(*[F.col(k).alias(f"_k_{k}") for k in by], "_origin")
+            match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by]
+            small = small.join(origins, match).drop(*[f"_k_{k}" for k in by])
+        else:
+            small = small.withColumn("_origin", F.lit(small.agg(first).first()["_origin"]))
+        small = small.withColumn("_bin", F.col("_origin") + floor_micros(F.col("_bin") - F.col("_origin"), step))
+    return small.groupBy(*by, "_bin").agg(*[a.merged(a.part_names()).alias(a.name) for a in aggregates])
 
-def _with_bin(df: DataFrame, step: int, time: str, by: Sequence[str], origin: str) -> DataFrame:
-    """Add ``_bin``, the start of each row's bin in microseconds."""
-    df = df.filter(F.col(time).isNotNull())
-    if origin != "start_day" or DAY % step == 0:
-        # Bins that divide a day fall on the same marks whatever the first day is.
-        return df.withColumn("_bin", floor_micros(micros(time), step))
-    origins = _range_of(df, step, time, by, origin).select(*[F.col(k).alias(f"_k_{k}") for k in by], "_origin")
-    if by:
-        match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by]
-        df = df.join(origins, match, "inner").drop(*[f"_k_{k}" for k in by])
-    else:
-        first = origins.first()
-        df = df.withColumn("_origin", F.lit(first["_origin"] if first else 0))
-    return df.withColumn(
-        "_bin", F.col("_origin") + floor_micros(micros(time) - F.col("_origin"), step)
-    ).drop("_origin")
+
+def _with_bin(df: DataFrame, step: int, time: str) -> DataFrame:
+    """Add ``_bin``, the start of each row's bin in microseconds, counted from 1970."""
+    return df.filter(F.col(time).isNotNull()).withColumn("_bin", floor_micros(micros(time), step))
 
 
 def _spread(ends: DataFrame, step: int, by: Sequence[str]) -> DataFrame:
@@ -67,16 +118,26 @@ def _spread(ends: DataFrame, step: int, by: Sequence[str]) -> DataFrame:
     return chunks.select(*by, F.explode(F.sequence(F.col("_chunk"), last, F.lit(step))).alias("_bin"))
 
 
-def bin_grid(df: DataFrame, every: str, time: str = TIME, by: Sequence[str] = (), origin: str = "start_day") -> DataFrame:
-    """Every bin between the first and the last reading of each series, as ``_bin`` in microseconds."""
+def bin_grid(df: DataFrame, every: str, time: str = TIME, by: Sequence[str] = ()) -> DataFrame:
+    """Every bin, counted from 1970, between the first and the last reading of each series, as ``_bin`` in microseconds."""
     step = duration_micros(every)
-    return _spread(_range_of(df, step, time, by, "epoch" if DAY % step == 0 else origin), step, by)
+    return _spread(_range_of(df, step, time, by), step, by)
+
+
+def with_empty_bins(binned: DataFrame, ends: DataFrame, step: int, time: str, by: Sequence[str]) -> DataFrame:
+    """``binned`` and, between ``_first`` and ``_last`` of each series, a row of missing values for every other bin."""
+    values = [c for c in binned.columns if c not in by and c != "_bin"]
+    grid = _spread(ends, step, by).select(*[F.col(k).alias(f"_g_{k}") for k in by], F.col("_bin").alias("_g_bin"))
+    match = [F.col("_bin") == F.col("_g_bin")] + [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in by]
+    return grid.join(binned, match, "left").select(
+        *[F.col(f"_g_{k}").alias(k) for k in by], from_micros(F.col("_g_bin")).alias(time), *values
+    )
 
 
 def resample(
     df: DataFrame,
     every: str,
-    aggregates: Sequence[Column],
+    aggregates: Sequence[Aggregate],
     time: str = TIME,
     by: Sequence[str] = (),
     origin: str = "start_day",
@@ -84,23 +145,28 @@ def resample(
 ) -> DataFrame:
     """Aggregate per series and fixed time bin (left-closed, left-labelled); empty bins stay as rows.
 
+    Bins that divide a day fall on the same marks whatever day they count from. Others (``origin='start_day'``) count from the
+    series' first day: readings are put into bins of the common divisor of step and day, which are written once and
+    then moved to their series' marks.
+
     The range of each series comes from a second, two-column pass over ``df``. Where ``df``
     is costly to compute, ``cut_lineage`` writes the far smaller bins once and takes the
     range from them.
     """
     step = duration_micros(every)
-    binned = _with_bin(df, step, time, by, origin).groupBy(*by, "_bin").agg(*aggregates)
-    values = [c for c in binned.columns if c not in by and c != "_bin"]
-    if cut_lineage:
+    odd = origin == "start_day" and DAY % step != 0
+    if odd:
+        binned = merged_bins(materialize(small_bins(df, step, aggregates, time, by), "small-bins"), step, aggregates, by)
+    else:
+        binned = _with_bin(df, step, time).groupBy(*by, "_bin").agg(*[a.direct.alias(a.name) for a in aggregates])
+    if cut_lineage or odd:
         binned = materialize(binned, "bins")
         ends = binned.groupBy(*by).agg(F.min("_bin").alias("_first"), F.max("_bin").alias("_last"))
+        if not by:
+            ends = ends.filter(F.col("_first").isNotNull())
     else:
-        ends = _range_of(df, step, time, by, "epoch" if DAY % step == 0 else origin)
-    grid = _spread(ends, step, by).select(*[F.col(k).alias(f"_g_{k}") for k in by], F.col("_bin").alias("_g_bin"))
-    match = [F.col("_bin") == F.col("_g_bin")] + [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in by]
-    return grid.join(binned, match, "left").select(
-        *[F.col(f"_g_{k}").alias(k) for k in by], from_micros(F.col("_g_bin")).alias(time), *values
-    )
+        ends = _range_of(df, step, time, by)
+    return with_empty_bins(binned, ends, step, time, by)
 
 
 def resample_mean(
@@ -112,7 +178,7 @@ def resample_mean(
     origin: str = "start_day",
 ) -> DataFrame:
     columns = [c for c in columns or numeric_columns(df.schema) if c not in by and c != time]
-    return resample(df, every, [F.avg(c).alias(c) for c in columns], time, by, origin)
+    return resample(df, every, [mean_of(c) for c in columns], time, by, origin)
 
 
 def rolling_time_mean(
@@ -167,10 +233,7 @@ def resample_roll(
         return drop_incomplete_rows(df)
     numbers = [c for c in numeric_columns(df.schema) if c != room]
     others = [c for c in df.columns if c not in numbers and c not in (room, time)]
-    first = F.struct(time, *tiebreak)
-    aggregates = [F.expr(f"avg({quoted(c)}) AS {quoted(c)}") for c in numbers] + [
-        F.min_by(F.col(c), F.when(F.col(c).isNotNull(), first)).alias(c) for c in others
-    ]
+    aggregates = [mean_of(c) for c in numbers] + [first_of(c, [time, *tiebreak]) for c in others]
     binned = resample(df, every, aggregates, time, [room], cut_lineage=cut_lineage)
     rolled = rolling_time_mean(binned, window, every, numbers, time, [room])
     return drop_incomplete_rows(rolled).select(*df.columns)
@@ -212,21 +275,21 @@ def cyclic_resample(
 
 def missing_bins(df: DataFrame, every: str = "1d", time: str = TIME) -> DataFrame:
     """All bins between the first and the last reading, with a flag on those without one."""
-    seen = resample(df, every, [F.count(F.lit(1)).alias("_n")], time, (), origin="epoch")
+    seen = resample(df, every, [rows_of("_n")], time, (), origin="epoch")
     return seen.select(time, F.col("_n").isNull().alias("missing"))
 
 
 def calendar_anti(df: DataFrame, every: str = "1d", time: str = TIME) -> DataFrame:
     """The bins in range that have no reading."""
     step = duration_micros(every)
-    grid = bin_grid(df, every, time, (), origin="epoch")
-    seen = _with_bin(df, step, time, (), "epoch").select("_bin").distinct()
+    grid = bin_grid(df, every, time)
+    seen = _with_bin(df, step, time).select("_bin").distinct()
     return grid.join(seen, "_bin", "left_anti").select(from_micros(F.col("_bin")).alias(time))
 
 
 def daily_counts_dense(df: DataFrame, time: str = TIME, cut_lineage: bool = False) -> DataFrame:
     """Rows per day, 0 on days without a reading."""
-    counted = resample(df, "1d", [F.count(F.lit(1)).alias("n")], time, (), "epoch", cut_lineage)
+    counted = resample(df, "1d", [rows_of("n")], time, (), "epoch", cut_lineage)
     return counted.select(F.to_date(time).alias("date"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
