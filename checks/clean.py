@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from roomtide.operators import cleaning, outliers
-from roomtide.operators.forest import remove_outliers_forest
+from roomtide.operators.forest import anomaly_scores, remove_outliers_forest
 from roomtide.operators.ordered import RowOrder, global_diff
 from roomtide.schema import MEASURES
 
@@ -351,9 +351,9 @@ def _(spark, sf):
 
 @query("forest_repeatable", "SELECT 0 AS differing")
 def _(spark, sf):
-    """Rows that only one of two partitionings keeps, with a pool far smaller than the table."""
+    """Rows that only one of two partitionings keeps."""
     df = views.readings(spark, sf)
-    kept = [remove_outliers_forest(part, trees=4, sample=64, seed=3).select("event_id") for part in (df, df.repartition(5))]
+    kept = [remove_outliers_forest(part, trees=4, seed=3).select("event_id") for part in (df, df.repartition(5))]
     both = kept[0].exceptAll(kept[1]).unionAll(kept[1].exceptAll(kept[0]))
     return both.agg(F.count(F.lit(1)).cast("int").alias("differing"))
 
@@ -361,3 +361,24 @@ def _(spark, sf):
 @query("forest_outliers")
 def _(spark, sf):
     return remove_outliers_forest(views.readings(spark, sf))
+
+
+@query(
+    "forest_share",
+    """SELECT count(*) AS readings, count(*) - CAST(ceil(0.075 * (count(*) - 1)) AS BIGINT) AS kept, true AS parted, true AS in_range
+    FROM readings""",
+    ("readings",),
+)
+def _(spark, sf):
+    """How many readings the forest keeps, and that no reading kept scores below one that is dropped."""
+    df = views.readings(spark, sf)
+    scored = anomaly_scores(df).select("event_id", "anomaly_score")
+    kept = remove_outliers_forest(df).select("event_id", F.lit(True).alias("kept"))
+    joined = scored.join(kept, "event_id", "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+    score = F.col("anomaly_score")
+    return joined.agg(
+        F.count(F.lit(1)).alias("readings"),
+        F.count_if("kept").alias("kept"),
+        (F.min(F.when(F.col("kept"), score)) > F.max(F.when(~F.col("kept"), score))).alias("parted"),
+        ((F.min(score) > -1) & (F.max(score) < 0)).alias("in_range"),
+    )

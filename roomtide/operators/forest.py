@@ -1,137 +1,195 @@
-"""Outlier removal with an isolation forest (Liu, Ting and Zhou, ICDM 2008).
+"""Outlier removal with an isolation forest (Liu, Ting and Zhou, ICDM 2008) over all readings.
 
-Trees grow on a bounded random pool of readings, one Spark task per group of trees; the
-scoring of all readings is a vectorised column function over Arrow batches.
+Trees grow level by level on the cluster. In each level one pass sends every reading down the trees so far and sums up, per tree
+and node, how many readings of the tree's sample reach it and their range in each feature; the cuts of the level are
+drawn from these ranges. Whether a reading is in a tree's sample is a test of its hash, so any share of the table can be used, no
+reading is collected, and the same forest grows whatever the partitioning.
+
+What reaches the driver and goes back to the tasks is the forest itself, at most ``trees * 2 ** (levels + 1)`` nodes. Scoring is a
+vectorised column function over Arrow batches.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.hashing import uniform
+from ..functions.text import quoted
 from ..schema import FOREST_FEATURES
 from ..session import materialize
 from .quantiles import exact_quantiles
 
 EULER_GAMMA = 0.5772156649015329
-NODE_SCHEMA = "tree int, node int, feature int, cut double, child int, path double"
+#: Height limit of the trees. A node at the limit counts the mean path that its readings would still have.
+LEVELS = 8
+#: Share of the readings that each tree is grown on.
+SAMPLE = 0.8
+ROWS_AT_ONCE = 2048
 
 
-def mean_path(n: int) -> float:
+def mean_path(n: np.ndarray) -> np.ndarray:
     """Mean path length of an unsuccessful search in a binary tree of ``n`` points."""
-    if n <= 1:
-        return 0.0
-    return 1.0 if n == 2 else 2.0 * (math.log(n - 1.0) + EULER_GAMMA) - 2.0 * (n - 1.0) / n
-
-
-def _pool(df: DataFrame, features: Sequence[str], rows: int, seed: int) -> np.ndarray:
-    """The ``rows`` complete readings with the smallest hash of all their columns, fewer if there are fewer.
-
-    A cut from the whole table to a pool of fixed size: the same readings for a seed, however they are
-    partitioned. Only readings below a hash that about twice as many lie below take part in the final sort.
-    """
-    complete = df.withColumn("_hash", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed)))
-    complete = complete.select("_hash", *[F.col(c).cast("double").alias(c) for c in features]).dropna(subset=list(features))
-    total = complete.count()
-    if total > 2 * rows:
-        near = complete.filter(F.col("_hash") < F.lit(int(-(2**63) + 2**64 * (2 * rows / total))))
-        complete = near if near.count() >= rows else complete
-    picked = complete.orderBy("_hash", *features).limit(rows)
-    return picked.drop("_hash").toPandas().to_numpy(dtype=float).reshape(-1, len(features))
-
-
-def grow_forest(spark: SparkSession, pool: np.ndarray, trees: int, sample: int, seed: int) -> dict[str, np.ndarray]:
-    shared = spark.sparkContext.broadcast(pool)
-    size = min(sample, len(pool))
-    depth = math.ceil(math.log2(max(size, 2)))
-    leaf_path = [mean_path(n) for n in range(size + 1)]
-
-    def grow(batches):
+    many = np.maximum(n, 3).astype(float)
+    long = 2.0 * (np.log(many - 1.0) + EULER_GAMMA) - 2.0 * (many - 1.0) / many
+    return np.where(n > 2, long, np.where(n == 2, 1.0, 0.0))
+
+
+@dataclass
+class Forest:
+    """Per tree and node: the feature it is cut by (-1 for a leaf), the cut, and a leaf's path. The children of node i are 2i and 2i + 1."""
+
+    feature: np.ndarray
+    cut: np.ndarray
+    path: np.ndarray
+    sampled: int
+
+    @classmethod
+    def of(cls, trees: int, levels: int) -> Forest:
+        shape = (trees, 2 << levels)
+        return cls(np.full(shape, -1, np.int8), np.zeros(shape), np.zeros(shape), 0)
+
+    def nodes(self, points: np.ndarray, levels: int) -> np.ndarray:
+        """The node of every point in every tree after ``levels`` steps, or the leaf where it stopped before."""
+        trees, width = self.feature.shape
+        base, at = np.arange(trees, dtype=np.int32) * width, np.ones((len(points), trees), np.int32)
+        row = np.arange(len(points), dtype=np.int32)[:, None] * points.shape[1]
+        feature, cut, values = self.feature.ravel(), self.cut.ravel(), points.ravel()
+        for _ in range(levels):
+            place = base + at
+            split = feature.take(place)
+            right = values.take(row + np.maximum(split, 0)) > cut.take(place)
+            at = np.where(split < 0, at, 2 * at + right)
+        return at
+
+
+def _in_sample(hashes: np.ndarray, trees: int, share: float, seed: int) -> np.ndarray:
+    return uniform(seed, hashes.view(np.uint64)[:, None], np.arange(trees, dtype=np.uint64)[None, :]) < share
+
+
+def _level_ranges(points: DataFrame, forest: Forest, level: int, features: int, share: float, seed: int) -> pd.DataFrame:
+    """``tree, node, n`` and the range of each feature for the nodes of one level; one row for each leaves a task."""
+    shared = points.sparkSession.sparkContext.broadcast(forest)
+    trees, width = len(forest.feature), 1 << level
+
+    def sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(trees * width, np.int64)
+        low, high = np.full((features, trees * width), np.inf), np.full((features, trees * width), -np.inf)
         for batch in batches:
-            for tree in batch["id"]:
-                rng = np.random.default_rng([seed, int(tree)])
-                points = shared.value[rng.choice(len(shared.value), size, replace=False)]
-                nodes = [None]
-                todo = [(0, points, 0)]
-                while todo:
-                    at, rows, level = todo.pop()
-                    low, high = rows.min(axis=0), rows.max(axis=0)
-                    varied = np.flatnonzero(high > low)
-                    if level >= depth or len(rows) <= 1 or not len(varied):
-                        nodes[at] = (-1, 0.0, at, level + leaf_path[len(rows)])
-                        continue
-                    feature = int(rng.choice(varied))
-                    cut = float(rng.uniform(low[feature], high[feature]))
-                    child = len(nodes)
-                    nodes[at] = (feature, cut, child, 0.0)
-                    nodes += [None, None]
-                    left = rows[:, feature] <= cut
-                    todo += [(child, rows[left], level + 1), (child + 1, rows[~left], level + 1)]
-                frame = pd.DataFrame(nodes, columns=["feature", "cut", "child", "path"])
-                frame.insert(0, "node", range(len(frame)))
-                frame.insert(0, "tree", int(tree))
-                yield frame
-
-    parallel = min(trees, spark.sparkContext.defaultParallelism)
-    grown = spark.range(0, trees, 1, parallel).mapInPandas(grow, NODE_SCHEMA).toPandas()
-    width = int(grown["node"].max()) + 1
-    table = {c: np.zeros((trees, width), dtype=float if c in ("cut", "path") else np.int64) for c in ("feature", "cut", "child", "path")}
-    for c, values in table.items():
-        values[grown["tree"], grown["node"]] = grown[c]
-    return table | {"depth": np.int64(depth), "size": np.int64(size)}
-
-
-def forest_score(spark: SparkSession, forest: dict[str, np.ndarray], features: Sequence[str]) -> Column:
+            hashes = batch.column(0).to_numpy()
+            data = np.ascontiguousarray(np.column_stack([batch.column(i + 1).to_numpy() for i in range(features)]))
+            for start in range(0, len(data), ROWS_AT_ONCE):
+                part = data[start : start + ROWS_AT_ONCE]
+                at = shared.value.nodes(part, level)
+                taken = _in_sample(hashes[start : start + ROWS_AT_ONCE], trees, share, seed) & (at >= width)
+                row, tree = np.nonzero(taken)
+                key = tree * width + at[row, tree] - width
+                # Sixteen bits, where they do, are sorted by counting.
+                order = np.argsort(key.astype(np.uint16) if trees * width < 1 << 16 else key, kind="stable")
+                row, key = row[order], key[order]
+                if not len(key):
+                    continue
+                first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                found = key[first]
+                n[found] += np.diff(np.append(first, len(key)))
+                for f in range(features):
+                    values = part[row, f]
+                    low[f, found] = np.minimum(low[f, found], np.minimum.reduceat(values, first))
+                    high[f, found] = np.maximum(high[f, found], np.maximum.reduceat(values, first))
+        seen = np.flatnonzero(n)
+        columns = {"tree": pa.array(seen // width, pa.int32()), "node": pa.array(seen % width + width, pa.int32()), "n": pa.array(n[seen])}
+        for f in range(features):
+            columns |= {f"low{f}": pa.array(low[f, seen]), f"high{f}": pa.array(high[f, seen])}
+        yield pa.RecordBatch.from_pydict(columns)
+
+    schema = "tree int, node int, n long, " + ", ".join(f"low{f} double, high{f} double" for f in range(features))
+    ranges = [a for f in range(features) for a in (F.min(f"low{f}").alias(f"low{f}"), F.max(f"high{f}").alias(f"high{f}"))]
+    summed = points.mapInArrow(sum_up, schema).groupBy("tree", "node").agg(F.sum("n").alias("n"), *ranges).toPandas()
+    shared.unpersist()
+    return summed
+
+
+def grow_forest(points: DataFrame, trees: int, share: float, seed: int, levels: int = LEVELS) -> Forest:
+    """A forest over ``points``: a hash and then the features, none of them missing."""
+    features = len(points.columns) - 1
+    forest = Forest.of(trees, levels)
+    for level in range(levels + 1):
+        found = _level_ranges(points, forest, level, features, share, seed)
+        if found.empty:
+            break
+        tree, node, n = (found[c].to_numpy() for c in ("tree", "node", "n"))
+        if level == 0:
+            forest.sampled = int(n.max())
+        low = np.column_stack([found[f"low{f}"] for f in range(features)])
+        high = np.column_stack([found[f"high{f}"] for f in range(features)])
+        varied = high > low
+        splits = (n > 1) & varied.any(axis=1) & (level < levels)
+        forest.path[tree, node] = level + mean_path(n)
+        tree, node, low, high, varied = (x[splits] for x in (tree, node, low, high, varied))
+        # One of the features that vary, and a cut below its largest value, so neither side is empty.
+        wanted = np.floor(uniform(seed + 1, tree, node) * varied.sum(axis=1)).astype(int)
+        feature = (varied.cumsum(axis=1) > wanted[:, None]).argmax(axis=1)
+        row = np.arange(len(tree))
+        at, end = low[row, feature], high[row, feature]
+        drawn = at + uniform(seed + 2, tree, node) * (end - at)
+        forest.feature[tree, node] = feature
+        forest.cut[tree, node] = np.minimum(drawn, np.nextafter(end, -np.inf))
+    return forest
+
+
+def forest_score(spark: SparkSession, forest: Forest, features: Sequence[str]) -> Column:
     """Anomaly score in (-1, 0); the lower, the easier a reading is to isolate."""
     shared = spark.sparkContext.broadcast(forest)
-    scale = mean_path(int(forest["size"])) or 1.0
-    rows_at_once = 2048
+    scale = float(mean_path(np.array(forest.sampled))) or 1.0
+    levels = forest.feature.shape[1].bit_length() - 2
 
     def score(*columns: pd.Series) -> pd.Series:
         f = shared.value
-        trees, width = f["feature"].shape
-        base = np.arange(trees) * width
-        feature, cut, child, path = (f[c].ravel() for c in ("feature", "cut", "child", "path"))
         data = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-        out = np.empty(len(data))
-        for start in range(0, len(data), rows_at_once):
-            part = data[start : start + rows_at_once]
-            row = np.arange(len(part))[:, None]
-            at = np.broadcast_to(base, (len(part), trees))
-            for _ in range(int(f["depth"])):
-                split = feature[at]
-                right = part[row, np.maximum(split, 0)] > cut[at]
-                at = base + child[at] + (right & (split >= 0))
-            out[start : start + rows_at_once] = -np.exp2(-path[at].mean(axis=1) / scale)
+        tree, out = np.arange(len(f.path))[None, :], np.empty(len(data))
+        for start in range(0, len(data), ROWS_AT_ONCE):
+            at = f.nodes(data[start : start + ROWS_AT_ONCE], levels)
+            out[start : start + ROWS_AT_ONCE] = -np.exp2(-f.path[tree, at].mean(axis=1) / scale)
         return pd.Series(out)
 
-    return F.pandas_udf(score, "double")(*[F.col(c).cast("double") for c in features])
+    return F.pandas_udf(score, "double")(*[F.col(quoted(c)).cast("double") for c in features])
 
 
-def remove_outliers_forest(
+def anomaly_scores(
     df: DataFrame,
-    contamination: float = 0.075,
     features: Sequence[str] = FOREST_FEATURES,
     trees: int = 100,
-    sample: int = 256,
+    sample: float = SAMPLE,
     seed: int = 0,
+    levels: int = LEVELS,
     fit_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Drop the share ``contamination`` of readings that score lowest.
+    """``df`` with ``anomaly_score``, written once, so that later passes read one column instead of scoring again.
 
-    The forest is fitted on all readings unless ``fit_on`` names a training part. Scores are
-    written once, so the quantile passes read one column instead of scoring again.
+    The forest is grown on the complete readings of ``fit_on``, by default of ``df``; without any all scores are 0.
     """
-    spark = df.sparkSession
-    pool = _pool(df if fit_on is None else fit_on, features, trees * sample, seed)
-    if not len(pool):
-        return df
-    forest = grow_forest(spark, pool, trees, sample, seed)
-    scored = materialize(df.withColumn("anomaly_score", forest_score(spark, forest, features)), "forest")
+    spark, base = df.sparkSession, df if fit_on is None else fit_on
+    hashed = F.xxhash64(*[F.col(quoted(c)) for c in base.columns]).alias("_hash")
+    complete = base.select(hashed, *[F.col(quoted(c)).cast("double").alias(f"f{i}") for i, c in enumerate(features)]).dropna()
+    # Hashes spread the readings over all tasks, as the passes to come are bound by computing.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    points = materialize(complete.repartition(parts, "_hash"), "forest-points")
+    forest = grow_forest(points, trees, sample, seed, levels)
+    score = forest_score(spark, forest, features) if forest.sampled else F.lit(0.0)
+    return materialize(df.withColumn("anomaly_score", score), "forest")
+
+
+def remove_outliers_forest(df: DataFrame, contamination: float = 0.075, **how) -> DataFrame:
+    """Drop the share ``contamination`` of readings that score lowest; ``how`` goes to :func:`anomaly_scores`."""
+    scored = anomaly_scores(df, **how)
     threshold = exact_quantiles(scored, ["anomaly_score"], [contamination])["anomaly_score"][0]
+    if threshold is None:
+        return df
     return scored.filter(F.col("anomaly_score") >= F.lit(threshold)).drop("anomaly_score")

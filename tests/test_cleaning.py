@@ -1,8 +1,11 @@
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from roomtide.operators import cleaning, outliers
+from roomtide.functions import hashing
+from roomtide.operators import cleaning, forest, outliers
 from roomtide.operators.forest import remove_outliers_forest
 from roomtide.operators.ordered import RowOrder
 from checks import views
@@ -95,3 +98,57 @@ def test_forest_finds_an_obvious_outlier(spark):
     df = spark.createDataFrame(rows, "id int, CO2 double, tmp double, vis double, hum double, VOC double")
     kept = remove_outliers_forest(df, contamination=0.02)
     assert 999 not in {r.id for r in kept.collect()}
+
+
+def brute_forest(points, hashes, trees, share, seed, levels):
+    """Paths of all points in all trees, with lists of points instead of sums."""
+    paths = []
+    for tree in range(trees):
+        taken = [i for i, h in enumerate(hashes) if hashing.uniform(seed, np.array([h], np.int64).view(np.uint64), np.array([tree]))[0] < share]
+        path = {}
+        todo = [(1, taken, list(range(len(points))), 0)]
+        while todo:
+            node, own, every, level = todo.pop()
+            ranges = [(min(points[i][f] for i in own), max(points[i][f] for i in own)) for f in range(len(points[0]))]
+            varied = [f for f, (a, b) in enumerate(ranges) if b > a]
+            if len(own) < 2 or not varied or level == levels:
+                path |= {i: level + float(forest.mean_path(np.array(len(own)))) for i in every}
+                continue
+            draw = [float(hashing.uniform(seed + k, np.array([tree]), np.array([node]))[0]) for k in (1, 2)]
+            f = varied[int(draw[0] * len(varied))]
+            cut = min(ranges[f][0] + draw[1] * (ranges[f][1] - ranges[f][0]), np.nextafter(ranges[f][1], -np.inf))
+            for side, right in ((2 * node, False), (2 * node + 1, True)):
+                todo.append((side, *[[i for i in rows if (points[i][f] > cut) == right] for rows in (own, every)], level + 1))
+        paths.append([path[i] for i in range(len(points))])
+    return np.array(paths).mean(axis=0)
+
+
+@pytest.mark.parametrize(("levels", "share"), [(1, 1.0), (4, 0.8), (8, 0.5)])
+def test_forest_matches_trees_grown_from_lists(spark, levels, share):
+    draw = np.random.default_rng(5)
+    rows = [(float(a), float(b), 1.0) for a, b in draw.integers(0, 12, (150, 2))]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    found = forest.anomaly_scores(df, ["a", "b", "c"], trees=5, sample=share, seed=9, levels=levels)
+    got = sorted((r.a, r.b, r.anomaly_score) for r in found.collect())
+    keyed = sorted(map(tuple, df.select("a", "b", "c", F.xxhash64("a", "b", "c")).collect()))
+    mean = brute_forest([r[:3] for r in keyed], [r[3] for r in keyed], 5, share, 9, levels)
+    sampled = max(sum(hashing.uniform(9, np.array([r[3]], np.int64).view(np.uint64), np.array([t]))[0] < share for r in keyed) for t in range(5))
+    expected = [(r[0], r[1], -(2 ** (-m / float(forest.mean_path(np.array(sampled)))))) for r, m in zip(keyed, mean, strict=True)]
+    assert [g[:2] for g in got] == [e[:2] for e in expected]
+    assert np.allclose([g[2] for g in got], [e[2] for e in expected])
+
+
+def test_every_reading_takes_part_and_none_is_collected(spark, sf_dir):
+    """No pool: over all trees the samples hold the stated share of the whole table."""
+    points = views.readings(spark, sf_dir).select(F.xxhash64("event_id").alias("h"), "CO2", "tmp")
+    grown = forest.grow_forest(points, 20, 0.8, 1, 3)
+    assert 0.75 < grown.sampled / points.count() < 0.85
+    sums = forest._level_ranges(points, grown, 3, 2, 1.0, 1)
+    leaves = (grown.feature[:, :8] < 0) & (grown.path[:, :8] > 0)
+    assert not leaves.any() and (sums.groupby("tree")["n"].sum() == points.count()).all() and len(sums) == 20 * 8
+
+
+def test_forest_without_complete_readings_keeps_all(spark):
+    df = spark.createDataFrame([(1, None, 2.0), (2, None, 3.0)], "id int, CO2 double, tmp double")
+    assert remove_outliers_forest(df, features=["CO2", "tmp"]).count() == 2
+    assert remove_outliers_forest(df.limit(0), features=["CO2", "tmp"]).count() == 0
