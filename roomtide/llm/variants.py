@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.hashing import STEP, mixed
 from ..session import materialize
 
 LEAST_LENGTH = 6
@@ -60,16 +61,9 @@ def vocabulary(words: DataFrame, least: int = LEAST_LENGTH, least_count: int = L
     return kept.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_count)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """Finaliser of 64-bit values (the published SplitMix64 constants)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def letter_keys(places: np.ndarray, letters: np.ndarray) -> np.ndarray:
     """A random 64-bit value for each letter at each place."""
-    return mixed((places.astype(np.uint64) * np.uint64(256) + letters.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    return mixed((places.astype(np.uint64) * np.uint64(256) + letters.astype(np.uint64) + np.uint64(1)) * STEP)
 
 
 def codes(words: list[str]) -> np.ndarray:
