@@ -278,6 +278,76 @@ def _(spark, sf):
     )
 
 
+def _exploded(rows, ones: int):
+    """Sparse rows as one row per input: all numbers, and those positions that hold a one."""
+    hot = F.transform("ones", lambda p: F.struct(p.cast("bigint").alias("position"), F.lit(1.0).alias("value")))
+    numbers = F.transform("numbers", lambda x, i: F.struct((i + ones).cast("bigint").alias("position"), F.round(x, 4).alias("value")))
+    return rows.withColumn("_in", F.explode(F.concat(hot, numbers))).drop("ones", "numbers").select("*", "_in.*").drop("_in")
+
+
+def _sparse_sql(within: str, horizons: int) -> str:
+    ahead = ", ".join(f'"CO2(t{f"+{i}" if i else ""})" AS target{i}' for i in range(horizons))
+    names = ", ".join(f"target{i}" for i in range(horizons))
+    return f"""WITH {_framed_sql(within, horizons)}, v AS (SELECT split, date_time, room_number, {ahead},
+      [{', '.join(f'({e})::DOUBLE' for e in _VECTOR)}] AS x FROM framed, fit),
+    e AS (SELECT split, date_time, room_number, {names}, i AS position, round(x[i + 1], 4) AS value FROM v, range({len(_VECTOR)}) r(i))
+    SELECT * FROM e WHERE value <> 0 OR position >= {len(_FLAGS)}"""
+
+
+def _sparse(spark, sf, horizons, **options):
+    frames = forecast.sparse_frames(_hourly(spark, sf), "CO2", ["dayofweek", "room_number"], horizons=horizons, **options)
+    targets = {f"target{i}": F.get("targets", F.lit(i)) for i in range(horizons)}
+    return _exploded(frames.rows, frames.ones).withColumns(targets).drop("targets")
+
+
+@query("supervised_frames_sparse", _sparse_sql("", 2), ("rooms",))
+def _(spark, sf):
+    return _sparse(spark, sf, 2)
+
+
+@query("supervised_frames_sparse_by_room", _sparse_sql(", room_number", 1), ("rooms",))
+def _(spark, sf):
+    return _sparse(spark, sf, 1, within=["room_number"])
+
+
+@query(
+    "inference_design",
+    f"""WITH {_framed_sql("", 1)}, hot AS (SELECT *, {_DAYS_HOT}, {_ONE_HOT} FROM hourly),
+    named AS (SELECT date_time, room_number, {', '.join(f'"{c}" AS "{c}(t-1)"' for c in _INPUTS)} FROM hot),
+    v AS (SELECT date_time, room_number, [{', '.join(f'({e})::DOUBLE' for e in _VECTOR)}] AS x FROM named, fit),
+    e AS (SELECT date_time, room_number, i AS position, round(x[i + 1], 4) AS value FROM v, range({len(_VECTOR)}) r(i))
+    SELECT * FROM e WHERE value <> 0 OR position >= {len(_FLAGS)}""",
+    ("rooms",),
+)
+def _(spark, sf):
+    df = _hourly(spark, sf)
+    fitted = forecast.sparse_frames(df, "CO2", ["dayofweek", "room_number"])
+    return _exploded(forecast.inference_design(df, fitted), fitted.ones)
+
+
+def ridge_sql(design: str, width: int, free: int, horizons: int, name: str = "") -> str:
+    """Normal equations over ``design`` (split, x, y as lists), solved by elimination for each penalty; the best on ``val`` stays as ``best``.
+
+    ``width`` inputs, of which number ``free`` (from 1) is the constant. The result has a row per horizon: ``h`` and the weights ``w``.
+    """
+    return f"""counted{name} AS (SELECT count(*) AS n FROM {design} WHERE split = 'train'),
+    products{name} AS (SELECT i, j, sum(z[i] * z[j]) AS v FROM (SELECT list_concat(x, y) AS z FROM {design} WHERE split = 'train'),
+      range(1, {width + 1}) a(i), range(1, {width + horizons + 1}) b(j) GROUP BY i, j),
+    penalties{name} AS (SELECT unnest([0.001::DOUBLE, 0.01::DOUBLE, 0.1::DOUBLE, 1.0::DOUBLE]) AS lam),
+    lines{name} AS (SELECT lam, i, list(v / n + CASE WHEN i = j AND i <> {free} THEN lam ELSE 0 END ORDER BY j) AS r
+      FROM products{name}, counted{name}, penalties{name} GROUP BY lam, i),
+    solved{name} AS (
+      SELECT lam, 1 AS k, list(r ORDER BY i) AS m FROM lines{name} GROUP BY lam
+      UNION ALL
+      SELECT lam, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / m[k][k])
+        ELSE list_transform(r, lambda v, j: v - r[k] * m[k][j] / m[k][k]) END)
+      FROM solved{name} WHERE k <= {width}),
+    weighed{name} AS (SELECT lam, h, list(m[i][{width} + h] ORDER BY i) AS w
+      FROM solved{name}, range(1, {width + 1}) a(i), range(1, {horizons + 1}) b(h) WHERE k = {width + 1} GROUP BY lam, h),
+    tried{name} AS (SELECT lam, sum((y[h] - list_dot_product(x, w)) ** 2) AS e FROM {design}, weighed{name} WHERE split = 'val' GROUP BY lam),
+    best{name} AS (SELECT h, w FROM weighed{name} WHERE lam = (SELECT arg_min(lam, e) FROM tried{name}))"""
+
+
 _PERSISTENCE = """shifted AS (SELECT date_time, room_number, lag("CO2") OVER w AS "CO2(t-1)", "CO2" AS "CO2(t)", lead("CO2") OVER w AS "CO2(t+1)"
   FROM hourly WINDOW w AS (PARTITION BY room_number ORDER BY date_time)),
   framed AS (SELECT * FROM shifted WHERE "CO2(t-1)" IS NOT NULL AND "CO2(t+1)" IS NOT NULL),
@@ -310,44 +380,39 @@ def _(spark, sf):
     return metrics.forecast_vs_actual(_persisted(spark, sf), "CO2", 2)
 
 
-@query("forecast")
+_DESIGN = [*[f'"{c}(t-1)"' for c in _FLAGS], "1", *[_scaled(c) for c in _NUMBERS]]
+
+
+@query(
+    "forecast",
+    f"""WITH RECURSIVE {_framed_sql("", 2)},
+    design AS (SELECT split, date_time, room_number, [{', '.join(f'({e})::DOUBLE' for e in _DESIGN)}] AS x,
+      ["CO2(t)"::DOUBLE, "CO2(t+1)"::DOUBLE] AS y FROM framed, fit),
+    {ridge_sql("design", len(_DESIGN), len(_FLAGS) + 1, 2)}
+    SELECT date_time, room_number, y[1] AS "CO2(t)", y[2] AS "CO2(t+1)", round(list_dot_product(x, a.w), 4) AS "prediction_t+0",
+      round(list_dot_product(x, b.w), 4) AS "prediction_t+1" FROM design, best a, best b WHERE split = 'test' AND a.h = 1 AND b.h = 2""",
+    ("rooms",),
+)
 def _(spark, sf):
-    fitted = forecast.supervised_frames(_hourly(spark, sf), "CO2", ["dayofweek", "room_number"], horizons=2)
+    fitted = forecast.sparse_frames(_hourly(spark, sf), "CO2", ["dayofweek", "room_number"], horizons=2)
     models = forecast.forecast_train(fitted)
-    return forecast.predictions_with_actuals(fitted, models)
+    return rounded(forecast.predictions_with_actuals(fitted, models), "prediction_t+0", "prediction_t+1", digits=4)
 
 
 @query("forecast_saved", "SELECT 0 AS differing, true AS some")
 def _(spark, sf):
     """Predictions that differ after the fitted state was written and read again."""
     df = _hourly(spark, sf)
-    fitted = forecast.supervised_frames(df, "CO2", ["dayofweek", "room_number"], horizons=2, skip_scale=False)
+    fitted = forecast.sparse_frames(df, "CO2", ["dayofweek", "room_number"], horizons=2, skip_scale=False)
     models = forecast.forecast_train(fitted)
     path = new_path(spark, "forecast")
     forecast.save_forecast(path, spark, fitted, models)
-    ways = [forecast.forecast_predict(forecast.inference_vectors(df, f), m) for f, m in ((fitted, models), forecast.load_forecast(path, spark))]
+    ways = [forecast.forecast_predict(forecast.inference_design(df, f), m) for f, m in ((fitted, models), forecast.load_forecast(path, spark))]
     differing = ways[0].exceptAll(ways[1]).unionAll(ways[1].exceptAll(ways[0]))
     found = differing.agg(F.count(F.lit(1)).cast("int").alias("differing"))
     return found.join(ways[0].agg((F.count(F.lit(1)) > 0).alias("some")))
 
 
-@query("forecast_new_readings")
-def _(spark, sf):
-    readings, weather = _raw(spark, sf), views.weather(spark, sf)
-    history = preprocess(readings, weather, "3h", "1h", outliers=False)
-    fitted = forecast.supervised_frames(history, "CO2")
-    models = forecast.forecast_train(fitted)
-    return inference.forecast_new(readings, weather, fitted, models, window="3h", every="1h")
-
-
-@query("evaluate_models")
-def _(spark, sf):
-    history = preprocess(_raw(spark, sf), views.weather(spark, sf), "3h", "1h", outliers=False)
-    fitted = forecast.train_variants(select_variants(history), "CO2")
-    frames = {name: forecast.predictions_with_actuals(f, models) for name, (f, models) in fitted.items()}
-    return metrics.evaluate_models(frames, "CO2", 1)
-
-
 def _raw(spark, sf):
     return views.readings(spark, sf).drop("event_id")
 
@@ -362,8 +427,9 @@ def _frozen(source: str, zero: str) -> str:
       AND "BLE" = lag("BLE") OVER {_GLOBAL} AND tmp = lag(tmp) OVER {_GLOBAL}, false)"""
 
 
-def _preprocess_sql(size: str, frame: str) -> str:
-    return f"""WITH {SPANS},
+def _preprocess_ctes(size: str, frame: str) -> str:
+    """The preprocessed table, not rounded, as the last CTE ``history``."""
+    return f"""{SPANS},
     complete AS (SELECT * FROM rooms WHERE "WIFI" IS NOT NULL AND "BLE" IS NOT NULL),
     joined AS (SELECT complete.* EXCLUDE (event_id), {', '.join(WEATHER_MEASURES)} FROM complete LEFT JOIN spans ON {NEAREST}),
     deduped AS (SELECT * FROM joined QUALIFY row_number() OVER (PARTITION BY date_time, room_number ORDER BY "BLE", "CO2", "IR", "VOC", "WIFI", hum) = 1),
@@ -376,13 +442,19 @@ def _preprocess_sql(size: str, frame: str) -> str:
     {dense_sql("p4", size, ", ".join(f'avg("{c}") AS "{c}"' for c in _MEASURED))},
     rolled AS (SELECT room_number, bin AS date_time, {', '.join(f'avg("{c}") OVER w AS "{c}"' for c in _MEASURED)} FROM dense
       WINDOW w AS (PARTITION BY room_number ORDER BY bin RANGE BETWEEN INTERVAL '{frame}' PRECEDING AND CURRENT ROW)),
-    kept AS (SELECT * FROM rolled WHERE "CO2" IS NOT NULL)
-    SELECT room_number, date_time, {', '.join(f'round("{c}", 6) AS "{c}"' for c in _MEASURED)},
-      {', '.join(f'round(coalesce("{c}" - lag("{c}") OVER r, 0), 6) AS "{c}_diff"' for c in _CHANGED)},
+    kept AS (SELECT * FROM rolled WHERE "CO2" IS NOT NULL),
+    history AS (SELECT room_number, date_time, {', '.join(f'"{c}"' for c in _MEASURED)},
+      {', '.join(f'coalesce("{c}" - lag("{c}") OVER r, 0) AS "{c}_diff"' for c in _CHANGED)},
       CAST(year(date_time) - 2021 AS INTEGER) AS year, CAST(isodow(date_time) - 1 AS INTEGER) AS dayofweek, CAST(hour(date_time) AS INTEGER) AS hour,
       CASE WHEN month(date_time) IN (12, 1, 2) THEN 'winter' WHEN month(date_time) <= 5 THEN 'spring' WHEN month(date_time) <= 8 THEN 'summer' ELSE 'fall' END AS season,
       round_even("VOC" / "CO2", 4) AS "VOC_CO2_ratio"
-    FROM kept WINDOW r AS (PARTITION BY room_number ORDER BY date_time)"""
+    FROM kept WINDOW r AS (PARTITION BY room_number ORDER BY date_time))"""
+
+
+def _preprocess_sql(size: str, frame: str) -> str:
+    numbers = [*_MEASURED, *[f"{c}_diff" for c in _CHANGED]]
+    rounded_numbers = ", ".join(f'round("{c}", 6) AS "{c}"' for c in numbers)
+    return f"WITH {_preprocess_ctes(size, frame)} SELECT * REPLACE ({rounded_numbers}) FROM history"
 
 
 def _rounded_features(df):
@@ -399,6 +471,79 @@ def _(spark, sf):
     return _rounded_features(preprocess(_raw(spark, sf), views.weather(spark, sf), "1h", "1h", outliers=False))
 
 
+_EXTRA = ["year", "hour", "VOC_CO2_ratio"]
+_SEASONS = {f"__season_{v}": f"season = '{v}'" for v in ("fall", "spring", "summer", "winter")}
+_WEEK = {f"__dayofweek_{d}": f"dayofweek = {d}" for d in range(7)}
+_ROOMS = {f"__room_number_{r}": f"room_number = '{r}'" for r in ROOM_NAMES}
+
+
+def _history_sql(name: str, numbers: list[str], flags: dict[str, str]) -> str:
+    """Frames of ``history`` with these inputs, their scaling and the ridge over them: ``design<name>``, ``fit<name>``, ``best<name>``."""
+    w = "OVER (PARTITION BY split ORDER BY date_time, room_number)"
+    lagged = [f'lag("{c}") {w} AS "{c}"' for c in numbers] + [f'lag(CAST({test} AS INTEGER)) {w} AS "{c}"' for c, test in flags.items()]
+    return f"""shifted{name} AS (SELECT date_time, room_number, split, "CO2" AS now, {', '.join(lagged)}
+      FROM labelled WHERE split IN ('train', 'val', 'test')),
+    framed{name} AS (SELECT * FROM shifted{name} WHERE "CO2" IS NOT NULL),
+    fit{name} AS (SELECT {', '.join(f'avg("{c}") AS "m_{c}", stddev_pop("{c}") AS "s_{c}"' for c in numbers)} FROM framed{name} WHERE split = 'train'),
+    design{name} AS (SELECT split, date_time, room_number, {_input_list(numbers, list(flags))} AS x, [now::DOUBLE] AS y FROM framed{name}, fit{name}),
+    {ridge_sql(f"design{name}", len(numbers) + len(flags) + 1, len(flags) + 1, 1, name)}"""
+
+
+def _input_list(numbers: list[str], flags: list[str]) -> str:
+    scaled = [f'coalesce(("{c}" - "m_{c}") / coalesce(nullif("s_{c}", 0), 1), 0)::DOUBLE' for c in numbers]
+    return "[" + ", ".join([*[f"({f})::DOUBLE" if " " in f else f'"{f}"::DOUBLE' for f in flags], "1::DOUBLE", *scaled]) + "]"
+
+
+_HISTORY = f"""{_preprocess_ctes("1 hour", "2:59:59.999999")}, {SPLIT.format(t="history", order="date_time, room_number")}"""
+_ALL_NUMBERS = [*_MEASURED, *[f"{c}_diff" for c in _CHANGED], *_EXTRA]
+_ALL_FLAGS = _SEASONS | _ROOMS | _WEEK
+
+
+def _history(spark, sf):
+    return preprocess(_raw(spark, sf), views.weather(spark, sf), "3h", "1h", outliers=False)
+
+
+@query(
+    "forecast_new_readings",
+    f"""WITH RECURSIVE {_HISTORY}, {_history_sql("", _ALL_NUMBERS, _ALL_FLAGS)},
+    asked AS (SELECT date_time, room_number, {_input_list(_ALL_NUMBERS, list(_ALL_FLAGS.values()))} AS x FROM history, fit)
+    SELECT date_time, room_number, round(list_dot_product(x, w), 3) AS "prediction_t+0" FROM asked, best""",
+    ("rooms", "weather"),
+)
+def _(spark, sf):
+    """Fit on the preprocessed readings, then preprocess them anew and forecast from every row."""
+    fitted = forecast.sparse_frames(_history(spark, sf), "CO2")
+    models = forecast.forecast_train(fitted)
+    found = inference.forecast_new(_raw(spark, sf), views.weather(spark, sf), fitted, models, window="3h", every="1h")
+    return rounded(found, "prediction_t+0", digits=3)
+
+
+_VARIANTS = {
+    "full": (_ALL_NUMBERS, _ALL_FLAGS),
+    "no_weather": ([c for c in _ALL_NUMBERS if c.removesuffix("_diff") not in WEATHER_MEASURES], _ALL_FLAGS),
+    "no_season": (_ALL_NUMBERS, _ROOMS | _WEEK),
+}
+
+
+@query(
+    "evaluate_models",
+    f"WITH RECURSIVE {_HISTORY}, "
+    + ", ".join(_history_sql(f"_{v}", *inputs) for v, inputs in _VARIANTS.items())
+    + ", pairs AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{v}' AS variant, 0 AS horizon, y[1] AS y, list_dot_product(x, w) AS p FROM design_{v}, best_{v} WHERE split = 'test'" for v in _VARIANTS
+    )
+    + """) SELECT variant, horizon, round_even(avg((y - p) ** 2), 2) AS mse, round_even(sqrt(avg((y - p) ** 2)), 2) AS rmse,
+      round_even(avg(abs(y - p) / greatest(abs(y), 2.220446049250313e-16)), 2) AS mape,
+      round_even(1 - sum((y - p) ** 2) / (var_pop(y) * count(y)), 2) AS r2 FROM pairs GROUP BY ALL""",
+    ("rooms", "weather"),
+)
+def _(spark, sf):
+    fitted = forecast.train_variants(select_variants(_history(spark, sf)), "CO2")
+    frames = {name: forecast.predictions_with_actuals(f, models) for name, (f, models) in fitted.items()}
+    return metrics.evaluate_models(frames, "CO2", 1)
+
+
 @query("preprocess")
 def _(spark, sf):
     return preprocess(_raw(spark, sf), views.weather(spark, sf), "3d", "1d", within=["room_number"])

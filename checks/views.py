@@ -157,6 +157,8 @@ def with_views(sql: str, *names: str) -> str:
     sql = sql.strip()
     if not wanted:
         return sql
+    if sql[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes}, {sql[15:]}"
     if sql[:5].upper() == "WITH ":
         return f"WITH {ctes}, {sql[5:]}"
     return f"WITH {ctes} {sql}"

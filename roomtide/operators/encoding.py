@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import number, quoted
 from ..schema import numeric_columns
+from ..session import materialize
 from .ordered import RowOrder
 
 
@@ -35,6 +36,15 @@ class OneHot:
     def columns(self) -> list[str]:
         return [f"__{f}_{v}" for f, values in self.categories.items() for v in values]
 
+    def codes(self, df: DataFrame) -> DataFrame:
+        """Replace each feature by the place of its value among the categories, -1 for an unknown or missing one."""
+        found = {}
+        for f, values in self.categories.items():
+            known = F.array(*[F.lit(v) for v in values]) if values else F.lit(None)
+            place = F.array_position(known.cast(T.ArrayType(df.schema[f].dataType)), F.col(quoted(f)))
+            found[f] = F.coalesce(place.cast("int"), F.lit(0)) - 1
+        return df.withColumns(found)
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Replace the features by their 0/1 columns; an unknown value is all zeros."""
         kept = [c for c in df.columns if c not in self.categories]
@@ -45,23 +55,55 @@ class OneHot:
         return df.select(*kept, *encoded)
 
 
+@dataclass(frozen=True)
+class SparseOneHot:
+    """Categories as tables of value and place, met in joins; their number is not limited and none is named on the driver."""
+
+    tables: dict[str, DataFrame]
+    sizes: tuple[int, ...]
+
+    @staticmethod
+    def fit(df: DataFrame, features: Sequence[str]) -> SparseOneHot:
+        tables, sizes = {}, []
+        for f in features:
+            values = materialize(df.select(F.col(quoted(f)).alias("_value")).filter(F.col("_value").isNotNull()).distinct(), "categories")
+            order = RowOrder(values, ["_value"])
+            tables[f] = materialize(RowOrder.detach(order.index(order.attach(values), "_place")), "category-places")
+            sizes.append(order.total)
+        return SparseOneHot(tables, tuple(sizes))
+
+    @property
+    def width(self) -> int:
+        return sum(self.sizes)
+
+    def codes(self, df: DataFrame) -> DataFrame:
+        """Replace each feature by the place of its value among the categories, -1 for an unknown or missing one."""
+        columns = df.columns
+        for f, table in self.tables.items():
+            # A value that many rows share does not gather them: categories are few beside rows, and Spark splits the larger side.
+            df = df.join(table.withColumnRenamed("_value", "_known"), F.col(quoted(f)) == F.col("_known"), "left").drop("_known")
+            df = df.withColumn(f, F.coalesce(F.col("_place").cast("int"), F.lit(-1))).drop("_place")
+        return df.select(*map(quoted, columns))
+
+    def ones(self, features: Sequence[Sequence[str]]) -> Column:
+        """Sorted positions of the ones; ``features`` names the columns of codes, a list for each time step."""
+        starts = [sum(self.sizes[:i]) for i in range(len(self.sizes))]
+        places = [
+            F.when(F.col(quoted(c)) >= 0, F.col(quoted(c)) + F.lit(step * self.width + start))
+            for step, columns in enumerate(features)
+            for c, start in zip(columns, starts, strict=True)
+        ]
+        return F.array_compact(F.array(*places)) if places else F.array().cast("array<int>")
+
+
 def one_hot_sparse(df: DataFrame, features: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """Replace the features by ``encoded``: the sorted positions of the ones among all categories of all features.
 
-    The categories stay a table and are met in joins; the number of categories is not limited. Positions follow
-    the order of features, then values; an unknown or missing value has none.
+    Positions follow the order of features, then values; an unknown or missing value has none.
     """
-    base = df if fit_on is None else fit_on
-    offset, kept = 0, [c for c in df.columns if c not in features]
-    positions = []
-    for i, f in enumerate(features):
-        categories = base.select(F.col(f).alias(f"_v{i}")).filter(F.col(f"_v{i}").isNotNull()).distinct()
-        order = RowOrder(categories, [f"_v{i}"])
-        numbered = RowOrder.detach(order.index(order.attach(categories), f"_p{i}"))
-        df = df.join(numbered, F.col(f) == F.col(f"_v{i}"), "left").drop(f"_v{i}")
-        positions.append(F.col(f"_p{i}") + F.lit(offset))
-        offset += order.total
-    return df.select(*kept, F.array_compact(F.array(*positions)).alias("encoded"))
+    encoder = SparseOneHot.fit(df if fit_on is None else fit_on, features)
+    kept = [c for c in df.columns if c not in features]
+    return encoder.codes(df).select(*kept, encoder.ones([features]).alias("encoded"))
 
 
 def minmax_scale(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
