@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import DAY, UNIT_MICROS, micros
-from ..functions.text import quoted
+from ..functions.text import number, quoted
 from ..schema import RADIO_COLUMNS, ROOM, TIME, WEATHER_MEASURES, ZERO_CHECKED
-from ..session import materialize
+from .chain import Stage, filter_chain
 from .ordered import RowOrder
 
 
@@ -90,10 +90,13 @@ def drop_features(df: DataFrame, columns: Sequence[str] = RADIO_COLUMNS) -> Data
     return df.drop(*columns)
 
 
-def range_validity(
-    df: DataFrame, max_hum: float = 100.0, min_tmp: float = 10.0, max_tmp: float = 50.0
-) -> DataFrame:
-    return df.filter((F.col("hum") <= max_hum) & F.col("tmp").between(min_tmp, max_tmp))
+def range_condition(max_hum: float = 100.0, min_tmp: float = 10.0, max_tmp: float = 50.0) -> str:
+    return f"hum <= {number(max_hum)} AND tmp BETWEEN {number(min_tmp)} AND {number(max_tmp)}"
+
+
+def range_validity(df: DataFrame, **limits: float) -> DataFrame:
+    """Readings within the limits of :func:`range_condition`."""
+    return df.filter(range_condition(**limits))
 
 
 def risen_fast(
@@ -142,13 +145,48 @@ def drop_zero_readings(df: DataFrame, columns: Sequence[str] = ZERO_CHECKED) ->
     return df
 
 
-def _drop_frozen(df: DataFrame, order: RowOrder, spike: float, frozen: Sequence[str]) -> DataFrame:
-    df = order.shift(order.attach(df), {f"_prev{i}": (c, 1) for i, c in enumerate(frozen)})
-    stuck = F.col("CO2") > spike
-    for i, c in enumerate(frozen):
-        stuck = stuck & (F.col(c) == F.col(f"_prev{i}"))
-    kept = df.filter(~F.coalesce(stuck, F.lit(False)))
-    return order.detach(kept.drop(*[f"_prev{i}" for i in range(len(frozen))]))
+def fast_rise_stage(
+    columns: Sequence[str], rise: float = 1000.0, seconds: int = 60, whole_delta: bool = False, time: str = TIME, gate: str = "true"
+) -> Stage:
+    """:func:`drop_fast_rise` as a stage of a chain."""
+    values = {f"c{i}": f"CAST({quoted(c)} AS DOUBLE)" for i, c in enumerate(columns)}
+    at = f"unix_micros(CAST({quoted(time)} AS TIMESTAMP))"
+
+    def risen(now, before):
+        step = now["at"] - before["at"]
+        quick = (step if whole_delta else step % DAY) < seconds * UNIT_MICROS["s"]
+        found = now["c0"] - before["c0"] >= rise
+        for c in list(values)[1:]:
+            found = found | (now[c] - before[c] >= rise)
+        return found & quick
+
+    return Stage(gate, {**values, "at": at}, risen)
+
+
+def frozen_stages(
+    columns: Sequence[str], label: str = "CO2", spike: float = 20_000.0, frozen: Sequence[str] = ("VOC", "BLE", "tmp")
+) -> list[Stage]:
+    """:func:`drop_frozen_spikes` as stages of a chain, for a table with these columns."""
+    def nonzero(names: Sequence[str]) -> str:
+        return " AND ".join(["true", *[f"coalesce({quoted(c)} <> 0, true)" for c in names if c in columns]])
+
+    values = {"CO2": "CAST(CO2 AS DOUBLE)"} | {f"f{i}": f"CAST({quoted(c)} AS DOUBLE)" for i, c in enumerate(frozen)}
+
+    def stuck(now, before):
+        found = now["CO2"] > spike
+        for i in range(len(frozen)):
+            found = found & (now[f"f{i}"] == before[f"f{i}"])
+        return found
+
+    checkable = all(c in columns for c in ("CO2", *frozen))
+    if not checkable:
+        if label not in ZERO_CHECKED:
+            raise ValueError(f"columns missing for the frozen-sensor check: {', '.join(c for c in ('CO2', *frozen) if c not in columns)}")
+        return [Stage(nonzero(ZERO_CHECKED), {"one": "1"}, lambda now, before: now["one"] > before["one"])]
+    if label not in ZERO_CHECKED:
+        return [Stage(nonzero(ZERO_CHECKED), values, stuck)]
+    # One zero filter and one check for each measure in turn come to these two.
+    return [Stage(nonzero([c for c in ZERO_CHECKED if c != "hum"]), values, stuck), Stage(nonzero(["hum"]), values, stuck)]
 
 
 def drop_frozen_spikes(
@@ -160,19 +198,13 @@ def drop_frozen_spikes(
 ) -> DataFrame:
     """Drop zero readings, and rows whose CO2 is extreme while the other sensors stand still.
 
-    With a label outside the zero-checked measures there is one pass after all zero
+    With a label outside the zero-checked measures there is one check after all zero
     filters. With a label among them the zero filters and the frozen check alternate
-    once per measure; that equals two passes, with the humidity filter in between.
+    once per measure; that equals two checks, with the humidity filter in between. Both run in one pass.
     """
-    checkable = all(c in df.columns for c in ("CO2", *frozen))
-    if label not in ZERO_CHECKED:
-        return _drop_frozen(drop_zero_readings(df), order, spike, frozen)
-    early = [c for c in ZERO_CHECKED if c != "hum"]
-    df = drop_zero_readings(df, early)
-    if checkable:
-        df = materialize(_drop_frozen(df, order, spike, frozen), "frozen")
-    df = drop_zero_readings(df, ["hum"])
-    return _drop_frozen(df, order, spike, frozen) if checkable else df
+    if not all(c in df.columns for c in ("CO2", *frozen)) and label in ZERO_CHECKED:
+        return drop_zero_readings(df)
+    return filter_chain(df, order, frozen_stages(df.columns, label, spike, frozen))
 
 
 def fill_na(
