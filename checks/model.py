@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from roomtide.operators import encoding, metrics, splits
-from roomtide.operators.cleaning import select_variants
+from roomtide.operators.cleaning import convert_types, drop_incomplete_rows, drop_null_time, nan_to_null, select_variants
+from roomtide.operators.forest import remove_outliers_forest
 from roomtide.operators.ordered import RowOrder
 from roomtide.plans import forecast, inference
 from roomtide.plans.preprocess import preprocess
@@ -549,6 +550,21 @@ def _(spark, sf):
     return preprocess(_raw(spark, sf), views.weather(spark, sf), "3d", "1d", within=["room_number"])
 
 
+@query("preprocess_default_path", "SELECT 0 AS differing, true AS some")
+def _(spark, sf):
+    """Rows by which all defaults together differ from the forest by itself, followed by the rest without it."""
+    raw, weather = _raw(spark, sf), views.weather(spark, sf)
+    complete = drop_null_time(convert_types(drop_incomplete_rows(nan_to_null(raw))))
+    # As text again, unreadable numbers pass the check for missing values a second time.
+    kept = remove_outliers_forest(complete).withColumn("snr", F.coalesce(F.col("snr").cast("string"), F.lit("n/a")))
+    ways = [preprocess(raw, weather), preprocess(kept, weather, outliers=False)]
+    # Sums of doubles may differ in the last bit from run to run.
+    ways = [rounded(w, *_MEASURED, *[f"{c}_diff" for c in _CHANGED]) for w in ways]
+    differing = ways[0].exceptAll(ways[1]).unionAll(ways[1].exceptAll(ways[0]))
+    found = differing.agg(F.count(F.lit(1)).cast("int").alias("differing"))
+    return found.join(ways[0].agg((F.count(F.lit(1)) > 0).alias("some")))
+
+
 _DUMP_COLUMNS = ["date_time", "device_id", "tmp", "hum", "CO2", "VOC", "vis", "IR", "BLE", "WIFI", "snr"]
 _DUMP_SQL = """SELECT strftime(date_time, '%Y-%m-%d %H:%M:%S.%f') AS date_time, device_id, tmp, hum, "CO2", "VOC", vis, "IR", "BLE", "WIFI",
   CASE WHEN event_id % 50 <> 0 THEN snr END AS snr FROM readings"""

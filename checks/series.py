@@ -97,6 +97,25 @@ def _(spark, sf):
     return asof_join(left, right, "date_time", "seen_at", "forward", ["room_number"], None, ["event_id"], ["seen_id"])
 
 
+@query(
+    "asof_nearest_by_room",
+    f"""WITH l AS ({_LEFT}), r AS ({_RIGHT}),
+    back AS (SELECT l.event_id, r.* EXCLUDE (room_number) FROM l JOIN LATERAL (SELECT * FROM r WHERE r.room_number = l.room_number
+      AND r.seen_at <= l.date_time ORDER BY r.seen_at DESC, r.seen_id DESC LIMIT 1) r ON true),
+    ahead AS (SELECT l.event_id, r.* EXCLUDE (room_number) FROM l JOIN LATERAL (SELECT * FROM r WHERE r.room_number = l.room_number
+      AND r.seen_at > l.date_time ORDER BY r.seen_at, r.seen_id LIMIT 1) r ON true),
+    near AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY far, side) AS place
+      FROM (SELECT b.*, 0 AS side, date_time - seen_at AS far FROM back b JOIN l USING (event_id)
+        UNION ALL SELECT a.*, 1, seen_at - date_time FROM ahead a JOIN l USING (event_id)))
+    SELECT l.event_id, l.date_time, l.room_number, seen_at, seen_id, "CO2"
+    FROM l LEFT JOIN near ON near.event_id = l.event_id AND place = 1 AND far <= INTERVAL 90 MINUTES""",
+    ("rooms",),
+)
+def _(spark, sf):
+    left, right = _asof_sides(spark, sf)
+    return asof_join(left, right, "date_time", "seen_at", "nearest", ["room_number"], "90min", ["event_id"], ["seen_id"])
+
+
 def _asof_sides(spark, sf):
     df = views.rooms(spark, sf)
     left = df.filter("vis > 4").select("event_id", "date_time", "room_number")
@@ -182,6 +201,18 @@ def _(spark, sf):
     return rounded(rolled, "vis")
 
 
+@query(
+    "resample_roll_off",
+    """SELECT event_id, date_time, room_number, device_id, "CO2", "WIFI", snr FROM rooms
+    WHERE "CO2" IS NOT NULL AND "WIFI" IS NOT NULL AND snr IS NOT NULL""",
+    ("rooms",),
+)
+def _(spark, sf):
+    """Without rolling, complete readings pass through as they are."""
+    df = views.rooms(spark, sf).select("event_id", "date_time", "room_number", "device_id", "CO2", "WIFI", "snr")
+    return timeseries.resample_roll(df, roll=False)
+
+
 @query(
     "resample_roll_lines",
     f"""WITH {dense_sql("lines", "1 day", "avg(quantity) AS quantity, avg(price) AS price")},
@@ -345,6 +376,21 @@ def _(spark, sf):
     return _lag(spark, sf, [])
 
 
+@query(
+    "lag_frame_long",
+    """SELECT event_id, "tmp(t-100)", "CO2(t)", "CO2(t+30)" FROM (SELECT event_id, lag(tmp, 100) OVER w AS "tmp(t-100)", "CO2" AS "CO2(t)",
+      lead("CO2", 30) OVER w AS "CO2(t+30)" FROM rooms WINDOW w AS (PARTITION BY room_number ORDER BY date_time, event_id))
+    WHERE "tmp(t-100)" IS NOT NULL AND "CO2(t+30)" IS NOT NULL""",
+    ("rooms",),
+)
+def _(spark, sf):
+    """A reach of 100 rows back, over buckets that may be shorter."""
+    df = views.rooms(spark, sf).select("event_id", "date_time", "room_number", "CO2", "tmp")
+    order = RowOrder(df, ["date_time", "event_id"], ["room_number"])
+    found = lags.lag_frame(df, order, ["tmp"], "CO2", 100, 31, keep=["event_id"])
+    return found.select("event_id", "`tmp(t-100)`", "`CO2(t)`", "`CO2(t+30)`")
+
+
 @query("lag_frame_by_room", _lag_sql("PARTITION BY room_number"), ("rooms",))
 def _(spark, sf):
     return _lag(spark, sf, ["room_number"])

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import quoted
+from ..session import materialize
 
 BUCKET = "_bucket"
 MAX_BUCKETS = 32_768
@@ -113,7 +114,12 @@ class RowOrder:
         return F.broadcast(table) if self.buckets * width <= CARRY_BROADCAST_CELLS else table
 
     def _edge_rows(self, df: DataFrame, row: Column, reach: int, back: bool) -> DataFrame:
-        """For each bucket the rows just outside it, nearest last (at least ``reach`` if so many exist)."""
+        """For each bucket the at most ``reach`` rows just outside it, nearest last.
+
+        Every bucket hands on its outermost ``reach`` rows. Of two neighbours' rows only ``reach`` reach further, and so on, so
+        the carry is put together over distances of 1, 2, 4 .. buckets, each time cut to ``reach``: no bucket table holds more
+        than that many rows for a bucket, and the rounds end when every bucket has them or has seen all before it.
+        """
         from_edge = Window.partitionBy(BUCKET).orderBy(*self._sorted(not back))
         edge = (
             df.select(BUCKET, row.alias("row"), F.row_number().over(from_edge).alias("rank"))
@@ -122,8 +128,23 @@ class RowOrder:
             .agg(F.sort_array(F.collect_list(F.struct((-F.col("rank")).alias("far"), "row"))).alias("rows"))
         )
         step = F.col(BUCKET).asc() if back else F.col(BUCKET).desc()
-        outside = Window.orderBy(step).rowsBetween(-reach, -1)
-        return edge.select(BUCKET, F.flatten(F.collect_list("rows").over(outside)).alias("carry"))
+        in_order = Window.orderBy(step)
+        table = edge.select(BUCKET, F.col("rows.row").alias("rows"))
+        none = F.array().cast(table.schema["rows"].dataType)
+        if reach > 1:
+            # The buckets that hold rows, numbered in the direction of the carry.
+            table = materialize(table.withColumn("at", F.row_number().over(in_order)), "edges")
+            buckets, least = table.agg(F.count(F.lit(1)), F.min(F.size("rows"))).first()
+            distance = 1
+            while buckets and distance < buckets and least < reach:
+                further = table.select((F.col("at") + distance).alias("at"), F.col("rows").alias("_further"))
+                more = F.concat(F.coalesce("_further", none), "rows")
+                cut = F.slice(more, F.greatest(F.size(more) - reach, F.lit(0)) + 1, reach).alias("rows")
+                table = materialize(table.join(further, "at", "left").select(BUCKET, "at", cut), "edges")
+                distance *= 2
+                # Buckets no further from the start than that have met all rows before them.
+                least = table.filter(F.col("at") > distance).agg(F.min(F.size("rows"))).first()[0] or reach
+        return table.select(BUCKET, F.coalesce(F.lag("rows").over(in_order), none).alias("carry"))
 
     def shift(self, df: DataFrame, wanted: Mapping[str, tuple[str, int]]) -> DataFrame:
         """Add columns: ``new: (column, offset)``, the value ``offset`` rows back (ahead if negative)."""
@@ -135,14 +156,14 @@ class RowOrder:
             fields = [(c, f"w{i}") for i, c in enumerate(self.within)] + [(c, f"v{i}") for i, c in enumerate(sources)]
             row = F.expr("named_struct(" + ", ".join(f"'{n}', {quoted(c)}" for c, n in fields) + ")")
             carry = self._edge_rows(df, row, offsets[-1], back)
-            width = offsets[-1] ** 2 * (len(sources) + len(self.within))
+            width = offsets[-1] * (len(sources) + len(self.within))
             here = Window.partitionBy(BUCKET).orderBy(*self._sorted(back))
             df = df.withColumns(
                 {"_n": F.row_number().over(here), **{f"_near{o}": F.lag(row, o).over(here) for o in offsets}}
             ).join(self._carried(carry, width), BUCKET, "left")
             kept = [quoted(c) for c in df.columns if c not in ("_n", "carry") and not c.startswith("_near")]
             near = [
-                f"CASE WHEN _n > {o} THEN _near{o} ELSE get(carry, size(carry) - 1 - ({o} - _n)).row END AS _near{o}"
+                f"CASE WHEN _n > {o} THEN _near{o} ELSE get(carry, size(carry) - 1 - ({o} - _n)) END AS _near{o}"
                 for o in offsets
             ]
             # A neighbour counts only if it belongs to the same series.

@@ -88,3 +88,25 @@ def test_missing_keys_come_first(spark):
     got = order.index(order.attach(df), "i").select("id", "i")
     expected = df.select("id", (F.row_number().over(Window.orderBy("t", "id")) - 1).alias("i"))
     pd.testing.assert_frame_equal(sort(got), sort(expected), check_dtype=False)
+
+
+@pytest.mark.parametrize("within", [[], ["room"]])
+@pytest.mark.parametrize("buckets", [3, 40, 350])
+def test_a_long_reach_over_short_buckets(spark, within, buckets):
+    df = skewed(spark)
+    order = RowOrder(df, ["t", "id"], within, buckets)
+    got = order.shift(order.attach(df), {"far": ("id", 100), "near": ("id", 3), "ahead": ("id", -57)}).select("id", "far", "near", "ahead")
+    w = Window.partitionBy(*within).orderBy("t", "id")
+    expected = df.select("id", F.lag("id", 100).over(w).alias("far"), F.lag("id", 3).over(w).alias("near"), F.lead("id", 57).over(w).alias("ahead"))
+    pd.testing.assert_frame_equal(sort(got), sort(expected), check_dtype=False)
+
+
+@pytest.mark.parametrize("reach", [1, 7, 100])
+def test_a_carry_is_never_longer_than_the_reach(spark, reach):
+    df = skewed(spark)
+    order = RowOrder(df, ["t", "id"], buckets=90)
+    rows = order._edge_rows(order.attach(df), F.col("id"), reach, True).orderBy("_bucket").collect()
+    placed = order.attach(df).select("_bucket", "t", "id").collect()
+    for r in rows:
+        before = [p.id for p in sorted(placed, key=lambda p: (p.t, p.id)) if p._bucket < r._bucket]
+        assert r.carry == before[-reach:]
