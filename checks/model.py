@@ -571,37 +571,49 @@ _DUMP_SQL = """SELECT strftime(date_time, '%Y-%m-%d %H:%M:%S.%f') AS date_time,
 
 
 def _write_dumps(spark, sf) -> str:
-    """The readings as dump files: preamble, header, rows (some short), one overlong line each."""
+    """The readings as dump files: a preamble full of delimiters, a header, rows (some short, some with escapes), one overlong and one broken
+    line each, and a file that ends after its preamble."""
     path = new_path(spark, "dumps")
     df = views.readings(spark, sf).withColumns(
         {"month": F.date_format("date_time", "yyyy-MM"), "date_time": F.date_format("date_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")}
     )
+    df = df.withColumns({"folder": F.col("device_id"), "device_id": F.when(F.col("event_id") % 10 == 3, F.replace("device_id", F.lit("-co2-"), F.lit("-\\x63\\u006f2\\55"))).otherwise(F.col("device_id"))})
     # Building n sends no WIFI column, so its files have another header.
     columns = {True: [c for c in _DUMP_COLUMNS if c != "WIFI"], False: _DUMP_COLUMNS}
-    in_n = F.col("device_id").contains("-n")
+    in_n = F.col("folder").contains("-n")
 
     def text(names: list[str]):
         fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]
         short = F.concat_ws(";", *fields[:-1])
         return F.when(F.col("event_id") % 50 == 0, short).otherwise(F.concat_ws(";", short, fields[-1]))
 
-    rows = df.select("device_id", "month", F.lit(2).alias("at"), F.when(in_n, text(columns[True])).otherwise(text(columns[False])).alias("value"))
-    heads = df.select("device_id", "month").distinct().select(
-        "device_id",
-        "month",
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("at"), F.lit("sensor export").alias("value")),
-                F.struct(F.lit(1).alias("at"), F.when(in_n, ";".join(columns[True])).otherwise(";".join(columns[False])).alias("value")),
-                F.struct(F.lit(3).alias("at"), F.lit(";".join(["broken"] * 20)).alias("value")),
-            )
-        ).alias("h"),
-    ).select("device_id", "month", "h.at", "h.value")
-    lines = rows.unionByName(heads).repartition("device_id", "month").sortWithinPartitions("device_id", "month", "at")
-    lines.select("device_id", "month", "value").write.partitionBy("device_id", "month").text(path)
+    rows = df.select("folder", "month", F.lit(2).alias("at"), F.when(in_n, text(columns[True])).otherwise(text(columns[False])).alias("value"))
+    lines = {0: "sensor;export;date_time;;", 3: ";".join(["broken"] * 20), 4: "2024-01-01;lab\\x2"}
+    extra = [F.struct(F.lit(at).alias("at"), F.lit(line).alias("value")) for at, line in lines.items()]
+    extra.append(F.struct(F.lit(1).alias("at"), F.when(in_n, ";".join(columns[True])).otherwise(";".join(columns[False])).alias("value")))
+    files = df.select("folder", "month").distinct()
+    heads = files.select("folder", "month", F.explode(F.array(*extra)).alias("h")).select("folder", "month", "h.at", "h.value")
+    cut_off = files.select("folder").distinct().select("folder", F.lit("cut off").alias("month"), F.lit(0).alias("at"), F.lit("sensor;export").alias("value"))
+    found = rows.unionByName(heads).unionByName(cut_off).repartition("folder", "month").sortWithinPartitions("folder", "month", "at")
+    found.select("folder", "month", "value").write.partitionBy("folder", "month").text(path)
     return path
 
 
+@query(
+    "scan_dat_manifest",
+    """SELECT device_id AS folder, strftime(date_time, '%Y-%m') AS month, 'read' AS state, count(*) AS lines_read, 1 AS lines_overlong,
+      1 AS lines_unreadable, 0 AS lines_headless, CASE WHEN device_id LIKE '%-n%' THEN 10 ELSE 11 END AS columns FROM readings GROUP BY ALL
+    UNION ALL SELECT DISTINCT device_id, 'cut off', 'no header', 0, 0, 0, 0, 0 FROM readings""",
+    ("readings",),
+)
+def _(spark, sf):
+    found = dumps.scan_dat_manifest(spark, _write_dumps(spark, sf))
+    part = {c: F.url_decode(F.regexp_extract("file", f"{c}=([^/]*)/", 1)) for c in ("folder", "month")}
+    return found.select(
+        *[c.alias(n) for n, c in part.items()], "state", "lines_read", "lines_overlong", "lines_unreadable", "lines_headless", F.coalesce(F.size(F.split("header", ";")), F.lit(0)).alias("columns")
+    )
+
+
 @query("scan_dat", _DUMP_SQL, ("readings",))
 def _(spark, sf):
     return dumps.scan_dat(spark, _write_dumps(spark, sf)).select(*_DUMP_COLUMNS)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from roomtide.schema import READINGS
 from roomtide.sources import dumps, tables
@@ -50,3 +51,48 @@ def test_sink_prunes_by_room(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(room_number" in plan
     with pytest.raises(Exception, match="already exists"):
         tables.sink_parquet(df, path)
+
+
+def test_header_is_found_by_position(spark, tmp_path):
+    write(tmp_path, "one.dat", f"\n;export;of;m001\n\n{HEADER}\n2024-01-01 00:00:00;d1;20.5;400\n2024-01-02 00:00:00\n")
+    write(tmp_path, "two.dat", "x\ntime;CO2\n2024-01-03 00:00:00;7\n")
+    rows = dumps.scan_dat(spark, str(tmp_path)).orderBy("device_id", "date_time").collect()
+    assert [(r.date_time, r.device_id, r.CO2, r.time) for r in rows] == [
+        (None, None, 7.0, "2024-01-03 00:00:00"), ("2024-01-02 00:00:00", None, None, None), ("2024-01-01 00:00:00", "d1", 400.0, None),
+    ]
+
+
+ESCAPED = ["\\x41\\u00e9\\101\\t", "\\\\x41", "a\\qb", "\\'\\\"", "\xe9\\xe9", "\\U0001F600", "plain", "\\7z", "\\u4e2d"]
+
+
+def test_escapes_are_those_of_the_codec(spark):
+    frame = spark.createDataFrame([(t,) for t in ESCAPED], "t string")
+    for r in frame.select("t", dumps.unescaped(F.col("t")).alias("u"), dumps._broken(F.col("t")).alias("b")).collect():
+        assert r.u == r.t.encode("latin-1").decode("unicode_escape") and not r.b, r.t
+    broken = spark.createDataFrame([(t,) for t in ["\\", "a\\x4", "\\u12g4", "\\\\\\", "\\U0001F60"]], "t string")
+    assert all(r[0] for r in broken.select(dumps._broken(F.col("t"))).collect())
+
+
+def test_manifest_counts_what_is_left_out(spark, tmp_path):
+    lines = ["2024-01-01 00:00:00;d\\x31;20.5;400", "1;2;3;4;5", "bad\\x;1;2;3", "2024-01-01 00:01:00;d2", "a\\nb;c"]
+    write(tmp_path, "good one.dat", f"export;;;\n{HEADER}\n" + "\n".join(lines) + "\n")
+    write(tmp_path / "deep", "short+.dat", "only a preamble\n")
+    write(tmp_path, "blank.dat", "\n\n")
+    write(tmp_path, "header.dat", "export\nda\\x;b\n1;2\n")
+    rows = {r.file.rsplit("/", 1)[1]: r for r in dumps.scan_dat_manifest(spark, str(tmp_path)).collect()}
+    assert {n: (r.state, r.lines_read, r.lines_overlong, r.lines_unreadable, r.lines_headless) for n, r in rows.items()} == {
+        "good one.dat": ("read", 4, 1, 1, 0), "short+.dat": ("no header", 0, 0, 0, 0), "blank.dat": ("empty", 0, 0, 0, 0), "header.dat": ("no header", 0, 0, 0, 1),
+    }
+    assert rows["good one.dat"].header == HEADER and rows["blank.dat"].bytes == 2
+    found = dumps.scan_dat(spark, str(tmp_path)).collect()
+    assert len(found) == 4 and {"d1", "d2", "c", None} == {r.device_id for r in found}
+
+
+def test_a_broken_file_raises_by_default(spark, tmp_path):
+    write(tmp_path, "one.dat", f"export\n{HEADER}\n2024-01-01 00:00:00;d1;20.5;400\n")
+    (tmp_path / "two.dat.gz").write_bytes(b"no gzip at all")
+    with pytest.raises(Exception, match="(?i)gzip|corrupt|two.dat"):
+        dumps.scan_dat(spark, str(tmp_path)).collect()
+    assert dumps.scan_dat(spark, str(tmp_path), skip_unreadable=True).count() == 1
+    states = {r.file.rsplit("/", 1)[1]: r.state for r in dumps.scan_dat_manifest(spark, str(tmp_path)).collect()}
+    assert states == {"one.dat": "read", "two.dat.gz": "empty"}
