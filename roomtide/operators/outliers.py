@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles, finite_ends
 
 
 class Bounds(NamedTuple):
@@ -24,9 +24,11 @@ class Bounds(NamedTuple):
         return (F.col(column) < F.lit(self.low)) | (F.col(column) > F.lit(self.high))
 
 
-def iqr_bounds(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> dict[str, Bounds | None]:
+def iqr_bounds(
+    df: DataFrame, columns: Sequence[str], reach: float = 1.5, ends: Mapping[str, tuple[float, float]] | None = None
+) -> dict[str, Bounds | None]:
     bounds: dict[str, Bounds | None] = {}
-    for c, (q1, q3) in exact_quantiles(df, columns, [0.25, 0.75]).items():
+    for c, (q1, q3) in exact_quantiles(df, columns, [0.25, 0.75], ends).items():
         bounds[c] = None if q1 is None else Bounds(q1 - reach * (q3 - q1), q3 + reach * (q3 - q1), q1, q3)
     return bounds
 
@@ -73,8 +75,10 @@ def iqr_filter_cascade(df: DataFrame, columns: Sequence[str], scale: bool = True
     """
     left, inside = df, F.lit(True)
     steps: dict[str, Column] = {}
+    # What is left of a column lies between the ends of the whole of it, so one pass serves all steps.
+    ends = finite_ends(df, columns) if columns else {}
     for c in columns:
-        bounds = iqr_bounds(left, [c])[c]
+        bounds = iqr_bounds(left, [c], ends=ends)[c]
         inside = inside & bounds.inside(c) if bounds else F.lit(False)
         left, steps[c] = df.filter(inside), inside
     if not scale:

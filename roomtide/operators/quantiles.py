@@ -1,199 +1,143 @@
 """Exact quantiles with linear interpolation, by distributed selection.
 
-``percentile`` keeps every distinct value of a column in one task, which fails on large
-continuous columns. Here mergeable sketches narrow each wanted rank to a bracket, exact
-counts confirm the bracket, and only the few values inside it are looked at. A bracket
-that a sketch cannot narrow, because a few values are very frequent, is halved. Tables of
-every size take this path; NaN counts as missing.
+``percentile`` keeps every distinct value of a column in one task, which fails on large continuous columns. Here one pass gives the
+range of each column, and one counts its values in ``BINS`` bins of equal width, with the smallest and largest value of each bin.
+A wanted rank lies in one bin. If the bin holds a single value, that is the answer; if it holds few, they are looked at; else the
+bin becomes the range of the next pass, ``BINS`` times finer. All columns and ranks share the passes. Tables of every size take
+this path; NaN counts as missing.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GRID = 500
-ACCURACY = 20_000
+from ..functions.text import number, quoted
+
+BINS = 4096
 GATHER_ROWS = 2_000
 
 
-@dataclass
-class _Bracket:
-    """Closed value range holding sorted positions ``first``..``last`` of ``column``."""
+@dataclass(frozen=True)
+class _Range:
+    """The values of a column from ``low`` to ``high``; ``below`` of its values are smaller. Infinite ones lie outside."""
 
     column: str
-    first: int
-    last: int
     low: float
     high: float
     below: int = 0
-    inside: int = 0
-    margin: int = 1
-    found: tuple[float, float] | None = None
-
-    @property
-    def condition(self):
-        c = F.col(self.column)
-        return (c >= F.lit(self.low)) & (c <= F.lit(self.high))
-
-
-_STEPS = ", ".join(f"{i / GRID}D" for i in range(GRID + 1))
-
-
-def _number(df: DataFrame, column: str) -> Column:
-    value = F.col(column).cast("double")
-    return F.when(~F.isnan(value), value).alias(column)
-
-
-def _halve(df: DataFrame, brackets: list[_Bracket]) -> None:
-    """Narrow each bracket to the half that holds its ranks, or find them on either side of the middle."""
-    middles = [b.low / 2 + b.high / 2 for b in brackets]
-    under = [(F.col(b.column) >= F.lit(b.low)) & (F.col(b.column) <= F.lit(m)) for b, m in zip(brackets, middles, strict=True)]
-    over = [(F.col(b.column) > F.lit(m)) & (F.col(b.column) <= F.lit(b.high)) for b, m in zip(brackets, middles, strict=True)]
-    row = df.agg(
-        *[F.count_if(u).alias(f"n{i}") for i, u in enumerate(under)],
-        *[F.max(F.when(u, F.col(b.column))).alias(f"l{i}") for i, (b, u) in enumerate(zip(brackets, under, strict=True))],
-        *[F.min(F.when(o, F.col(b.column))).alias(f"h{i}") for i, (b, o) in enumerate(zip(brackets, over, strict=True))],
-    ).first()
-    for i, b in enumerate(brackets):
-        if b.last < b.below + row[f"n{i}"]:
-            b.high = row[f"l{i}"]
-        elif b.first >= b.below + row[f"n{i}"]:
-            b.low = row[f"h{i}"]
-        else:
-            b.found = (row[f"l{i}"], row[f"h{i}"])
 
+    def bin(self) -> str:
+        """SQL for the bin of a value; never falls as the value rises, and puts ``low`` and ``high`` into different bins.
 
-def _finite(b: _Bracket, grid: list[float]) -> _Bracket:
-    """The bracket with the smallest and largest value inside it for open ends."""
-    b.low, b.high = max(b.low, grid[0]), min(b.high, grid[-1])
-    return b
+        Halves are subtracted, as the whole difference may be too large for a double.
+        """
+        v, low, high = quoted(self.column), number(self.low), number(self.high)
+        width = self.high / 2 - self.low / 2
+        if width > 0:
+            at = f"CAST(least(floor(({v} / 2D - {number(self.low / 2)}) / {number(width)} * {BINS}), {BINS - 1}) AS INT)"
+        else:
+            # One value, or neighbours too small to be halved.
+            at = f"CASE WHEN {v} > {low} THEN {BINS - 1} ELSE 0 END"
+        return f"CASE WHEN {v} < {low} THEN -1 WHEN {v} > {high} THEN {BINS} ELSE {at} END"
 
 
-def _grid_of(column: str, condition=None):
-    value = F.col(column).cast("double")
-    if condition is not None:
-        value = F.when(condition, value)
-    return F.percentile_approx(value, F.expr(f"array({_STEPS})"), F.lit(ACCURACY))
+def _clean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.selectExpr(*[f"nanvl(CAST({quoted(c)} AS DOUBLE), NULL) AS {quoted(c)}" for c in columns])
 
 
-def _cell(grid: list[float], below: int, inside: int, b: _Bracket) -> tuple[float, float]:
-    low = math.floor((b.first - below) / inside * GRID) - b.margin
-    high = math.ceil((b.last + 1 - below) / inside * GRID) + b.margin
-    return (
-        grid[low] if low > 0 else -math.inf,
-        grid[high] if high < GRID else math.inf,
-    )
+def finite_ends(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Smallest and largest finite value of each column, in one pass; columns without one have (0, 0)."""
+    columns = list(dict.fromkeys(columns))
+    finite = [f"CASE WHEN abs({quoted(c)}) < double('inf') THEN {quoted(c)} END" for c in columns]
+    row = _clean(df, columns).selectExpr(*[f"min({v}) AS a{i}" for i, v in enumerate(finite)], *[f"max({v}) AS b{i}" for i, v in enumerate(finite)]).first()
+    return {c: (row[f"a{i}"] or 0.0, row[f"b{i}"] or 0.0) for i, c in enumerate(columns)}
+
+
+def _histograms(df: DataFrame, ranges: Sequence[_Range], inside: bool) -> list[list[tuple[int, float, float, int]]]:
+    """Per range its bins in order, as (bin, smallest, largest, count); with ``inside`` only values in the range are counted."""
+    parts = []
+    for i, r in enumerate(ranges):
+        v = quoted(r.column)
+        wanted = f"{v} BETWEEN {number(r.low)} AND {number(r.high)}" if inside else f"{v} IS NOT NULL"
+        parts.append(f"CASE WHEN {wanted} THEN named_struct('t', {i}, 'b', {r.bin()}, 'v', {v}) END")
+    rows = df.selectExpr(f"explode(array({', '.join(parts)})) AS x").filter("x IS NOT NULL").select("x.*")
+    counted = rows.groupBy("t", "b").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("n")).collect()
+    found: list[list[tuple[int, float, float, int]]] = [[] for _ in ranges]
+    for r in sorted(counted, key=lambda r: (r.t, r.b)):
+        found[r.t].append((r.b, r.low, r.high, r.n))
+    return found
+
+
+def _gather(df: DataFrame, ranges: Sequence[_Range]) -> list[list[float]]:
+    """The values of each range, sorted; at most ``GATHER_ROWS`` each."""
+    found: list[list[float]] = [[] for _ in ranges]
+    if not ranges:
+        return found
+    hits = [
+        f"CASE WHEN {quoted(r.column)} BETWEEN {number(r.low)} AND {number(r.high)} THEN named_struct('t', {i}, 'v', {quoted(r.column)}) END"
+        for i, r in enumerate(ranges)
+    ]
+    any_hit = " OR ".join(f"{quoted(r.column)} BETWEEN {number(r.low)} AND {number(r.high)}" for r in ranges)
+    for row in df.filter(any_hit).selectExpr(f"explode(array({', '.join(hits)})) AS x").filter("x IS NOT NULL").select("x.*").collect():
+        found[row.t].append(row.v)
+    return [sorted(values) for values in found]
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    ends: Mapping[str, tuple[float, float]] | None = None,
 ) -> dict[str, list[float | None]]:
-    """Quantiles of each column over its values that are neither null nor NaN; ``None`` where there are none."""
+    """Quantiles of each column over its values that are neither null nor NaN; ``None`` where there are none.
+
+    ``ends`` spares the first pass: finite values of each column between which all finite values lie.
+    """
     columns = list(dict.fromkeys(columns))
-    df = df.select(*[_number(df, c) for c in columns])
-    first = df.agg(
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[_grid_of(c).alias(f"g{i}") for i, c in enumerate(columns)],
-    ).first()
-    brackets: dict[tuple[str, float], _Bracket] = {}
-    for i, c in enumerate(columns):
-        n = first[f"n{i}"]
-        for p in probabilities if n else ():
-            rank = p * (n - 1)
-            b = _Bracket(c, math.floor(rank), math.ceil(rank), 0.0, 0.0)
-            b.low, b.high = _cell(first[f"g{i}"], 0, n, b)
-            brackets[c, p] = b
-
-    pending = list(brackets.values())
-    while pending:
-        row = df.agg(
-            *[F.count_if(F.col(b.column) < F.lit(b.low)).alias(f"b{i}") for i, b in enumerate(pending)],
-            *[F.count_if(b.condition).alias(f"n{i}") for i, b in enumerate(pending)],
-        ).first()
-        refine = []
-        for i, b in enumerate(pending):
-            b.below, b.inside = row[f"b{i}"], row[f"n{i}"]
-            missed = b.first < b.below or b.last >= b.below + b.inside
-            if missed:
-                # The sketch erred by more than a cell: look wider.
-                b.low, b.high = -math.inf, math.inf
-                b.margin *= 4
-                refine.append(b)
-            elif b.inside > GATHER_ROWS and b.low < b.high:
-                refine.append(b)
-        if refine:
-            grids = df.agg(
-                *[F.count_if(b.condition).alias(f"n{i}") for i, b in enumerate(refine)],
-                *[F.count_if(F.col(b.column) < F.lit(b.low)).alias(f"b{i}") for i, b in enumerate(refine)],
-                *[_grid_of(b.column, b.condition).alias(f"g{i}") for i, b in enumerate(refine)],
-            ).first()
-            stuck = []
-            for i, b in enumerate(refine):
-                before = (b.low, b.high)
-                low, high = _cell(grids[f"g{i}"], grids[f"b{i}"], grids[f"n{i}"], b)
-                b.low, b.high = max(low, b.low), min(high, b.high)
-                b.below, b.inside = grids[f"b{i}"], grids[f"n{i}"]
-                if (b.low, b.high) == before:
-                    stuck.append(b)
-            if stuck:
-                _halve(df, [_finite(b, grids[f"g{refine.index(b)}"]) for b in stuck])
-        pending = [b for b in refine if b.found is None]
-
-    values = _gather(df, [b for b in brackets.values() if b.low < b.high and b.found is None])
+    ends = ends or finite_ends(df, columns)
+    df = _clean(df, columns)
+    ranges = [_Range(c, *ends[c]) for c in columns]
+    histograms = _histograms(df, ranges, inside=False)
+    sizes = {r.column: sum(b[3] for b in bins) for r, bins in zip(ranges, histograms, strict=True)}
+    # A rank between two values needs both.
+    wanted = {
+        (c, at) for c in columns if sizes[c] for p in probabilities for at in (math.floor(p * (sizes[c] - 1)), math.ceil(p * (sizes[c] - 1)))
+    }
+    values: dict[tuple[str, int], float] = {}
+    open_ranks = {(c, at): i for i, c in enumerate(columns) for d, at in wanted if d == c}
+    few: dict[_Range, list[tuple[str, int]]] = {}
+    while open_ranks:
+        narrower: dict[_Range, list[tuple[str, int]]] = {}
+        for key, i in open_ranks.items():
+            below = ranges[i].below
+            for _, low, high, n in histograms[i]:
+                if key[1] < below + n:
+                    break
+                below += n
+            if low == high:
+                values[key] = low
+            else:
+                (few if n <= GATHER_ROWS else narrower).setdefault(_Range(key[0], low, high, below), []).append(key)
+        ranges = list(narrower)
+        histograms = _histograms(df, ranges, inside=True) if ranges else []
+        open_ranks = {key: i for i, r in enumerate(ranges) for key in narrower[r]}
+    for r, found in zip(few, _gather(df, list(few)), strict=True):
+        for key in few[r]:
+            values[key] = found[key[1] - r.below]
+
     result: dict[str, list[float | None]] = {}
     for c in columns:
         result[c] = []
         for p in probabilities:
-            b = brackets.get((c, p))
-            if b is None:
+            if not sizes[c]:
                 result[c].append(None)
                 continue
-            if b.found is not None:
-                low, high = b.found
-            elif b.low == b.high:
-                low = high = float(b.low)
-            else:
-                counted = values[id(b)]
-                low, high = _at(counted, b.first - b.below), _at(counted, b.last - b.below)
-            n = first[f"n{columns.index(c)}"]
-            result[c].append(low + (high - low) * (p * (n - 1) - b.first))
+            rank = p * (sizes[c] - 1)
+            low, high = values[c, math.floor(rank)], values[c, math.ceil(rank)]
+            result[c].append(low + (high - low) * (rank - math.floor(rank)) if high > low else low)
     return result
-
-
-def _gather(df: DataFrame, brackets: list[_Bracket]) -> dict[int, list[tuple[float, int]]]:
-    """Distinct values and counts inside each bracket, sorted."""
-    out: dict[int, list[tuple[float, int]]] = {id(b): [] for b in brackets}
-    if not brackets:
-        return out
-    hits = F.array(
-        *[
-            F.when(b.condition, F.struct(F.lit(i).alias("target"), F.col(b.column).cast("double").alias("value")))
-            for i, b in enumerate(brackets)
-        ]
-    )
-    hit = reduce(or_, [b.condition for b in brackets])
-    rows = (
-        df.filter(hit)
-        .select(F.explode(F.array_compact(hits)).alias("hit"))
-        .groupBy("hit.target", "hit.value")
-        .count()
-        .collect()
-    )
-    for r in sorted(rows, key=lambda r: (r["target"], r["value"])):
-        out[id(brackets[r["target"]])].append((r["value"], r["count"]))
-    return out
-
-
-def _at(counted: list[tuple[float, int]], position: int) -> float:
-    for value, count in counted:
-        if position < count:
-            return value
-        position -= count
-    raise AssertionError("rank outside its bracket")
