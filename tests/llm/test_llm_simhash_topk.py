@@ -140,3 +140,73 @@ def test_lists_stop_early_with_right_results():
     for q, ids, scores in lists.best(queries, np.arange(0, 4000, 800), 5):
         full = pd.Series(vectors @ queries[q]).drop(q * 800)
         assert sorted(zip(-scores, ids, strict=True)) == sorted(zip(-full, full.index, strict=True))[:5]
+
+
+@pytest.mark.parametrize("chunk", [8, 2048])
+def test_scores_beyond_53_bits_are_exact(spark, chunk):
+    """Components of 10^8 and more: doubles could not tell these scores apart."""
+    rows = [(0, [10**8, 3, 10**8]), *[(i, [10**8 + i % 3, 10**7 + i, 10**8 - i % 2]) for i in range(1, 60)], (90, [2**33, 2**33, 1])]
+    frame = spark.createDataFrame(rows, "vec_id long, vector array<long>")
+    got = topk.top_k(frame.filter("vec_id IN (0, 5, 90)"), frame, 12, chunk)
+    expected = []
+    for q, v in rows:
+        if q in (0, 5, 90):
+            scored = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in rows if i != q)[:12]
+            expected += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+    with pytest.raises(Exception, match="64 bits"):
+        wide = spark.createDataFrame([(1, [2**40] * 3), (2, [2**40] * 3)], "vec_id long, vector array<long>")
+        topk.top_k(wide, wide).collect()
+
+
+def test_ids_that_are_null_repeated_or_large(spark):
+    big = 2**53 + 1
+    rows = [(None, [1.0, 0.0]), (big, [2.0, 0.0]), (big + 1, [2.0, 0.0]), (-(2**62), [0.5, 1.0]), (7, [1.0, 1.0])] + [(3, [1.5, 0.0])] * 40
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = topk.quantised(frame)
+    assert vectors.count() == len(rows) - 1
+    got = topk.top_k(vectors.filter("vec_id IN (7, 9007199254740993)"), vectors, 4, 16, 1)
+    assert sorted(map(tuple, got.collect())) == [
+        (7, 1, big, 2 * 1024**2), (7, 2, big + 1, 2 * 1024**2), (7, 3, -(2**62), 1536 * 1024), (7, 4, 3, 1536 * 1024),
+        (big, 1, big + 1, 4 * 1024**2), (big, 2, 3, 3 * 1024**2), (big, 3, 3, 3 * 1024**2), (big, 4, 3, 3 * 1024**2),
+    ]
+
+
+def test_a_hot_id_spreads_over_the_strata(spark):
+    frame = spark.range(3000).select(F.lit(5).cast("long").alias("vec_id"), F.array(F.col("id"), F.lit(1).cast("long")).alias("vector"))
+    ends = topk.strata(3000, 64)
+    assert len(ends) == 2 and ends[0] * 3000 < 64 * topk.GROWTH
+    asked = spark.createDataFrame([(1, [1, 0])], "vec_id long, vector array<long>")
+    got = topk.top_k(asked, frame, 3, 64).collect()
+    assert sorted((r["rank"], r.vec_id, r.score) for r in got) == [(1, 5, 2999), (2, 5, 2998), (3, 5, 2997)]
+
+
+def test_floors_and_slices_save_reading():
+    rng = np.random.default_rng(6)
+    vectors = rng.integers(-20, 20, (4096, 6))
+    vectors[::100] *= 40
+    queries = vectors[::400].astype(np.int64)
+    lists = topk.SortedLists(np.arange(4096), vectors)
+    found = {q: scores for q, _, scores in lists.best(queries, np.arange(0, 4096, 400), 5)}
+    whole = 4096 * 6 * len(queries)
+    assert lists.read < 0.5 * whole
+    # A floor that only the best reach stops the reading sooner, and what it keeps is right.
+    again = topk.SortedLists(np.arange(4096), vectors)
+    floors = np.array([topk.at_most(int(found[q][0])) for q in range(len(queries))])
+    kept = {q: [s for s in scores if s > floors[q]] for q, _, scores in again.best(queries, np.arange(0, 4096, 400), 5, floors)}
+    assert again.read <= lists.read and all(kept[q][0] == found[q][0] for q in kept)
+
+
+def test_rows_out_of_the_search_do_not_grow_with_the_candidates(spark):
+    def rows(n):
+        rng = np.random.default_rng(7)
+        vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.integers(-99, 99, (n, 4)))], "vec_id long, vector array<long>")
+        seen, real = [], topk._search
+        topk._search = lambda *a: seen.append(real(*a)) or seen[-1]
+        try:
+            topk.top_k(vectors.filter("vec_id < 4"), vectors, 5, 64)
+        finally:
+            topk._search = real
+        return max(s.count() for s in seen)
+
+    assert rows(8000) < 2 * rows(2000) + 4 * 5 * topk.GROWTH
