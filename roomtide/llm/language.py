@@ -9,8 +9,11 @@ bytes before it alone; the costs of what was seen are laid out in sorted tables
 All 256 bytes are symbols of their own, whatever the number of languages. A model holds the runs of four bytes that
 occur in training, so its size follows from these.
 
-Counts cover the whole text of all training rows; they are summed in the tasks, then by Spark. What reaches
-the driver is one number for each language and run of four bytes in use there.
+Counts cover the whole text of all training rows; they are summed in the tasks, then by Spark, and stay a table. All that the cost
+of a byte depends on has the byte before it in common, but for the counts of single bytes. So the table falls into parts, by
+languages and by that byte, of at most ``PART_RUNS`` runs (one language's runs after one byte, if these alone are more). A part at a
+time reaches the driver and goes to the tasks; each pass adds up what its part says of every text. A model of one part, as most
+are, is one pass without a shuffle.
 
 Nulls: a null or letterless text is ``und`` with score 0, as is every text when no row has a language.
 Ties between languages go to the smaller name. Repeated rows are scored alike. Only the named columns
@@ -29,11 +32,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .batches import small_batches
 
 ORDER = 3
 #: So many languages share a look-up; a block has a cost per language for every run that one of them has seen.
 BLOCK = 8
+#: Runs of four bytes, for one language each, that are sent to the tasks at a time.
+PART_RUNS = 1 << 21
 #: Different runs of a language that a task counts before it hands them on.
 MOST_RUNS = 1 << 22
 #: Texts are coded in stretches of at most so many bytes; a longer text goes on in the next.
@@ -123,12 +129,21 @@ def bits_of(orders: list[Order], keys: np.ndarray, languages: int) -> np.ndarray
     return bits
 
 
-def lay_out(counts: list[tuple[np.ndarray, np.ndarray]]) -> list[Order]:
-    """The orders of a block of languages from each one's sorted runs of four bytes and their counts."""
+Counts = list[tuple[np.ndarray, np.ndarray]]
+
+
+def lay_out(counts: Counts, single: Counts | None = None) -> list[Order]:
+    """The orders of a block of languages from each one's sorted runs of four bytes and their counts.
+
+    ``single`` has the counts of single bytes if ``counts`` is a part.
+    """
     orders: list[Order] = []
     below: list[tuple] = []
     for order in range(ORDER + 1):
-        seen = [added(shorter(k, order), n.astype(np.int64)) for k, n in counts]
+        if order == 0 and single is not None:
+            seen = [(k, n.astype(np.int64)) for k, n in single]
+        else:
+            seen = [added(shorter(k, order), n.astype(np.int64)) for k, n in counts]
         keys = np.unique(np.concatenate([k for k, _ in seen]))
         contexts = np.unique(keys >> 8)
         escapes = np.zeros((len(contexts), len(counts)), np.float32)
@@ -165,16 +180,24 @@ def lay_out(counts: list[tuple[np.ndarray, np.ndarray]]) -> list[Order]:
 
 @dataclass
 class ContextTrees:
-    """Frozen statistics: languages, and per language the counts of the runs of four bytes that occur."""
+    """Frozen statistics: languages, and per language the counts of the runs of four bytes that occur.
+
+    A part holds those after some bytes only (``after``) and the counts of all ``single`` bytes.
+    """
 
     languages: list[str]
-    counts: list[tuple[np.ndarray, np.ndarray]]
+    counts: Counts
+    after: np.ndarray | None = None
+    single: Counts | None = None
 
     @cached_property
     def blocks(self) -> list[tuple[slice, list[Order]]]:
         """Tables of ``BLOCK`` languages each."""
         starts = range(0, len(self.languages), BLOCK)
-        return [(slice(i, min(i + BLOCK, len(self.languages))), lay_out(self.counts[i : i + BLOCK])) for i in starts]
+        return [
+            (slice(i, min(i + BLOCK, len(self.languages))), lay_out(self.counts[i : i + BLOCK], self.single and self.single[i : i + BLOCK]))
+            for i in starts
+        ]
 
     @cached_property
     def symbols(self) -> np.ndarray:
@@ -199,13 +222,20 @@ class ContextTrees:
         return np.concatenate([bits_of(orders, keys, part.stop - part.start) for part, orders in self.blocks], 1)
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
-        """Bits that each language takes for each whole text."""
+        """Bits that each language takes for each whole text; those of a part's own bytes if this is a part."""
         result = np.zeros((len(texts), len(self.languages)))
         for data, starts, owners in stretches(texts):
             key, own = keys_of(data, starts)
+            if self.after is not None:
+                own &= self.after[(key >> 8) & np.uint32(255)]
+            mine = np.flatnonzero(own) if self.after is not None else None
             for part, orders in self.blocks:
-                bits = bits_of(orders, key, part.stop - part.start)
-                bits[~own] = 0
+                if mine is None:
+                    bits = bits_of(orders, key, part.stop - part.start)
+                    bits[~own] = 0
+                else:
+                    bits = np.zeros((len(key), part.stop - part.start), np.float32)
+                    bits[mine] = bits_of(orders, key[mine], part.stop - part.start)
                 np.add.at(result[:, part], owners, np.add.reduceat(bits, np.minimum(starts, len(key) - 1), axis=0, dtype=np.float64))
         return result
 
@@ -216,7 +246,69 @@ def _training(docs: DataFrame, text: str, lang: str, where: Column) -> DataFrame
     )
 
 
-def fit(docs: DataFrame, where: Column, text: str = "text", lang: str = "lang") -> ContextTrees:
+@dataclass
+class Model:
+    """The counts as a table (``lang, at, n, after``), what is small of them, and the parts that they fall into.
+
+    A part is a range of languages and the bytes after which its runs are.
+    """
+
+    languages: list[str]
+    runs: DataFrame
+    single: Counts
+    parts: list[tuple[slice, np.ndarray]]
+
+    def trees(self, part: tuple[slice, np.ndarray]) -> ContextTrees:
+        """One part, on the driver."""
+        names, after = self.languages[part[0]], part[1]
+        wanted = F.col("lang").isin(names) & F.col("after").isin([int(x) for x in np.flatnonzero(after)])
+        found = self.runs.filter(wanted).select("lang", "at", "n").toArrow()
+        counts = []
+        for name in names:
+            own = found.filter(pc.equal(found["lang"], name)).sort_by("at")
+            counts.append((own["at"].to_numpy().astype(np.uint32), own["n"].to_numpy()))
+        return ContextTrees(names, counts, None if after.all() else after, self.single[part[0]])
+
+    @cached_property
+    def whole(self) -> ContextTrees:
+        """All of it on the driver, to look at small models."""
+        return self.trees((slice(0, len(self.languages)), np.ones(256, bool)))
+
+    symbols = property(lambda self: self.whole.symbols)
+    width = property(lambda self: self.whole.width)
+    table = property(lambda self: self.whole.table)
+
+    def code_lengths(self, texts: list[bytes]) -> np.ndarray:
+        """Bits that each language takes for each whole text, part by part."""
+        total = np.zeros((len(texts), len(self.languages)))
+        for part in self.parts:
+            total[:, part[0]] += self.trees(part).code_lengths(texts)
+        return total
+
+
+def cut(sizes: dict[tuple[int, int], int], languages: int, most: int) -> list[tuple[slice, np.ndarray]]:
+    """Parts of at most ``most`` runs, from the number of runs of each (language, byte before)."""
+    if sum(sizes.values()) <= most:
+        return [(slice(0, languages), np.ones(256, bool))]
+    parts = []
+    for first in range(0, languages, BLOCK):
+        block = range(first, min(first + BLOCK, languages))
+        # Languages whose runs after one byte are too many together go one by one.
+        crowded = any(sum(sizes.get((j, x), 0) for j in block) > most for x in range(256))
+        for names in [range(j, j + 1) for j in block] if crowded else [block]:
+            after, held = np.zeros(256, bool), 0
+            for x in range(256):
+                n = sum(sizes.get((j, x), 0) for j in names)
+                if held + n > most and held:
+                    parts.append((slice(names.start, names.stop), after))
+                    after, held = np.zeros(256, bool), 0
+                after[x] = True
+                held += n
+            parts.append((slice(names.start, names.stop), after))
+    return parts
+
+
+def fit(docs: DataFrame, where: Column, text: str = "text", lang: str = "lang", part_runs: int = PART_RUNS) -> Model:
     """Context trees of every language among the rows that ``where`` picks."""
     small_batches(docs.sparkSession)
 
@@ -247,20 +339,91 @@ def fit(docs: DataFrame, where: Column, text: str = "text", lang: str = "lang")
             yield from rows_of(name, keys, n)
 
     counted = _training(docs, text, lang, where).mapInArrow(count_runs, "lang string, at long, n long")
-    frame = counted.groupBy("lang", "at").agg(F.sum("n").alias("n")).toArrow()
-    counts = []
-    for name in sorted(pc.unique(frame["lang"]).to_pylist()):
-        own = frame.filter(pc.and_(pc.equal(frame["lang"], name), pc.is_valid(frame["at"]))).sort_by("at")
-        counts.append((name, (own["at"].to_numpy().astype(np.uint32), own["n"].to_numpy())))
-    return ContextTrees([k for k, _ in counts], [c for _, c in counts])
+    after = F.shiftright("at", 8).bitwiseAND(F.lit(255)).cast("int")
+    runs = materialize(counted.groupBy("lang", "at").agg(F.sum("n").alias("n")).withColumn("after", after), "runs")
+    known = runs.filter(F.col("at").isNotNull())
+    singles = known.groupBy("lang", F.col("at").bitwiseAND(F.lit(255)).alias("byte")).agg(F.sum("n").alias("n")).toArrow()
+    sizes = {(r.lang, r.after): r["count"] for r in known.groupBy("lang", "after").count().collect()}
+    languages = sorted(r.lang for r in runs.select("lang").distinct().collect())
+    single = []
+    for name in languages:
+        own = singles.filter(pc.equal(singles["lang"], name)).sort_by("byte")
+        single.append((own["byte"].to_numpy().astype(np.uint32), own["n"].to_numpy()))
+    place = {name: j for j, name in enumerate(languages)}
+    return Model(languages, known, single, cut({(place[k], x): n for (k, x), n in sizes.items()}, len(languages), part_runs))
+
+
+#: What a text's costs are judged by.
+VERDICT = "lang_pred string, score double, bits_per_byte double"
+
+
+def _verdicts(languages: list[str], costs: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score and bits a byte under it, from every language's bits for whole texts that hold a letter."""
+    mean = costs / sizes[:, None]
+    best = mean.argmin(1)
+    score = 1 / np.exp2(-PASSAGE * (mean - mean.min(1, keepdims=True))).sum(1)
+    return np.array(languages, object)[best], score, mean.min(1)
 
 
-def identify(docs: DataFrame, model: ContextTrees, text: str = "text") -> DataFrame:
-    """Add ``lang_pred``, ``score`` (0 to 1) and ``bits_per_byte`` under the best language; no shuffle."""
+def _has_letter(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
+
+
+def _partial_costs(rows: DataFrame, trees: ContextTrees, start: int) -> DataFrame:
+    """``row, first, b0 ..``: what a part says of every text, for up to ``BLOCK`` languages from number ``first`` on."""
+    shared = rows.sparkSession.sparkContext.broadcast(trees)
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
+            costs = shared.value.code_lengths(texts)
+            for first in range(0, costs.shape[1], BLOCK):
+                part = costs[:, first : first + BLOCK]
+                columns = {f"b{i}": pa.array(part[:, i] if i < part.shape[1] else np.zeros(len(texts))) for i in range(BLOCK)}
+                yield pa.RecordBatch.from_pydict({"row": batch.column("row"), "first": pa.repeat(start + first, len(texts)), **columns})
+
+    schema = "row long, first long, " + ", ".join(f"b{i} double" for i in range(BLOCK))
+    return materialize(rows.mapInArrow(code, schema), "partial-costs")
+
+
+def _identify_in_parts(docs: DataFrame, model: Model, text: str, kept: list[str]) -> DataFrame:
+    """One pass for each part; the costs of a text are added up under a number given when the rows are written."""
+    rows = materialize(docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(kept)], F.col(f"`{text}`").alias("text"), F.monotonically_increasing_id().alias("row")), "numbered")
+    partial = None
+    for part in model.parts:
+        found = _partial_costs(rows.select("row", "text"), model.trees(part), part[0].start)
+        partial = found if partial is None else partial.unionByName(found)
+    # Parts of one block of languages may begin at any of its languages.
+    summed = partial.groupBy("row", "first").agg(*[F.sum(f"b{i}").alias(f"b{i}") for i in range(BLOCK)])
+    each = F.explode(F.array(*[F.struct((F.col("first") + i).alias("place"), F.col(f"b{i}").alias("bits")) for i in range(BLOCK)])).alias("c")
+    costs = summed.select("row", each).filter(F.col("c.place") < len(model.languages)).groupBy("row", "c.place").agg(F.sum("c.bits").alias("bits"))
+    costs = costs.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("place", "bits"))).alias("costs")).select("row", F.col("costs.bits").alias("costs"))
+    languages = model.languages
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, score, rate = np.full(len(batch), "und", object), np.zeros(len(batch)), np.zeros(len(batch))
+            picked = np.flatnonzero(batch.column("letter").to_numpy(zero_copy_only=False))
+            if len(picked):
+                bits = batch.column("costs").take(pa.array(picked)).flatten().to_numpy().reshape(len(picked), -1)
+                names[picked], score[picked], rate[picked] = _verdicts(languages, bits, batch.column("size").to_numpy()[picked])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(names, pa.string()), pa.array(score), pa.array(rate)], names=["row", "lang_pred", "score", "bits_per_byte"])
+
+    letter = F.pandas_udf(lambda t: t.map(_has_letter), "boolean")
+    about = rows.select("row", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"), letter("text").alias("letter"))
+    verdicts = costs.join(about, "row").select("row", "costs", "size", "letter").mapInArrow(decide, f"row long, {VERDICT}")
+    joined = rows.join(materialize(verdicts, "verdicts"), "row")
+    return joined.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(kept)], "lang_pred", "score", "bits_per_byte")
+
+
+def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """Add ``lang_pred``, ``score`` (0 to 1) and ``bits_per_byte`` under the best language; no shuffle for a model of one part."""
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     added = ("lang_pred", "score", "bits_per_byte")
     kept = [c for c in docs.columns if c not in added]
+    if len(model.parts) > 1:
+        return _identify_in_parts(docs, model, text, kept)
+    shared = docs.sparkSession.sparkContext.broadcast(model.trees(model.parts[0]))
     schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add("lang_pred", "string").add("score", "double")
     schema = schema.add("bits_per_byte", "double")
 
@@ -269,16 +432,12 @@ def identify(docs: DataFrame, model: ContextTrees, text: str = "text") -> DataFr
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
             texts = [(t or "").encode() for t in column.to_pylist()]
-            letters = np.array([any(map(str.isalpha, t or "")) for t in column.to_pylist()], bool)
+            letters = np.array([_has_letter(t) for t in column.to_pylist()], bool)
             names, score, rate = np.full(len(texts), "und", object), np.zeros(len(texts)), np.zeros(len(texts))
             if trees.languages and letters.any():
                 picked = np.flatnonzero(letters)
-                mean = trees.code_lengths([texts[i] for i in picked])
-                mean /= np.array([len(texts[i]) for i in picked])[:, None]
-                best = mean.argmin(1)
-                names[picked] = np.array(trees.languages, object)[best]
-                rate[picked] = mean.min(1)
-                score[picked] = 1 / np.exp2(-PASSAGE * (mean - mean.min(1, keepdims=True))).sum(1)
+                costs, sizes = trees.code_lengths([texts[i] for i in picked]), np.array([len(texts[i]) for i in picked])
+                names[picked], score[picked], rate[picked] = _verdicts(trees.languages, costs, sizes)
             out = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*out, pa.array(names, pa.string()), pa.array(score), pa.array(rate)], names=schema.names)
 

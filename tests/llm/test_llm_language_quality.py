@@ -86,6 +86,34 @@ def test_code_lengths_against_brute_force(spark):
     assert model.code_lengths([probe])[0] == pytest.approx(expected, rel=1e-5)
 
 
+def test_a_model_in_many_parts_says_the_same(spark, texts):
+    """Fifty languages of text with many letters, whose tables are sent in pieces of a few hundred runs."""
+    rng = np.random.default_rng(8)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 900)]
+    words = [["".join(rng.choice(letters, 2)) for _ in range(30)] for _ in range(50)]
+    rows = [(k * 10 + i, " ".join(rng.choice(words[k], 25)), f"l{k:02}", "x", 1.0) for k in range(50) for i in range(2)]
+    docs = spark.createDataFrame(rows, texts.schema).unionByName(texts)
+    whole, cut = language.fit(docs, F.lit(True)), language.fit(docs, F.lit(True), part_runs=1500)
+    assert len(whole.parts) == 1 and len(cut.parts) > 7
+    assert all(len(t.counts[0][0]) <= 1500 for t in (cut.trees(p) for p in cut.parts[:5]))
+    assert sum(sum(len(k) for k, _ in cut.trees(p).counts) for p in cut.parts) == whole.runs.count() == cut.runs.count()
+    key = ["doc_id", "lang", "lang_pred", "bits_per_byte", "score"]
+    found = [sorted(map(tuple, language.identify(docs, m).select(*key).collect()), key=repr) for m in (whole, cut)]
+    assert [r[:3] for r in found[0]] == [r[:3] for r in found[1]] and len(found[0]) == docs.count()
+    assert [r[3:] for r in found[1]] == [pytest.approx(r[3:], rel=1e-4, abs=1e-4) for r in found[0]]
+    probe = [r[1].encode() for r in rows[::30]]
+    assert cut.code_lengths(probe) == pytest.approx(whole.code_lengths(probe), rel=1e-5)
+
+
+def test_a_part_is_never_larger_than_it_may_be():
+    sizes = {(j, x): 10 * (j + 1) for j in range(20) for x in range(0, 256, 3)}
+    for most in (50, 400, 3000, 10**6):
+        parts = language.cut(sizes, 20, most)
+        held = [sum(sizes.get((j, x), 0) for j in range(20)[p] for x in np.flatnonzero(a)) for p, a in parts]
+        assert sum(held) == sum(sizes.values()) and all(h <= max(most, 200) for h in held)
+        assert all(sum(a[x] for p, a in parts if j in range(20)[p]) == 1 for j in (0, 7, 19) for x in (0, 1, 255))
+
+
 def test_no_languages(texts, spark):
     none = language.fit(texts.filter("lang IS NULL"), F.lit(True))
     assert {r.lang_pred for r in language.identify(texts, none).collect()} == {"und"}
