@@ -129,7 +129,7 @@ def mix(
     """Add ``size``, ``source_size``, ``target``, ``taken`` and ``positions`` to every document.
 
     ``positions`` holds one training position in 0 to 1 for every time the document is taken. A
-    source with a third of all rows is cut into slices by the hash of the key.
+    source with a third of all rows, or an id with as many, is cut into range buckets.
     """
     amount = word_count() if size is None else size
     named = F.when(F.col(source).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source)))

@@ -70,7 +70,7 @@ def shard_slots(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "
     """One row per document: key, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``.
 
     ``size`` is the UTF-8 length plus one. ``slot`` numbers the rows of a shard from 0 without gaps; rows
-    are numbered in slices, so one shard's rows are never in one task. ``grown_shard`` is the shard
+    are numbered in range buckets, so one shard's rows, or one id's, are never in one task. ``grown_shard`` is the shard
     with one shard more. The texts are read once and only these few columns are shuffled.
     """
     body = F.coalesce(F.col(text), F.lit(""))

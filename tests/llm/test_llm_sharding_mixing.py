@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from roomtide.llm import mixing, sharding
+from roomtide.llm import mixing, sharding, slices
 
 DOCS = "doc_id long, text string, source string, size long, shard string, taken int"
 ROWS = [
@@ -123,3 +123,20 @@ def test_mix_edges(docs):
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.training_order(docs.limit(0)).count() == 0
     none = docs.filter("doc_id IN (2, 3)")
     assert [r.taken for r in mixing.mix(none).collect()] == [0, 0]
+
+
+@pytest.mark.parametrize("key", [None, 5])
+def test_a_third_of_the_rows_under_one_id_is_spread(spark, key, monkeypatch):
+    rows = [(key, "a b", "s", 0, "x", 0)] * 2000 + [(10 + i, "a b c", "st"[i % 2], 0, "x", 0) for i in range(4000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    seen, real = [], slices.RowOrder.attach
+    monkeypatch.setattr(slices.RowOrder, "attach", lambda self, df: seen.append(real(self, df)) or seen[-1])
+    mixed = mixing.mix(docs)
+    shards = sharding.shard_slots(docs, 1).collect()
+    for frame in seen:
+        if "_number" in frame.columns:
+            assert frame.groupBy(slices.BUCKET).count().agg(F.max("count")).first()[0] < 600
+    assert sorted(r.slot for r in shards) == list(range(6000))
+    taken = {r.source: r.t for r in mixed.groupBy("source").agg(F.sum("taken").alias("t")).collect()}
+    targets = {r.source: r.target for r in mixed.select("source", "target").distinct().collect()}
+    assert all(abs(taken[s] - targets[s]) <= 3 for s in "st")
