@@ -218,21 +218,9 @@ def fill_na(
     changes = [c for c in columns if "_diff" in c]
     df = df.fillna(0, changes) if changes else df
     rest = [c for c in columns if c not in changes and c not in order.keys]
-    if rest:
-        gaps = df.agg(*[F.expr(f"count_if({quoted(c)} IS NULL) AS g{i}") for i, c in enumerate(rest)]).first()
-        rest = [c for i, c in enumerate(rest) if gaps[f"g{i}"]]
     if not rest:
         return df
-    df = order.attach(df)
-    names = {f"_next{i}": c for i, c in enumerate(rest)}
-    if direction == "both":
-        df = order.fill(df, names, forward=False)
-    df = order.fill(df, {f"_last{i}": c for i, c in enumerate(rest)}, forward=True)
-    filled = {
-        c: F.coalesce(*([f"_next{i}"] if direction == "both" else []), f"_last{i}") for i, c in enumerate(rest)
-    }
-    helpers = [f"_last{i}" for i in range(len(rest))] + [f"_next{i}" for i in range(len(rest))]
-    return order.detach(df.withColumns(filled).drop(*helpers))
+    return order.detach(order.fill_gaps(order.attach(df), rest, both=direction == "both"))
 
 
 def replace_inf(df: DataFrame) -> DataFrame:

@@ -223,6 +223,48 @@ class RowOrder:
             {name: F.coalesce(f"_fill{i}", f"_end{i}") for i, name in enumerate(wanted)}
         ).drop("_b", *helpers, *[f"_w{i}" for i in range(len(self.within))])
 
+    def fill_gaps(self, df: DataFrame, columns: Sequence[str], both: bool = True) -> DataFrame:
+        """Replace missing values by the next one of their series, else by the last one; with ``both`` off by the last one alone.
+
+        One aggregation takes from every bucket the ends of both directions and the number of gaps, and is written; columns without
+        a gap are left as they are.
+        """
+        order = F.struct(*self.keys)
+        ends = df.groupBy(BUCKET, *self.within).agg(
+            *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"_last{i}") for i, c in enumerate(map(quoted, columns))],
+            *[F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"_first{i}") for i, c in enumerate(map(quoted, columns))],
+            *[F.expr(f"count_if({quoted(c)} IS NULL) AS _gaps{i}") for i, c in enumerate(columns)],
+        )
+        ends = materialize(ends, "fill-ends")
+        gaps = ends.agg(*[F.sum(f"_gaps{i}").alias(f"g{i}") for i in range(len(columns))]).first()
+        open_columns = {i: c for i, c in enumerate(columns) if gaps[f"g{i}"]}
+        if not open_columns:
+            return df
+        series = Window.partitionBy(*self.within)
+        earlier = series.orderBy(F.col(BUCKET).asc()).rowsBetween(Window.unboundedPreceding, -1)
+        later = series.orderBy(F.col(BUCKET).desc()).rowsBetween(Window.unboundedPreceding, -1)
+        carried = [F.last(f"_last{i}", ignorenulls=True).over(earlier).alias(f"_before{i}") for i in open_columns]
+        if both:
+            carried += [F.last(f"_first{i}", ignorenulls=True).over(later).alias(f"_after{i}") for i in open_columns]
+        names = [f"_before{i}" for i in open_columns] + ([f"_after{i}" for i in open_columns] if both else [])
+        carry = ends.select(F.col(BUCKET).alias("_b"), *[F.col(quoted(k)).alias(f"_w{i}") for i, k in enumerate(self.within)], *carried)
+        # Only series that go on beyond a bucket have something to carry: at most two of them for each bucket.
+        carry = carry.filter(" OR ".join(f"{n} IS NOT NULL" for n in names))
+        match = F.col(BUCKET) == F.col("_b")
+        for i, k in enumerate(self.within):
+            match = match & F.col(quoted(k)).eqNullSafe(F.col(f"_w{i}"))
+        rows = Window.partitionBy(BUCKET, *self.within).rowsBetween(Window.unboundedPreceding, 0)
+        filled = {f"_fill{i}": F.last(quoted(c), ignorenulls=True).over(rows.orderBy(*self._sorted(True))) for i, c in open_columns.items()}
+        if both:
+            filled |= {f"_next{i}": F.last(quoted(c), ignorenulls=True).over(rows.orderBy(*self._sorted(False))) for i, c in open_columns.items()}
+        kept = df.columns
+        joined = df.withColumns(filled).join(self._carried(carry, 2 * len(names) + 1), match, "left")
+        found = {}
+        for i, c in open_columns.items():
+            ahead = [f"_next{i}", f"_after{i}"] if both else []
+            found[c] = F.coalesce(F.col(quoted(c)), *ahead, f"_fill{i}", f"_before{i}")
+        return joined.withColumns(found).select(*map(quoted, kept))
+
     def index(self, df: DataFrame, name: str = "row_index") -> DataFrame:
         """Add the 0-based position of each row in the whole order."""
         before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)

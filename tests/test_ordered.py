@@ -110,3 +110,30 @@ def test_a_carry_is_never_longer_than_the_reach(spark, reach):
     for r in rows:
         before = [p.id for p in sorted(placed, key=lambda p: (p.t, p.id)) if p._bucket < r._bucket]
         assert r.carry == before[-reach:]
+
+
+@pytest.mark.parametrize("within", [[], ["room"]])
+@pytest.mark.parametrize(("buckets", "both"), [(1, True), (13, True), (350, True), (40, False)])
+def test_gaps_are_filled_like_by_plain_windows(spark, within, buckets, both):
+    df = skewed(spark).withColumn("whole", F.col("id") * 2)
+    order = RowOrder(df, ["t", "id"], within, buckets)
+    got = RowOrder.detach(order.fill_gaps(order.attach(df), ["v", "s", "whole"], both))
+    w = Window.partitionBy(*within).orderBy("t", "id")
+    last = {c: F.last(c, True).over(w.rowsBetween(Window.unboundedPreceding, 0)) for c in ("v", "s")}
+    ahead = {c: F.first(c, True).over(w.rowsBetween(0, Window.unboundedFollowing)) for c in ("v", "s")}
+    expected = df.select(*[(F.coalesce(ahead[c], last[c]) if both else last[c]).alias(c) if c in last else F.col(c) for c in df.columns])
+    pd.testing.assert_frame_equal(sort(got), sort(expected), check_dtype=False)
+
+
+def test_one_pass_before_the_one_that_fills(spark, monkeypatch):
+    from roomtide.operators import ordered
+
+    df = skewed(spark)
+    order = RowOrder(df, ["t", "id"], [], 20)
+    written = []
+    monkeypatch.setattr(ordered, "materialize", lambda frame, label, real=ordered.materialize: written.append(label) or real(frame, label))
+    out = order.fill_gaps(order.attach(df), ["v", "s"])
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert written == ["fill-ends"] and text.count("Range (") == 1 and text.count("Scan parquet") == 1
+    whole = order.attach(df)
+    assert order.fill_gaps(whole, ["id"]) is whole
