@@ -92,9 +92,8 @@ def test_subwords_of_words_are_those_of_the_text(spark, sf_dir):
 
 def small_model(symbols=128):
     rng = np.random.default_rng(0)
-    pairs = rng.poisson(0.3, (symbols, symbols)).astype(np.float32)
-    members = attention.class_order(pairs, 16)
-    prior = attention.PairPrior.of(pairs, members)
+    pairs = attention.Pairs.of(rng.poisson(0.3, (symbols, symbols)).astype(np.float32))
+    prior = attention.PairPrior.of(pairs, attention.class_order(pairs, 16), classes=16)
     p = attention.fresh(symbols, 16)
     for k in p:
         p[k] = p[k] + rng.normal(0, 0.1, p[k].shape).astype(np.float32)
@@ -109,6 +108,56 @@ def test_probabilities_add_up_to_one():
     assert total == pytest.approx(np.ones(attention.SCORED), rel=1e-4)
 
 
+@pytest.mark.parametrize("listed", [1.0, 0.3, 0.0])
+def test_probabilities_of_the_whole_vocabulary_add_up_to_one(listed):
+    """Every id of the tokenizer has a probability of its own, whichever pairs are listed."""
+    size, rng = SUBWORDS.size, np.random.default_rng(1)
+    before, after = rng.zipf(1.3, 60_000) % size, rng.zipf(1.2, 60_000) * 7919 % size
+    keys, n = np.unique(before * size + after, return_counts=True)
+    total, follows = np.bincount(keys // size, n, size), np.bincount(keys % size, minlength=size).astype(float)
+    kept = rng.random(len(keys)) < listed
+    pairs = attention.Pairs(size, keys[kept], n[kept].astype(np.float32), total, follows)
+    class_of = attention.class_order(pairs)
+    assert class_of.shape == (size,) and set(class_of) == set(range(attention.CLASSES))
+    prior, p = attention.PairPrior.of(pairs, class_of), attention.fresh(size)
+    here = np.full((1, attention.WINDOW), int(before[0]), np.uint16)
+    here[0, -5:] = [1, 0, int(before[1]), 49_000, SUBWORDS.end_id]
+    logs = np.zeros((size, attention.SCORED), np.float32)
+    for i in range(0, size, 512):
+        ids = np.arange(i, min(i + 512, size), dtype=np.uint16)
+        windows = np.repeat(here, len(ids), 0)
+        logs[ids] = attention.forward(p, prior, windows, windows, np.repeat(ids[:, None], attention.SCORED, 1)).reshape(len(ids), -1)
+    assert np.isfinite(logs).all()
+    assert np.exp(logs.astype(float)).sum(0) == pytest.approx(np.ones(attention.SCORED), rel=1e-3)
+
+
+def test_only_the_ids_at_hand_move_and_each_has_its_own_row():
+    p, prior = small_model()
+    windows = attention.windows_of(np.array([3, 4, 5, 3, 4] * 20, np.uint16), np.array([100]), 0)
+    found = attention.train(p, prior, windows, 0.02, 0.5, 1, batch=2)
+    for name in ("here", "before"):
+        moved = np.flatnonzero((found[name] != p[name]).any(1)).tolist()
+        assert moved and set(moved) <= {0, 3, 4, 5}
+    assert len({r.tobytes() for r in found["here"][[3, 4, 5]]}) == 3
+
+
+def test_rows_are_averaged_by_how_often_they_were_seen():
+    a = {"at": np.array([1, 4]).tobytes(), "steps": np.array([[2.0, 4.0], [3.0, 3.0]]).tobytes(), "weights": np.array([2.0, 3.0]).tobytes()}
+    b = {"at": np.array([4, 9]).tobytes(), "steps": np.array([[1.0, 5.0], [1.0, 0.0]]).tobytes(), "weights": np.array([1.0, 1.0]).tobytes()}
+    at, steps, weights = lm._merged([a, b])
+    assert at.tolist() == [1, 4, 9] and weights.tolist() == [2, 4, 1] and steps.tolist() == [[2, 4], [4, 8], [1, 0]]
+
+
+def test_rare_pairs_are_left_to_the_totals(spark):
+    rows = [(i * 300 + j, 1 + (i * j) % 40) for i in range(50) for j in range(30)]
+    frame = spark.createDataFrame(rows, "pair long, n long")
+    tiny = lm.Subwords("", "", 299)
+    whole, cut = lm.id_pairs(frame, tiny), lm.id_pairs(frame, tiny, 200)
+    assert len(whole.keys) == 1500 and 0 < len(cut.keys) <= 200 and cut.n.min() > whole.n.min()
+    assert cut.total.tolist() == whole.total.tolist() and cut.follows.tolist() == whole.follows.tolist()
+    assert whole.total[1] == sum(n for p, n in rows if p // 300 == 1) and whole.follows[29] == 50
+
+
 def test_later_symbols_do_not_matter():
     p, prior = small_model()
     rng = np.random.default_rng(3)
@@ -151,7 +200,8 @@ def test_gradients_match_differences():
 
     g = attention.gradients(p, prior, here, before, targets, real)
     for name, values in p.items():
-        flat, grad = values.reshape(-1), g[name].reshape(-1)
+        dense = g[name].dense(len(values)) if isinstance(g[name], attention.Rows) else g[name]
+        flat, grad = values.reshape(-1), dense.reshape(-1)
         for i in np.argsort(-np.abs(grad))[:3]:
             old, eps = flat[i], 1e-3
             flat[i] = old + eps
@@ -188,7 +238,7 @@ def test_scores_against_brute_force(spark, sf_dir):
     assert all(again[r.doc_id].n_known == r.n_known and again[r.doc_id].base_score == pytest.approx(r.base_score) for r in rows)
     assert all(again[r.doc_id].score == pytest.approx(r.score, rel=1e-4) for r in rows)
     trained = np.mean([r.score / r.n_tokens for r in rows if r.doc_id in held])
-    untrained = lm.Model(model.corpus, model.shared, attention.fresh(lm.SYMBOLS))
+    untrained = lm.Model(model.corpus, model.shared, attention.fresh(SUBWORDS.size))
     plain = np.mean([r.score / r.n_tokens for r in lm.score(docs, untrained, words).collect() if r.doc_id in held])
     assert trained > plain
 
