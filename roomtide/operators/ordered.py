@@ -144,6 +144,8 @@ class RowOrder:
                 distance *= 2
                 # Buckets no further from the start than that have met all rows before them.
                 least = table.filter(F.col("at") > distance).agg(F.min(F.size("rows"))).first()[0] or reach
+            before = table.select((F.col("at") + 1).alias("at"), F.col("rows").alias("_before"))
+            return table.join(before, "at", "left").select(BUCKET, F.coalesce("_before", none).alias("carry"))
         return table.select(BUCKET, F.coalesce(F.lag("rows").over(in_order), none).alias("carry"))
 
     def shift(self, df: DataFrame, wanted: Mapping[str, tuple[str, int]]) -> DataFrame:
@@ -235,21 +237,28 @@ class RowOrder:
             *[F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"_first{i}") for i, c in enumerate(map(quoted, columns))],
             *[F.expr(f"count_if({quoted(c)} IS NULL) AS _gaps{i}") for i, c in enumerate(columns)],
         )
-        ends = materialize(ends, "fill-ends")
-        gaps = ends.agg(*[F.sum(f"_gaps{i}").alias(f"g{i}") for i in range(len(columns))]).first()
-        open_columns = {i: c for i, c in enumerate(columns) if gaps[f"g{i}"]}
-        if not open_columns:
-            return df
         series = Window.partitionBy(*self.within)
         earlier = series.orderBy(F.col(BUCKET).asc()).rowsBetween(Window.unboundedPreceding, -1)
         later = series.orderBy(F.col(BUCKET).desc()).rowsBetween(Window.unboundedPreceding, -1)
-        carried = [F.last(f"_last{i}", ignorenulls=True).over(earlier).alias(f"_before{i}") for i in open_columns]
-        if both:
-            carried += [F.last(f"_first{i}", ignorenulls=True).over(later).alias(f"_after{i}") for i in open_columns]
+        numbers = range(len(columns))
+        carry = materialize(
+            ends.select(
+                F.col(BUCKET).alias("_b"),
+                *[F.col(quoted(k)).alias(f"_w{i}") for i, k in enumerate(self.within)],
+                *[f"_gaps{i}" for i in numbers],
+                *[F.last(f"_last{i}", ignorenulls=True).over(earlier).alias(f"_before{i}") for i in numbers],
+                *([F.last(f"_first{i}", ignorenulls=True).over(later).alias(f"_after{i}") for i in numbers] if both else []),
+            ),
+            "fill-ends",
+        )
+        gaps = carry.agg(*[F.sum(f"_gaps{i}").alias(f"g{i}") for i in numbers]).first()
+        open_columns = {i: c for i, c in enumerate(columns) if gaps[f"g{i}"]}
+        if not open_columns:
+            return df
         names = [f"_before{i}" for i in open_columns] + ([f"_after{i}" for i in open_columns] if both else [])
-        carry = ends.select(F.col(BUCKET).alias("_b"), *[F.col(quoted(k)).alias(f"_w{i}") for i, k in enumerate(self.within)], *carried)
         # Only series that go on beyond a bucket have something to carry: at most two of them for each bucket.
         carry = carry.filter(" OR ".join(f"{n} IS NOT NULL" for n in names))
+        carry = carry.select("_b", *[f"_w{i}" for i in range(len(self.within))], *names)
         match = F.col(BUCKET) == F.col("_b")
         for i, k in enumerate(self.within):
             match = match & F.col(quoted(k)).eqNullSafe(F.col(f"_w{i}"))
