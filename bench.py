@@ -45,6 +45,8 @@ HEADLINE = [
     "lag_frame",
     "calendar_features",
     "supervised_frames",
+    "supervised_frames_sparse",
+    "forecast",
     "one_hot",
     "standard_scale",
     "time_series_split_lines",

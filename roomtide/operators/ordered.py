@@ -231,48 +231,47 @@ class RowOrder:
         One aggregation takes from every bucket the ends of both directions and the number of gaps, and is written; columns without
         a gap are left as they are.
         """
-        order = F.struct(*self.keys)
-        ends = df.groupBy(BUCKET, *self.within).agg(
-            *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"_last{i}") for i, c in enumerate(map(quoted, columns))],
-            *[F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"_first{i}") for i, c in enumerate(map(quoted, columns))],
-            *[F.expr(f"count_if({quoted(c)} IS NULL) AS _gaps{i}") for i, c in enumerate(columns)],
-        )
-        series = Window.partitionBy(*self.within)
-        earlier = series.orderBy(F.col(BUCKET).asc()).rowsBetween(Window.unboundedPreceding, -1)
-        later = series.orderBy(F.col(BUCKET).desc()).rowsBetween(Window.unboundedPreceding, -1)
-        numbers = range(len(columns))
+        names, numbers = list(map(quoted, columns)), range(len(columns))
+        order, series = ", ".join(map(quoted, self.keys)), ", ".join(map(quoted, self.within))
+        texts = [f"max_by({c}, CASE WHEN {c} IS NOT NULL THEN struct({order}) END) AS _last{i}" for i, c in enumerate(names)]
+        texts += [f"min_by({c}, CASE WHEN {c} IS NOT NULL THEN struct({order}) END) AS _first{i}" for i, c in enumerate(names)]
+        texts += [f"count_if({c} IS NULL) AS _gaps{i}" for i, c in enumerate(names)]
+        ends = df.groupBy(BUCKET, *self.within).agg(*map(F.expr, texts))
+
+        def over(partition: str, by: str, end: str) -> str:
+            return f"OVER ({f'PARTITION BY {partition} ' if partition else ''}ORDER BY {by} ROWS BETWEEN UNBOUNDED PRECEDING AND {end})"
+
+        earlier, later = over(series, BUCKET, "1 PRECEDING"), over(series, f"{BUCKET} DESC", "1 PRECEDING")
         carry = materialize(
-            ends.select(
-                F.col(BUCKET).alias("_b"),
-                *[F.col(quoted(k)).alias(f"_w{i}") for i, k in enumerate(self.within)],
+            ends.selectExpr(
+                f"{BUCKET} AS _b",
+                *[f"{quoted(k)} AS _w{i}" for i, k in enumerate(self.within)],
                 *[f"_gaps{i}" for i in numbers],
-                *[F.last(f"_last{i}", ignorenulls=True).over(earlier).alias(f"_before{i}") for i in numbers],
-                *([F.last(f"_first{i}", ignorenulls=True).over(later).alias(f"_after{i}") for i in numbers] if both else []),
+                *[f"last(_last{i}, true) {earlier} AS _before{i}" for i in numbers],
+                *([f"last(_first{i}, true) {later} AS _after{i}" for i in numbers] if both else []),
             ),
             "fill-ends",
         )
-        gaps = carry.agg(*[F.sum(f"_gaps{i}").alias(f"g{i}") for i in numbers]).first()
-        open_columns = {i: c for i, c in enumerate(columns) if gaps[f"g{i}"]}
-        if not open_columns:
+        gaps = carry.selectExpr(*[f"sum(_gaps{i}) AS g{i}" for i in numbers]).first()
+        gappy = {i: c for i, c in enumerate(names) if gaps[f"g{i}"]}
+        if not gappy:
             return df
-        names = [f"_before{i}" for i in open_columns] + ([f"_after{i}" for i in open_columns] if both else [])
+        carried = [f"_before{i}" for i in gappy] + ([f"_after{i}" for i in gappy] if both else [])
         # Only series that go on beyond a bucket have something to carry: at most two of them for each bucket.
-        carry = carry.filter(" OR ".join(f"{n} IS NOT NULL" for n in names))
-        carry = carry.select("_b", *[f"_w{i}" for i in range(len(self.within))], *names)
+        carry = carry.filter(" OR ".join(f"{n} IS NOT NULL" for n in carried))
+        carry = carry.select("_b", *[f"_w{i}" for i in range(len(self.within))], *carried)
         match = F.col(BUCKET) == F.col("_b")
         for i, k in enumerate(self.within):
             match = match & F.col(quoted(k)).eqNullSafe(F.col(f"_w{i}"))
-        rows = Window.partitionBy(BUCKET, *self.within).rowsBetween(Window.unboundedPreceding, 0)
-        filled = {f"_fill{i}": F.last(quoted(c), ignorenulls=True).over(rows.orderBy(*self._sorted(True))) for i, c in open_columns.items()}
+        own = ", ".join([BUCKET, *map(quoted, self.within)])
+        ways = {"_fill": over(own, order, "CURRENT ROW")}
         if both:
-            filled |= {f"_next{i}": F.last(quoted(c), ignorenulls=True).over(rows.orderBy(*self._sorted(False))) for i, c in open_columns.items()}
-        kept = df.columns
-        joined = df.withColumns(filled).join(self._carried(carry, 2 * len(names) + 1), match, "left")
-        found = {}
-        for i, c in open_columns.items():
-            ahead = [f"_next{i}", f"_after{i}"] if both else []
-            found[c] = F.coalesce(F.col(quoted(c)), *ahead, f"_fill{i}", f"_before{i}")
-        return joined.withColumns(found).select(*map(quoted, kept))
+            ways["_next"] = over(own, ", ".join(f"{quoted(k)} DESC" for k in self.keys), "CURRENT ROW")
+        filled = df.selectExpr("*", *[f"last({c}, true) {way} AS {name}{i}" for name, way in ways.items() for i, c in gappy.items()])
+        joined = filled.join(self._carried(carry, 2 * len(carried) + 1), match, "left")
+        ahead = "{c}, _next{i}, _after{i}, " if both else "{c}, "
+        found = {c: f"coalesce({ahead.format(c=c, i=i)}_fill{i}, _before{i}) AS {c}" for i, c in gappy.items()}
+        return joined.selectExpr(*[found.get(c, c) for c in map(quoted, df.columns)])
 
     def index(self, df: DataFrame, name: str = "row_index") -> DataFrame:
         """Add the 0-based position of each row in the whole order."""
