@@ -20,7 +20,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import quoted
@@ -114,37 +114,23 @@ def filter_chain(df: DataFrame, order: RowOrder, stages: Sequence[Stage], column
             }
         )
         alive, sure = F.col(f"_out{k}"), F.col(f"_run{k}") - F.col(f"_sure{k}") >= 1
-    opened: Column = F.lit(-1)
-    for k in range(len(stages)):
-        opened = F.when(F.col(f"_open{k}"), F.lit(k)).otherwise(opened)
+    # The last pieces as SQL text: one call to the JVM each.
     lasts = [f"_last{k}" for k in range(len(stages))]
-    rows = rows.withColumns({"_open": opened, "_kept": alive})
-    of_use = F.col("_kept") | (F.col("_open") >= 0)
-    for last in lasts:
-        of_use = of_use | F.col(last)
+    last = " OR ".join(lasts)
+    opened = " ".join(f"WHEN _open{k} THEN {k}" for k in range(len(stages)))
+    rows = rows.withColumns({"_open": F.expr(f"CASE {opened} ELSE -1 END"), "_kept": alive}).filter(f"_kept OR _open >= 0 OR {last}")
     known = [*[f"_g{k}" for k in range(len(stages))], *[f"_v{k}_{v}" for k, s in enumerate(stages) for v in s.values]]
     listed = list(dict.fromkeys([*columns, *order.within]))
-    written = materialize(
-        rows.filter(of_use).select(
-            *map(quoted, listed), BUCKET, "_n", "_kept", "_open", *lasts,
-            *[F.when(~F.col("_kept") | (F.col("_open") >= 0) | _any(lasts), F.col(c)).alias(c) for c in known],
-        ),
-        "chain",
-    )
-    summary = written.filter((F.col("_open") >= 0) | _any(lasts)).select(*order.within, BUCKET, "_n", "_kept", "_open", *lasts, *known)
+    # Values are of use in open and last rows alone.
+    told = [f"CASE WHEN _open >= 0 OR {last} THEN {c} END AS {c}" for c in known]
+    written = materialize(rows.selectExpr(*map(quoted, listed), BUCKET, "_n", "_kept", "_open", *lasts, *told), "chain")
+    summary = written.filter(f"_open >= 0 OR {last}").select(*map(quoted, order.within), BUCKET, "_n", "_kept", "_open", *lasts, *known)
     settled = summary.withColumn("_whole", F.lit(0)).groupBy("_whole", *order.within).applyInPandas(_settle(stages), "_b int, _m int, _settled boolean")
     settled = materialize(settled, "chain-settled")
     joined = written.join(settled, (F.col(BUCKET) == F.col("_b")) & (F.col("_n") == F.col("_m")), "left")
     return joined.filter(F.coalesce("_settled", "_kept")).select(*map(quoted, columns))
 
 
-def _any(flags: Sequence[str]) -> Column:
-    found = F.lit(False)
-    for flag in flags:
-        found = found | F.col(flag)
-    return found
-
-
 def repeats(time: str, room: str) -> Stage:
     """Drops all but the first row of each (time, room); the order has to begin with these two, in either order."""
     values = {"at": f"unix_micros(CAST({quoted(time)} AS TIMESTAMP))", "room": f"coalesce(concat('1', {quoted(room)}), '0')"}
