@@ -212,6 +212,44 @@ def test_gradients_match_differences():
             assert grad[i] == pytest.approx((up - down) / (2 * eps), rel=0.03, abs=1e-5), name
 
 
+def test_scores_do_not_depend_on_how_many_pairs_are_listed(spark, monkeypatch):
+    texts = [" ".join(f"{'abcdefgh'[i * k % 8]}{'pqrstuvwxyz'[(i + k * k) % 11]} w{(i * k) % 90}" for k in range(60)) for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found, classes = [], []
+    for most in (lm.MOST_PAIRS, 150, 0):
+        monkeypatch.setattr(lm, "MOST_PAIRS", most)
+        model, words = lm.fit(docs, F.col("doc_id") % 5 > 0, SUBWORDS)
+        assert len(model.corpus.pairs.keys) <= most and (model.rare is None) == (most > 150)
+        classes.append(model.corpus.class_of)
+        found.append({r.doc_id: r for r in lm.score(docs, model, words).collect()})
+    for other, class_of in zip(found[1:], classes[1:], strict=True):
+        assert (class_of == classes[0]).all() and len(other) == 120
+        for k, r in found[0].items():
+            assert other[k].score == pytest.approx(r.score, rel=1e-3)
+            assert (other[k].n_known, other[k].base_score) == (r.n_known, pytest.approx(r.base_score))
+
+
+def test_all_pairs_make_the_classes(spark):
+    size, rng = 900, np.random.default_rng(3)
+    table = np.bincount(rng.zipf(1.3, 40_000) % size * size + rng.zipf(1.2, 40_000) * 7919 % size, minlength=size * size).reshape(size, size)
+    pairs = attention.Pairs.of(table)
+    frame = spark.createDataFrame([(int(k), int(n)) for k, n in zip(pairs.keys, pairs.n, strict=True)], "pair long, n long").repartition(3)
+    listed = lm.id_pairs(frame, lm.Subwords("", "", size - 1), 200)
+    rare = lm.rare_pairs(frame, listed)
+    assert 0 < len(listed.keys) <= 200 and rare.count() == len(pairs.keys) - len(listed.keys)
+    used = np.flatnonzero((table.sum(0) > 0) | (table.sum(1) > 0))
+    scales = [1 / np.sqrt(np.maximum(table.sum(axis)[used], 1)) for axis in (1, 0)]
+    scaled = table[np.ix_(used, used)] * scales[0][:, None] * scales[1]
+    times, x = lm.pair_product(frame, size)(used, *scales), rng.standard_normal((len(used), 5))
+    assert times(x, False) == pytest.approx(scaled @ x, abs=1e-6) and times(x, True) == pytest.approx(scaled.T @ x, abs=1e-6)
+    class_of = attention.class_order(listed, product=lm.pair_product(frame, size))
+    assert np.mean(class_of == attention.class_order(pairs)) > 0.9
+    # With them, probabilities are those of the full list, but for the share in a class of what is looked up.
+    whole = attention.PairPrior.of(pairs, class_of)
+    part = attention.PairPrior.of(listed, class_of, rare=lm.rare_sums(rare, size, class_of))
+    assert part.by_class == pytest.approx(whole.by_class, abs=1e-4) and part.rest == pytest.approx(whole.rest, abs=1e-5)
+
+
 def words_of(text):
     return (text or "").encode().lower().split() + [b"\n"]
 
