@@ -154,6 +154,14 @@ def resample(
     range from them.
     """
     step = duration_micros(every)
+    binned, ends = _bins_and_ends(df, step, aggregates, time, by, origin, cut_lineage)
+    return with_empty_bins(binned, ends, step, time, by)
+
+
+def _bins_and_ends(
+    df: DataFrame, step: int, aggregates: Sequence[Aggregate], time: str, by: Sequence[str], origin: str = "start_day", cut_lineage: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The bins that have rows, as ``_bin``, and the first and last bin of each series; see :func:`resample`."""
     odd = origin == "start_day" and DAY % step != 0
     if odd:
         binned = merged_bins(materialize(small_bins(df, step, aggregates, time, by), "small-bins"), step, aggregates, by)
@@ -166,7 +174,7 @@ def resample(
             ends = ends.filter(F.col("_first").isNotNull())
     else:
         ends = _range_of(df, step, time, by)
-    return with_empty_bins(binned, ends, step, time, by)
+    return binned, ends
 
 
 def resample_mean(
@@ -194,15 +202,24 @@ def rolling_time_mean(
 
     Each series is cut into stretches as long as the window. A window then is the end of one stretch and the
     beginning of the next: a running sum from the start of its own stretch, and one from the end of the stretch before,
-    whose bins are handed on, moved by the window. So a bin costs the same whatever the width, nothing is
+    whose bins are handed on, moved by the window, if they have a value. So a bin costs the same whatever the width, nothing is
     subtracted, and no task gets a whole series.
     """
-    width = duration_micros(window)
+    return _rolled(_placed(df, duration_micros(window), columns, time, True), columns, df.columns, by, min_count)
+
+
+def _placed(df: DataFrame, width: int, columns: Sequence[str], time: str, asked: bool) -> DataFrame:
+    """Every bin in its stretch and, if it has a value, moved to the next; the mean is ``_asked`` for at the former or not at all."""
     at = micros(time)
     own = ((at - F.pmod(at, F.lit(width))) / F.lit(width)).cast("bigint")
-    here = F.struct(at.alias("_at"), own.alias("_stretch"), F.lit(False).alias("_moved"))
-    moved = F.struct((at + F.lit(width)).alias("_at"), (own + 1).alias("_stretch"), F.lit(True).alias("_moved"))
-    spread = df.filter(F.col(time).isNotNull()).withColumn("_place", F.explode(F.array(here, moved))).select(*df.columns, "_place.*")
+    here = F.struct(at.alias("_at"), own.alias("_stretch"), F.lit(False).alias("_moved"), F.lit(asked).alias("_asked"))
+    moved = F.struct((at + F.lit(width)).alias("_at"), (own + 1).alias("_stretch"), F.lit(True).alias("_moved"), F.lit(False).alias("_asked"))
+    valued = F.coalesce(*[F.col(quoted(c)).cast("double") for c in columns]).isNotNull() if columns else F.lit(False)
+    places = F.explode(F.when(valued, F.array(here, moved)).otherwise(F.array(here)))
+    return df.filter(F.col(time).isNotNull()).withColumn("_place", places).select(*df.columns, "_place.*")
+
+
+def _rolled(spread: DataFrame, columns: Sequence[str], kept: Sequence[str], by: Sequence[str], min_count: int) -> DataFrame:
     series = ", ".join([*map(quoted, by), "_stretch"])
     # At equal times the moved bin lies just outside the window, so the bin itself comes first.
     frames = (f"(PARTITION BY {series} ORDER BY _at)", f"(PARTITION BY {series} ORDER BY _at DESC, _moved)")
@@ -212,7 +229,22 @@ def rolling_time_mean(
         total = " + ".join(f"coalesce(sum(CAST({p} AS DOUBLE)) OVER {f}, 0)" for p, f in zip(parts, frames, strict=True))
         count = " + ".join(f"count({p}) OVER {f}" for p, f in zip(parts, frames, strict=True))
         means[c] = f"CASE WHEN {count} >= {max(min_count, 1)} THEN ({total}) / ({count}) END AS {quoted(c)}"
-    return spread.selectExpr("_moved", *[means.get(c, quoted(c)) for c in df.columns]).filter("NOT _moved").drop("_moved")
+    return spread.selectExpr("_asked", *[means.get(c, quoted(c)) for c in kept]).filter("_asked").drop("_asked")
+
+
+def rolling_bin_mean(
+    binned: DataFrame, ends: DataFrame, window: str, step: int, columns: Sequence[str], time: str = TIME, by: Sequence[str] = (ROOM,)
+) -> DataFrame:
+    """:func:`rolling_time_mean` at every bin from ``_first`` to ``_last`` of each series, from the bins that have rows.
+
+    The bins asked for and those with values meet in the stretches, so they need no join before.
+    """
+    width, kept = duration_micros(window), [*by, time, *columns]
+    values = binned.select(*by, from_micros(F.col("_bin")).alias(time), *[F.col(quoted(c)) for c in columns])
+    none = [F.lit(None).cast(binned.schema[c].dataType).alias(c) for c in columns]
+    grid = _spread(ends, step, by).select(*by, from_micros(F.col("_bin")).alias(time), *none)
+    spread = _placed(values, width, columns, time, False).unionByName(_placed(grid, width, (), time, True))
+    return _rolled(spread, columns, kept, by, 1)
 
 
 def resample_roll(
@@ -234,8 +266,13 @@ def resample_roll(
     numbers = [c for c in numeric_columns(df.schema) if c != room]
     others = [c for c in df.columns if c not in numbers and c not in (room, time)]
     aggregates = [mean_of(c) for c in numbers] + [first_of(c, [time, *tiebreak]) for c in others]
-    binned = resample(df, every, aggregates, time, [room], cut_lineage=cut_lineage)
-    rolled = rolling_time_mean(binned, window, every, numbers, time, [room])
+    if others or not numbers:
+        binned = resample(df, every, aggregates, time, [room], cut_lineage=cut_lineage)
+        rolled = rolling_time_mean(binned, window, every, numbers, time, [room])
+    else:
+        step = duration_micros(every)
+        bins, ends = _bins_and_ends(df, step, aggregates, time, [room], cut_lineage=cut_lineage)
+        rolled = rolling_bin_mean(bins, ends, window, step, numbers, time, [room])
     return drop_incomplete_rows(rolled).select(*df.columns)
 
 

@@ -105,3 +105,16 @@ def test_lag_frame_needs_a_horizon(spark):
         lags.lag_frame(df, RowOrder(df, ["date_time"]), ["v"], "v", horizons=0)
     with pytest.raises(ValueError):
         lags.inference_frame(df, ["v"], input_steps=2)
+
+
+@pytest.mark.parametrize(("window", "every"), [("3d", "1d"), ("150min", "1h"), ("14h", "7h")])
+def test_bins_with_values_roll_without_a_join(spark, window, every):
+    """Gaps longer than the window, a null room, a bin without values: the same as rolling over joined bins."""
+    rows = [(datetime(2024, 1, 1) + timedelta(hours=h), room, None if h == 50 else float(h), float(h % 7)) for room in ("a", None) for h in (0, 1, 5, 50, 51, 300, 301, 303)]
+    df = spark.createDataFrame(rows, "date_time timestamp_ntz, room_number string, v double, w double")
+    got = timeseries.resample_roll(df, window, every)
+    binned = timeseries.resample_mean(df, every, ["v", "w"])
+    joined = timeseries.rolling_time_mean(binned, window, every, ["v", "w"]).dropna().select(*df.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, joined.collect())) and got.count() > 10
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert every == "7h" or "Join" not in plan
