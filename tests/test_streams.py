@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from roomtide.operators import timeseries
@@ -151,3 +153,38 @@ def test_fast_rise_across_a_batch_edge_and_idle_rooms(spark, feed):
     # Room b was silent for an hour, so its rise is not seen; that of room c is.
     assert sorted(r.id for r in rows.collect()) == [1, 2, 4, 5, 6]
     assert set(schema.names) == set(feed.stream().columns)
+
+
+class Kept:
+    """A value of state in memory, and the handle that gives it."""
+
+    value = None
+
+    def getValueState(self, *_):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_readings_of_a_room_are_handed_on_a_few_at_a_time(monkeypatch):
+    monkeypatch.setattr(changes, "ROWS_AT_ONCE", 7, raising=False)
+    room = changes.PreviousReading(1, [0], None, None)
+    room.init(Kept())
+    order = np.random.default_rng(4).permutation(40)
+    frame = pd.DataFrame({"room": "a", "at": order // 2, "t0": order, "c0": np.where(order % 5, order / 2, np.nan), "c1": [f"x{i}" for i in order]})
+    got = list(room.handleInputRows(("a",), iter([frame[:25], frame[25:]]), None))
+    whole = pd.concat(got, ignore_index=True)
+    assert max(map(len, got)) <= 7 and list(whole["t0"]) == list(range(40)) and list(whole["c1"]) == [f"x{i}" for i in range(40)]
+    assert list(whole["p0"]) == [None, *[str(i // 2) for i in range(39)]] and set(whole["room"]) == {"a"}
+    assert whole["p1"].iloc[1:].tolist() == pytest.approx(whole["c0"].iloc[:-1].tolist(), nan_ok=True)
+    assert room.last.value == (19, 39, 19.5)
+    late = pd.DataFrame({"room": "a", "at": [19, 3, 20, 19], "t0": [39, 90, 1, 40], "c0": [1.0, 2.0, 3.0, 4.0], "c1": None})
+    (after,) = room.handleInputRows(("a",), iter([late]), None)
+    assert after[["at", "t0", "p0", "p1"]].values.tolist() == [[19, 40, "19", 19.5], [20, 1, "19", 4.0]]
