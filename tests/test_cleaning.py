@@ -151,3 +151,26 @@ def test_forest_without_complete_readings_keeps_all(spark):
     df = spark.createDataFrame([(1, None, 2.0), (2, None, 3.0)], "id int, CO2 double, tmp double")
     assert remove_outliers_forest(df, features=["CO2", "tmp"]).count() == 2
     assert remove_outliers_forest(df.limit(0), features=["CO2", "tmp"]).count() == 0
+
+
+def test_nodes_at_the_height_limit_are_only_counted(spark, sf_dir):
+    points = views.readings(spark, sf_dir).select(F.xxhash64("event_id").alias("h"), "CO2", "tmp")
+    grown = forest.grow_forest(points, 6, 0.8, 1, 3)
+    last = forest._level_ranges(points, grown, 3, 2, 0.8, 1)
+    assert (last["node"] >= 8).all() and last["n"].sum() > 0 and np.isinf(last[["low0", "high0", "low1", "high1"]]).all().all()
+
+
+def test_walks_follow_the_cuts():
+    draw = np.random.default_rng(2)
+    grown = forest.Forest.of(7, 4)
+    grown.feature[:, 1:16] = draw.integers(-1, 3, (7, 15))
+    grown.cut[:, 1:16] = draw.random((7, 15))
+    points = draw.random((50, 3))
+    for levels in range(5):
+        got = forest.Walk(grown).places(points, levels).reshape(50, 7) - np.arange(7) * 32
+        for (i, t), node in np.ndenumerate(got):
+            at = 1
+            for _ in range(levels):
+                f = grown.feature[t, at]
+                at = at if f < 0 else 2 * at + (points[i, f] > grown.cut[t, at])
+            assert node == at
