@@ -212,6 +212,53 @@ def test_gradients_match_differences():
             assert grad[i] == pytest.approx((up - down) / (2 * eps), rel=0.03, abs=1e-5), name
 
 
+def plain_logs(p, prior, here, before, targets):
+    """The model written out place by place: every place asks, weights are divided, and parameters meet the places one by one."""
+    x = p["here"][here]
+    weights = (x @ p["query"]) @ (x @ p["key"]).transpose(0, 2, 1) / attention.WIDTH**0.5
+    back = np.subtract.outer(np.arange(attention.WINDOW), np.arange(attention.WINDOW))
+    weights = np.exp(weights + p["distance"][np.maximum(back, 0)]) * (back >= 0)
+    attended = weights / weights.sum(-1, keepdims=True) @ (x @ p["value"])
+    hidden = np.maximum(np.concatenate([x + p["before"][before], attended], 2) @ p["mix"] + p["bias"], 0)[:, attention.CONTEXT :]
+    logits = hidden @ p["to_class"] + prior.by_class[here[:, attention.CONTEXT :]]
+    logs = logits - np.log(np.exp(logits).sum(-1, keepdims=True))
+    logs = np.take_along_axis(logs, prior.class_of[targets][..., None].astype(int), 2)[..., 0]
+    return (logs + prior.in_class(here[:, attention.CONTEXT :], targets)).ravel()
+
+
+def test_batches_that_share_their_arrays_give_the_plain_model():
+    p, prior = small_model()
+    rng, space = np.random.default_rng(5), attention.Space()
+    for windows in (7, 40, 3, 1):
+        here, before = rng.integers(0, 128, (2, windows, attention.WINDOW)).astype(np.uint16)
+        targets, real = rng.integers(0, 128, (windows, attention.SCORED)).astype(np.uint16), rng.random((windows, attention.SCORED)) < 0.9
+        plain = plain_logs({k: v.astype(float) for k, v in p.items()}, prior, here, before, targets)
+        assert attention.forward(p, prior, here, before, targets, space=space) == pytest.approx(plain, abs=1e-4)
+        within = prior.in_class(here[:, attention.CONTEXT :], targets)
+        assert attention.forward(p, prior, here, before, targets, space=space, within=within) == pytest.approx(plain, abs=1e-4)
+        alone, shared = (attention.gradients(p, prior, here, before, targets, real, s) for s in (None, space))
+        for name, g in alone.items():
+            a, b = ([x.at, x.values] if isinstance(x, attention.Rows) else [x] for x in (g, shared[name]))
+            assert all((x == y).all() for x, y in zip(a, b, strict=True)), name
+
+
+@pytest.mark.parametrize("listed", [0, 1, 5, 20_000])
+def test_listed_pairs_are_found_among_others(listed):
+    size, rng = 1000, np.random.default_rng(6)
+    # Pairs in a row, and of one id, as well as scattered ones.
+    keys = np.unique(np.concatenate([np.arange(listed // 2), np.arange(listed // 4) * size, rng.integers(0, size**2, listed)]))[:listed]
+    total, follows = np.bincount(keys // size, minlength=size) * 2.0, np.bincount(keys % size, minlength=size).astype(float)
+    pairs = attention.Pairs(size, keys, rng.integers(1, 4, len(keys)).astype(np.float32), total, follows)
+    prior = attention.PairPrior.of(pairs, (np.arange(size) % attention.CLASSES).astype(np.uint8))
+    asked = rng.permutation(np.concatenate([keys, rng.integers(0, size**2, 5000), [0, size**2 - 1]]))
+    assert (prior.unlisted(asked) == ~np.isin(asked, keys)).all()
+    p = dict(zip(keys.tolist(), prior.listed.tolist(), strict=True))
+    before, target = np.divmod(asked, size)
+    expected = np.log([p.get(k, 0) + prior.rest[b] * prior.share[t] for k, b, t in zip(asked.tolist(), before, target, strict=True)])
+    expected -= prior.by_class[before, prior.class_of[target]]
+    assert prior.in_class(before.astype(np.uint16), target.astype(np.uint16)) == pytest.approx(expected, abs=1e-5)
+
+
 def test_scores_do_not_depend_on_how_many_pairs_are_listed(spark, monkeypatch):
     texts = [" ".join(f"{'abcdefgh'[i * k % 8]}{'pqrstuvwxyz'[(i + k * k) % 11]} w{(i * k) % 90}" for k in range(60)) for i in range(120)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
